@@ -127,9 +127,11 @@ def items_to_lists(forecast: DataFrame, by: Sequence[str] = (ITEM,), order: str
     values = [c for c in forecast.columns if c not in by and c != order]
     packed = F.sort_array(F.collect_list(F.struct(order, *map(col, values))))
     grouped = forecast.groupBy(*by).agg(packed.alias("rows"))
-    return grouped.select(
-        *by, *[F.transform("rows", lambda r, c=c: r[c]).alias(c) for c in (order, *values)]
-    )
+    return grouped.select(*by, *[_field_list("rows", c) for c in (order, *values)])
+
+
+def _field_list(rows: str, name: str) -> Column:
+    return F.transform(rows, lambda r: r.getField(name)).alias(name)
 
 
 def forecast_to_nested_json(forecast: DataFrame) -> DataFrame:
@@ -151,5 +153,5 @@ def response_bodies(forecast: DataFrame, request: str = "request_id") -> DataFra
     lists = items_to_lists(forecast, (request, "pos", ITEM))
     start = F.date_format(F.element_at(STAMP, 1), "yyyy-MM-dd'T'HH:mm:ss")
     record = F.struct("pos", F.struct(*[col(c) for c in values], ITEM, start.alias("start")).alias("p"))
-    ordered = F.transform(F.sort_array(F.collect_list(record)), lambda r: r["p"])
+    ordered = F.transform(F.sort_array(F.collect_list(record)), lambda r: r.getField("p"))
     return lists.groupBy(request).agg(F.to_json(F.struct(ordered.alias("predictions"))).alias("body"))
