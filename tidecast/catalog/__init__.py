@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("forecasts", "series", "learning", "mixed")
+MODULES = ("forecasts", "series", "learning", "mixed", "files")
 
 
 def _merged(attribute: str) -> dict:

@@ -18,7 +18,7 @@ from tidecast.catalog.common import (
     rounded,
     weekly_supply,
 )
-from tidecast.operators.baseline import BASELINES, as_forecast_table, baseline_forecast, item_statistics
+from tidecast.operators.baseline import BASELINES, as_forecast_table, baseline_forecast, forecast_rows, item_statistics
 from tidecast.operators.columns import ITEM, STAMP
 from tidecast.operators.lagreg import LagRegression
 from tidecast.operators.leaderboard import rank_models, score_forecasts, weighted_ensemble
@@ -56,9 +56,9 @@ _METRICS = ("MAE", "MSE", "RMSE", "MAPE", "SMAPE", "WAPE", "MASE", "WQL")
 
 def fc_backtest_metrics(spark, sf_dir):
     history, held = holdout_split(weekly_supply(spark, sf_dir), 13, "W-MON")
-    forecasts = baseline_forecast(history, 13, "W-MON", 52, BASELINES)
-    scale = item_statistics(history, "W-MON", 52, (), scale=True).select(ITEM, "scale_abs")
-    return rounded(score_forecasts(forecasts.join(scale, ITEM), held, _METRICS, LEVELS))
+    stats = item_statistics(history, "W-MON", 52, BASELINES, scale=True)
+    forecasts = forecast_rows(stats, BASELINES, 13, "W-MON", 52, keep=["scale_abs"])
+    return rounded(score_forecasts(forecasts, held, _METRICS, LEVELS))
 
 
 _PINBALL = " + ".join(

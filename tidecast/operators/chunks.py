@@ -48,6 +48,10 @@ def chunk_window(item: str = ITEM, step: str = "step"):
 
 def value_at_lag(value: Column, lag: int, item: str = ITEM, step: str = "step") -> Column:
     """Value exactly ``lag`` steps earlier, null where that step was not observed."""
+    if lag == 1:
+        # The step before, if observed at all, is the row before.
+        window = chunk_window(item, step)
+        return F.when(F.lag(step).over(window) == F.col(step) - 1, F.lag(value).over(window))
     return F.first(value).over(chunk_window(item, step).rangeBetween(-lag, -lag))
 
 

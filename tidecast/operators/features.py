@@ -12,7 +12,6 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
-    IDF,
     FeatureHasher,
     HashingTF,
     Imputer,
@@ -84,10 +83,11 @@ class FeaturePlan:
             stages.append(FeatureHasher(inputCols=self.hashed, outputCol="__hashed", numFeatures=CATEGORY_BUCKETS))
             inputs.append("__hashed")
         for c in self.text:
+            # No inverse document frequencies: they rescale columns, which neither trees nor
+            # standardised linear models react to, and would cost a pass over all text.
             stages += [
                 Tokenizer(inputCol=c, outputCol=f"{c}__words"),
-                HashingTF(inputCol=f"{c}__words", outputCol=f"{c}__counts", numFeatures=self.text_buckets),
-                IDF(inputCol=f"{c}__counts", outputCol=f"{c}__terms", minDocFreq=2),
+                HashingTF(inputCol=f"{c}__words", outputCol=f"{c}__terms", numFeatures=self.text_buckets),
             ]
             inputs.append(f"{c}__terms")
         inputs += self.vectors

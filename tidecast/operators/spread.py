@@ -1,0 +1,24 @@
+"""Giving small inputs enough tasks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+BYTES_PER_TASK = 64 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Optimizer's size of everything the plan scans (not of the result)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input over all cores before repeated heavy work.
+
+    A small table often is one file and would be one task. Inputs with at least a normal
+    split per core have enough tasks by themselves and are left alone, so nothing large is
+    ever shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if input_bytes(df) < BYTES_PER_TASK * cores else df

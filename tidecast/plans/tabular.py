@@ -30,6 +30,7 @@ from tidecast.operators.features import FEATURES, LABEL, FeaturePlan, apply_feat
 from tidecast.operators.leaderboard import rank_models
 from tidecast.operators.proba import best_class, class_list, proba_name
 from tidecast.operators.splits import fold_of, holdout_rows
+from tidecast.operators.spread import spread_small
 from tidecast.plans.registry import TABULAR_PRESETS, merge_settings, preset
 from tidecast.sources.sinks import LEADERBOARD, write_predictions
 from tidecast.sources.store import read_json, write_json
@@ -184,6 +185,7 @@ class TabularEstimator:
             fit_rows, check_rows = train, tuning
         else:
             fit_rows, check_rows = holdout_rows(train, keys, seed=1)
+        fit_rows = spread_small(fit_rows)
         vectors = [*self.vector_columns, *model.featurizers]
         featured = model._featurize(fit_rows)
         model.plan = plan_features(featured, columns, self.text_columns, vectors, self.categorical_columns)
