@@ -22,6 +22,7 @@ HEADLINE = (
     "ts_holdout_split",
     "fc_seasonal_naive",
     "fc_drift",
+    "fc_nations_seasonal_naive",
     "fc_weekly_seasonal_naive",
     "fc_backtest_metrics",
     "fc_leaderboard",

@@ -61,6 +61,16 @@ def monthly_orders(spark, sf_dir) -> DataFrame:
     )
 
 
+def daily_nations(spark, sf_dir) -> DataFrame:
+    """Daily order value per customer nation: long series (more than 2,000 days)."""
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    return (
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .groupBy(F.col("c_nationkey").cast("string").alias(ITEM), F.col("o_orderdate").alias(STAMP))
+        .agg(F.round(F.sum("o_totalprice"), 2).alias(TARGET))
+    )
+
+
 # Each gives item_id, ts, k (calendar step) and y.
 DAILY_SQL = """
     SELECT event_type AS item_id, date_trunc('day', ts) AS ts,
@@ -83,6 +93,12 @@ MONTHLY_SQL = """
            round(sum(o_totalprice), 2) AS y
     FROM orders GROUP BY ALL"""
 
+NATIONS_SQL = """
+    SELECT CAST(c_nationkey AS VARCHAR) AS item_id, o_orderdate AS ts,
+           date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS k,
+           round(sum(o_totalprice), 2) AS y
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"""
+
 AHEAD = {
     "D": "last_ts + to_days(CAST(h AS INTEGER))",
     "h": "last_ts + to_hours(CAST(h AS BIGINT))",

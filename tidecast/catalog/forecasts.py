@@ -9,9 +9,11 @@ from tidecast.catalog.common import (
     DAILY_SQL,
     LEVELS,
     MONTHLY_SQL,
+    NATIONS_SQL,
     WEEKLY_SQL,
     Z,
     daily_events,
+    daily_nations,
     forecast_sql,
     monthly_orders,
     quantiles_sql,
@@ -46,6 +48,8 @@ for _model in BASELINES:
     _one_model(f"fc_{_model}", _model, daily_events, "D", 7, 7, DAILY_SQL)
 _one_model("fc_weekly_seasonal_naive", "seasonal_naive", weekly_supply, "W-MON", 13, 52, WEEKLY_SQL)
 _one_model("fc_weekly_drift", "drift", weekly_supply, "W-MON", 13, 52, WEEKLY_SQL)
+# Long histories with a long horizon.
+_one_model("fc_nations_seasonal_naive", "seasonal_naive", daily_nations, "D", 64, 7, NATIONS_SQL)
 _one_model("fc_monthly_trend", "trend", monthly_orders, "MS", 6, 12, MONTHLY_SQL)
 
 

@@ -8,7 +8,7 @@ cover everything the library needs:
   up to ``halo`` steps are complete inside each chunk (lags, seasonal differences, rolling
   means). Costs ``halo / CHUNK`` extra rows and one shuffle.
 * *Carry*: each chunk is reduced to one summary row, the summaries (a ``CHUNK``-th of the
-  data) are scanned per item, and the running value is joined back (forward fill).
+  data) are scanned per item, and the running value is handed to the chunk (forward fill).
 """
 
 from __future__ import annotations
@@ -63,24 +63,3 @@ def refuse_duplicates(value: Column, item: str = ITEM, step: str = "step") -> Co
     before = F.lag(step).over(chunk_window(item, step))
     message = F.concat(F.lit("duplicate timestamp for item "), F.col(item))
     return F.when(before == F.col(step), F.raise_error(message).cast("double")).otherwise(value)
-
-
-def forward_fill(df: DataFrame, column: str, item: str = ITEM, step: str = "step") -> DataFrame:
-    """Replace nulls by the item's latest earlier value."""
-    df = df.withColumn("chunk", chunk_index(F.col(step)))
-    carried = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(item, "chunk")
-        .agg(F.max_by(column, step).alias("_last"))
-    )
-    present = df.select(item, "chunk").distinct()
-    before = Window.partitionBy(item).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = present.join(carried, [item, "chunk"], "left").select(
-        item, "chunk", F.last("_last", ignorenulls=True).over(before).alias("_carry")
-    )
-    inside = chunk_window(item, step).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        df.join(carried, [item, "chunk"], "left")
-        .withColumn(column, F.coalesce(F.last(column, ignorenulls=True).over(inside), F.col("_carry")))
-        .drop("chunk", "_carry")
-    )

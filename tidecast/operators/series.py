@@ -13,7 +13,7 @@ from tidecast.functions.frequency import (
     stamp_at,
     step_index,
 )
-from tidecast.operators.chunks import CHUNK, chunk_index, forward_fill
+from tidecast.operators.chunks import CHUNK, chunk_index
 from tidecast.operators.columns import ITEM, STAMP, TARGET, canonicalize, col, known_covariate_names
 
 
@@ -106,37 +106,70 @@ def with_step(series: DataFrame, freq) -> DataFrame:
     return series.withColumn("step", step_index(F.col(STAMP), freq))
 
 
-def full_grid(series: DataFrame, freq) -> DataFrame:
-    """Every (item_id, step, timestamp) between an item's first and last observation.
+_START, _ROW, _END = 0, 1, 2
 
-    The range is opened in two levels, chunks first, and spread out in between, so a long
-    item is never one huge array in one row.
+
+def regularize(series: DataFrame, freq, fill: "str | float | None" = None) -> DataFrame:
+    """Put every item on the full grid; gaps get a null target unless ``fill`` says otherwise.
+
+    ``fill`` is ``"ffill"`` (latest earlier value) or a number. Only observed rows and two
+    markers per (item, chunk) are shuffled; each row then opens the gap up to its successor
+    in place, so neither a join with the grid nor a whole item in one task is needed.
     """
-    bounds = with_step(series, freq).groupBy(ITEM).agg(
+    freq = Frequency.parse(freq)
+    rest = [c for c in series.columns if c not in (ITEM, STAMP, TARGET)]
+    observed = with_step(series, freq).withColumns({"chunk": chunk_index(F.col("step")), "kind": F.lit(_ROW)})
+    bounds = observed.groupBy(ITEM).agg(
         F.min(STAMP).alias("first_timestamp"), F.min("step").alias("lo"), F.max("step").alias("hi")
     )
-    chunks = bounds.withColumn(
-        "chunk", F.explode(F.sequence(chunk_index(F.col("lo")), chunk_index(F.col("hi"))))
-    ).repartition(ITEM, "chunk")
+    chunks = bounds.withColumn("chunk", F.explode(F.sequence(chunk_index(F.col("lo")), chunk_index(F.col("hi")))))
     begin = F.greatest(F.col("lo"), F.col("chunk") * CHUNK)
     end = F.least(F.col("hi"), F.col("chunk") * CHUNK + (CHUNK - 1))
-    steps = chunks.withColumn("step", F.explode(F.sequence(begin, end)))
-    stamp = stamp_at(F.col("first_timestamp"), F.col("step") - F.col("lo"), freq)
-    return steps.select(ITEM, "step", stamp.alias(STAMP))
-
+    starts = chunks.select(
+        ITEM,
+        "chunk",
+        begin.alias("step"),
+        stamp_at(F.col("first_timestamp"), begin - F.col("lo"), freq).alias(STAMP),
+        F.lit(_START).alias("kind"),
+    )
+    if fill == "ffill":
+        starts = _carried(starts, observed)
+    ends = chunks.select(ITEM, "chunk", (end + 1).alias("step"), F.lit(_END).alias("kind"))
+    rows = observed.unionByName(starts, allowMissingColumns=True).unionByName(ends, allowMissingColumns=True)
+
+    window = Window.partitionBy(ITEM, "chunk").orderBy("step", "kind")
+    following, next_kind = F.lead("step").over(window), F.lead("kind").over(window)
+    twice = (F.col("kind") == _ROW) & (next_kind == _ROW) & (following == F.col("step"))
+    message = F.concat(F.lit("duplicate timestamp for item "), F.col(ITEM))
+    following = F.when(twice, F.raise_error(message).cast("bigint")).otherwise(following)
+    value = F.col(TARGET)
+    if fill == "ffill":
+        value = F.last(TARGET, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    opened = rows.select(ITEM, STAMP, "step", "kind", value.alias(TARGET), *map(col, rest), following.alias("next"))
+    opened = opened.filter((F.col("kind") != _END) & (F.col("next") > F.col("step")))
+    opened = opened.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("next") - F.col("step") - 1)))
+    here = (F.col("j") == 0) & (F.col("kind") == _ROW)
+    target = F.col(TARGET) if fill == "ffill" else F.when(here, F.col(TARGET))
+    if fill is not None and fill != "ffill":
+        target = F.coalesce(target, F.lit(float(fill)))
+    return opened.select(
+        ITEM,
+        stamp_at(F.col(STAMP), F.col("j"), freq).alias(STAMP),
+        target.alias(TARGET),
+        *[F.when(here, col(c)).alias(c) for c in rest],
+    )
 
-def regularize(series: DataFrame, freq, fill: "str | float | None" = None) -> DataFrame:
-    """Put every item on the full grid; gaps get a null target unless ``fill`` says otherwise.
 
-    ``fill`` is ``"ffill"`` (latest earlier value) or a number.
-    """
-    observed = with_step(series, freq).drop(STAMP)
-    grid = full_grid(series, freq).join(observed, [ITEM, "step"], "left")
-    if fill == "ffill":
-        grid = forward_fill(grid, TARGET)
-    elif fill is not None:
-        grid = grid.withColumn(TARGET, F.coalesce(F.col(TARGET), F.lit(float(fill))))
-    return grid.drop("step")
+def _carried(starts: DataFrame, observed: DataFrame) -> DataFrame:
+    """Chunk starts with the item's latest value from earlier chunks."""
+    latest = (
+        observed.filter(F.col(TARGET).isNotNull())
+        .groupBy(ITEM, "chunk")
+        .agg(F.max_by(TARGET, "step").alias("latest"))
+    )
+    before = Window.partitionBy(ITEM).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.last("latest", ignorenulls=True).over(before)
+    return starts.join(latest, [ITEM, "chunk"], "left").withColumn(TARGET, carried).drop("latest")
 
 
 def stamp_gaps(series: DataFrame) -> DataFrame:

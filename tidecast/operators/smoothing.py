@@ -156,20 +156,61 @@ def _by_length(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, active
 
 
+PIECE = 128  # rows folded one after the other; longer stretches are cut and joined again
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Positions where a new run of equal keys begins."""
+    changed = np.zeros(len(keys[0]), dtype=bool)
+    changed[0] = True
+    for key in keys:
+        changed[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(changed)
+
+
+def _join(rows: pd.DataFrame, model: Smoother, *keys: str) -> pd.DataFrame:
+    """One segment per run of equal keys, from neighbouring segments in time order."""
+    item = rows[ITEM].to_numpy()
+    start = _starts(*(rows[k].to_numpy() for k in keys))
+    length = np.diff(np.append(start, len(rows)))
+    first_step, last_step = rows["first_step"].to_numpy(), rows["last_step"].to_numpy()
+    parts = Summary.unpack(np.stack(rows["summary"].to_numpy()), model)
+    order, active = _by_length(length)
+    total = parts.take(start[order])
+    for j, count in enumerate(active[1:], start=1):
+        at = start[order[:count]] + j
+        gap = first_step[at] - last_step[at - 1]
+        if (gap <= 0).any():
+            raise ValueError(f"duplicate timestamp for item {item[at][gap <= 0][0]}")
+        total.advance(slice(0, count), model, gap - 1)
+        total.then(slice(0, count), parts.take(at))
+    ends = start[order] + length[order] - 1
+    return pd.DataFrame(
+        {
+            ITEM: item[ends],
+            "first_step": first_step[start[order]],
+            "last_step": last_step[ends],
+            "last_us": rows["last_us"].to_numpy()[ends],
+            "n": np.add.reduceat(rows["n"].to_numpy(), start)[order],
+            "summary": list(total.pack()),
+        }
+    )
+
+
 def _fold_rows(model: Smoother):
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # A batch may cut a chunk in two: both halves become summaries of their own.
+        # A batch may cut a chunk in two: both halves become segments of their own.
         for rows in batches:
             if not len(rows):
                 continue
             item, chunk, step = (rows[c].to_numpy() for c in (ITEM, "chunk", "step"))
             y = rows[TARGET].to_numpy(dtype=float)
-            cut = np.flatnonzero((item[1:] != item[:-1]) | (chunk[1:] != chunk[:-1])) + 1
-            start = np.concatenate([[0], cut])
-            length = np.diff(np.concatenate([start, [len(rows)]]))
+            stretch = _starts(item, chunk)
+            place = np.arange(len(rows)) - np.repeat(stretch, np.diff(np.append(stretch, len(rows))))
+            start = np.flatnonzero(place % PIECE == 0)
+            length = np.diff(np.append(start, len(rows)))
             gap = np.diff(step, prepend=step[0])
-            inside = np.ones(len(rows), dtype=bool)
-            inside[start] = False
+            inside = place > 0
             if (gap[inside] == 0).any():
                 raise ValueError(f"duplicate timestamp for item {item[inside][gap[inside] == 0][0]}")
             order, active = _by_length(length)
@@ -180,51 +221,25 @@ def _fold_rows(model: Smoother):
                 if j:
                     total.advance(part, model, gap[at] - 1)
                 total.observe(part, model, y[at])
-            first, last = start[order], start[order] + length[order] - 1
-            yield pd.DataFrame(
+            back = np.argsort(order)
+            last = start + length - 1
+            pieces = pd.DataFrame(
                 {
-                    ITEM: item[first],
-                    "first_step": step[first],
+                    ITEM: item[start],
+                    "chunk": chunk[start],
+                    "first_step": step[start],
                     "last_step": step[last],
                     "last_us": rows["us"].to_numpy()[last],
-                    "n": length[order],
-                    "summary": list(total.pack()),
+                    "n": length,
+                    "summary": list(total.take(back).pack()),
                 }
             )
+            yield _join(pieces, model, ITEM, "chunk") if len(start) > len(stretch) else pieces.drop(columns="chunk")
 
     return fold
 
 
 def _fold_segments(model: Smoother):
-    def combine(rows: pd.DataFrame) -> pd.DataFrame:
-        """One row per item from its segments in time order."""
-        item = rows[ITEM].to_numpy()
-        start = np.concatenate([[0], np.flatnonzero(item[1:] != item[:-1]) + 1])
-        length = np.diff(np.concatenate([start, [len(rows)]]))
-        first_step, last_step = rows["first_step"].to_numpy(), rows["last_step"].to_numpy()
-        parts = Summary.unpack(np.stack(rows["summary"].to_numpy()), model)
-        order, active = _by_length(length)
-        total = parts.take(start[order])
-        for j, count in enumerate(active[1:], start=1):
-            at = start[order[:count]] + j
-            gap = first_step[at] - last_step[at - 1]
-            if (gap <= 0).any():
-                raise ValueError(f"duplicate timestamp for item {item[at][gap <= 0][0]}")
-            total.advance(slice(0, count), model, gap - 1)
-            total.then(slice(0, count), parts.take(at))
-        ends = start[order] + length[order] - 1
-        n = np.add.reduceat(rows["n"].to_numpy(), start)[order]
-        return pd.DataFrame(
-            {
-                ITEM: item[ends],
-                "first_step": first_step[start[order]],
-                "last_step": last_step[ends],
-                "last_us": rows["last_us"].to_numpy()[ends],
-                "n": n,
-                "summary": list(total.pack()),
-            }
-        )
-
     def finish(done: pd.DataFrame) -> pd.DataFrame:
         total = Summary.unpack(np.stack(done["summary"].to_numpy()), model)
         sse, state = total.solve(done["n"].to_numpy())
@@ -253,7 +268,7 @@ def _fold_segments(model: Smoother):
             if carry is not None:
                 rows = pd.concat([carry, rows], ignore_index=True)
             open_item = rows[ITEM].iloc[-1]
-            merged = combine(rows)
+            merged = _join(rows, model, ITEM)
             still_open = (merged[ITEM] == open_item).to_numpy()
             carry = merged[still_open]
             if not still_open.all():
