@@ -90,7 +90,7 @@ def _last_orders(day):
     def build(spark, sf_dir):
         orders = table(spark, sf_dir, "orders")
         return orders.select(
-            F.col("o_orderpriority").alias(ITEM), day.cast("timestamp_ntz").alias(STAMP), F.lit(1.0).alias(TARGET)
+            F.col("o_orderpriority").alias(ITEM), day().cast("timestamp_ntz").alias(STAMP), F.lit(1.0).alias(TARGET)
         )
 
     return build
@@ -117,7 +117,7 @@ _future("ts_future_index_w", weekly_supply, "W-MON", 8, _last_sql(WEEKLY_SQL), "
 _future("ts_future_index_ms", monthly_orders, "MS", 12, _last_sql(MONTHLY_SQL), "d + to_months(CAST(h AS INTEGER))")
 _future(
     "ts_future_index_me",
-    _last_orders(F.last_day("o_orderdate")),
+    _last_orders(lambda: F.last_day("o_orderdate")),
     "ME",
     12,
     _priority_sql("last_day(o_orderdate)"),
@@ -125,7 +125,7 @@ _future(
 )
 _future(
     "ts_future_index_qs",
-    _last_orders(F.trunc("o_orderdate", "QUARTER")),
+    _last_orders(lambda: F.trunc("o_orderdate", "QUARTER")),
     "QS",
     6,
     _priority_sql("date_trunc('quarter', o_orderdate)"),
@@ -133,7 +133,7 @@ _future(
 )
 _future(
     "ts_future_index_ys",
-    _last_orders(F.trunc("o_orderdate", "YEAR")),
+    _last_orders(lambda: F.trunc("o_orderdate", "YEAR")),
     "YS",
     3,
     _priority_sql("date_trunc('year', o_orderdate)"),

@@ -174,7 +174,7 @@ class ForecastEstimator:
                 series.unpersist()
         else:
             model.best = candidates[0]
-        if model._needs("lag_regression"):
+        if "lag_regression" in candidates:
             model.regression = model._regression(self.prediction_length).fit(series)
         self.fitted = True
         return model
@@ -242,9 +242,6 @@ class ForecastModel:
     def _uses_extras(self) -> bool:
         return bool(USES_COVARIATES & set(self.candidates))
 
-    def _needs(self, name: str) -> bool:
-        return self.best == name or (self.best == "ensemble" and name in self.weights)
-
     def _regression(self, horizon: int) -> LagRegression:
         options = self.settings.get("lag_regression", {})
         return LagRegression(
@@ -376,7 +373,7 @@ class ForecastModel:
     # -- persistence --------------------------------------------------------------------
 
     def save(self, spark, path: str) -> None:
-        if self.custom and self.best in self.custom:
+        if {self.best, *(self.weights if self.best == "ensemble" else ())} & set(self.custom):
             raise ValueError("a model whose best candidate is a user function cannot be saved")
         document = {
             "kind": "forecast",

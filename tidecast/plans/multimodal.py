@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast.functions.paths import normal_path
 from tidecast.operators.columns import col
@@ -22,7 +23,7 @@ from tidecast.sources.tables import as_frame
 BINS = 16
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def byte_profile(content: pd.Series) -> pd.Series:
     """Log length and share of bytes per value range: a featurizer that needs no decoder."""
     out = []

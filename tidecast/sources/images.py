@@ -51,7 +51,8 @@ def relativize_paths(df: DataFrame, path_column: str) -> tuple[DataFrame, str]:
     Runs one aggregate job for the common path, which comes back as a single string.
     """
     parts = common_parts(df, path_column)
-    drop = max(len(parts) - 1, 0)
+    # Absolute paths begin with an empty part, which never belongs to a relative path.
+    drop = max(len(parts) - 1, 1 if parts[:1] == [""] else 0)
     split = F.split(normal_path(col(path_column)), "/")
     relative = F.array_join(F.slice(split, drop + 1, F.greatest(F.size(split) - drop, F.lit(0))), "/")
     return df.withColumn(path_column, relative), "/".join(parts)
