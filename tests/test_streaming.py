@@ -90,3 +90,24 @@ def test_side_inputs(spark, tmp_path):
     run_available(stream, "side", f"{tmp_path}/out", f"{tmp_path}/state")
     got = {r.item_id: (r["size"], r.promo) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {"a": ("big", None), "b": (None, 7.0)}
+
+
+def test_rolling_history(spark, tmp_path):
+    from tidecast.streaming.history import read_history, run_history
+
+    def rows(low, high):
+        return spark.range(low, high).select(
+            F.concat(F.lit("i"), (F.col("id") % 3).cast("string")).alias("item_id"),
+            (F.lit("2024-01-01").cast("timestamp_ntz") + F.col("id") * F.expr("INTERVAL '1' HOUR")).alias("timestamp"),
+            F.col("id").cast("double").alias("target"),
+        )
+
+    def update():
+        stream = read_stream(spark, f"{tmp_path}/in", rows(0, 1).schema)
+        run_history(stream, 4, "history", f"{tmp_path}/out", f"{tmp_path}/state")
+        return sorted((r.item_id, r.target) for r in read_history(spark, f"{tmp_path}/out").collect())
+
+    rows(0, 30).write.parquet(f"{tmp_path}/in")
+    assert update() == sorted((f"i{i % 3}", float(i)) for i in range(18, 30))
+    rows(30, 32).write.mode("append").parquet(f"{tmp_path}/in")
+    assert update() == sorted([(f"i{i % 3}", float(i)) for i in range(21, 32)] + [("i2", 20.0)])

@@ -198,28 +198,37 @@ def tab_group_mean(spark, sf_dir):
 
 
 _NB = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-_NB_SCORE = " + ".join(f"-0.5 * ln(2 * pi() * v_{f}) - ({f} - m_{f}) ** 2 / (2 * v_{f})" for f in _NB)
+
+
+def _nb_score(c: str) -> str:
+    terms = [f"-0.5 * ln(2 * pi() * v_{f}_{c}) - ({f} - m_{f}_{c}) ** 2 / (2 * v_{f}_{c})" for f in _NB]
+    return f"ln(p_{c}) + " + " + ".join(terms)
+
+
+_NB_FIT = ", ".join(
+    [f"avg(CASE WHEN l_returnflag = '{c}' THEN 1.0 ELSE 0 END) AS p_{c}" for c in "ANR"]
+    + [f"avg({f}) FILTER (l_returnflag = '{c}') AS m_{f}_{c}" for f in _NB for c in "ANR"]
+    + [f"var_pop({f}) FILTER (l_returnflag = '{c}') AS w_{f}_{c}" for f in _NB for c in "ANR"]
+)
+_NB_WIDEST = ", ".join(f"w_{f}_{c}" for f in _NB for c in "ANR")
+_NB_VARIANCES = ", ".join(f"w_{f}_{c} + 1e-9 * greatest({_NB_WIDEST}) AS v_{f}_{c}" for f in _NB for c in "ANR")
 
 
 @query(
     "tab_gnb",
     f"""
-    WITH raw AS (SELECT l_returnflag AS c, count(*) / (SELECT count(*) FROM lineitem) AS prior,
-                 {", ".join(f"avg({f}) AS m_{f}, var_pop({f}) AS w_{f}" for f in _NB)} FROM lineitem GROUP BY 1),
-    eps AS (SELECT 1e-9 * max(greatest({", ".join(f"w_{f}" for f in _NB)})) AS e FROM raw),
-    fit AS (SELECT *, {", ".join(f"w_{f} + e AS v_{f}" for f in _NB)} FROM raw, eps),
-    s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, c, ln(prior) + {_NB_SCORE} AS s FROM lineitem, fit),
-    p AS (SELECT *, exp(s - max(s) OVER w) AS e FROM s
-          WINDOW w AS (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey))
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           round(sum(e) FILTER (c = 'A') / sum(e), 4) AS "A_proba", round(sum(e) FILTER (c = 'N') / sum(e), 4) AS "N_proba",
-           round(sum(e) FILTER (c = 'R') / sum(e), 4) AS "R_proba"
-    FROM p GROUP BY ALL""",
+    WITH raw AS (SELECT {_NB_FIT} FROM lineitem), fit AS (SELECT *, {_NB_VARIANCES} FROM raw),
+    s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_nb_score("A")} AS sa, {_nb_score("N")} AS sn,
+                 {_nb_score("R")} AS sr FROM lineitem, fit),
+    e AS (SELECT *, exp(sa - greatest(sa, sn, sr)) AS a, exp(sn - greatest(sa, sn, sr)) AS n,
+                 exp(sr - greatest(sa, sn, sr)) AS r FROM s)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(a / (a + n + r), 4) AS "A_proba",
+           round(n / (a + n + r), 4) AS "N_proba", round(r / (a + n + r), 4) AS "R_proba" FROM e""",
 )
 def tab_gnb(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem")
     scored = GaussianBayes.fit(lineitem, "l_returnflag", _NB).predict_proba(lineitem, KEYS)
-    return rounded(scored.drop("l_returnflag").dropDuplicates(KEYS))
+    return rounded(scored.drop("l_returnflag"))
 
 
 # -- metrics -----------------------------------------------------------------------------------------

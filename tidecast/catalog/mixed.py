@@ -10,12 +10,13 @@ from tidecast.catalog.learning import BANDS_SQL, KEYS, bands
 from tidecast.catalog.series import _bodies as request_bodies
 from tidecast.catalog.series import _ZERO_DAYS
 from tidecast.functions.paths import base_name, common_path
-from tidecast.operators.columns import ITEM, STAMP, TARGET
+from tidecast.operators.columns import ITEM, STAMP, TARGET, canonicalize
 from tidecast.operators.scoring import recent_context, score_items, score_with
 from tidecast.plans.multimodal import MultiModalEstimator
 from tidecast.plans.tabular import TabularEstimator
 from tidecast.session import scratch_path
 from tidecast.sources.images import attach_image_bytes, content_name, name_images, read_images, relativize_paths, reroot_paths
+from tidecast.streaming.history import read_history, run_history
 from tidecast.streaming.queries import read_stream, run_available
 from tidecast.streaming.scoring import (
     forecast_stream,
@@ -264,3 +265,18 @@ def stream_side_inputs(spark, sf_dir):
     output, checkpoint = scratch_path(spark, "joined"), scratch_path(spark, "state")
     run_available(with_side_inputs(stream, static), "side-inputs", output, checkpoint)
     return spark.read.parquet(output)
+
+
+@query(
+    "stream_rolling_history",
+    """SELECT CAST(user_id AS VARCHAR) AS item_id, ts AS "timestamp", value AS target FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) <= 5""",
+)
+def stream_rolling_history(spark, sf_dir):
+    """The five latest events of every user, kept in state."""
+    source = f"{sf_dir}/events.parquet"
+    stream = read_stream(spark, source, spark.read.parquet(source).schema)
+    rows = canonicalize(stream.select("user_id", "ts", "value"), "user_id", "ts", "value")
+    output, checkpoint = scratch_path(spark, "history"), scratch_path(spark, "state")
+    run_history(rows, 5, "history", output, checkpoint)
+    return read_history(spark, output)

@@ -175,15 +175,18 @@ def _carried(starts: DataFrame, observed: DataFrame) -> DataFrame:
 def stamp_gaps(series: DataFrame) -> DataFrame:
     """Distance from each timestamp to the item's previous one, with its count.
 
-    Returns (item_id, gap_us, n). Timestamps are bucketed so that an even item of average
-    density has about ``CHUNK`` of them per bucket; a bucket's first row takes its
-    predecessor from the bucket-level summary. Exact for any spacing.
+    Returns (item_id, gap_us, n). Each item's span is cut into buckets that hold ``CHUNK``
+    timestamps on average; a bucket's first row takes its predecessor from the bucket-level
+    summary, which has a ``CHUNK``-th of the item's rows. Exact for any spacing. The spans
+    are joined without a hint: broadcast when measurably small, else a skew-split merge join.
     """
-    micros = epoch_micros(F.col(STAMP))
-    spans = series.groupBy(ITEM).agg(F.min(micros).alias("lo"), F.max(micros).alias("hi"), F.count("*").alias("n"))
-    mean_gap = spans.agg(F.min((F.col("hi") - F.col("lo")) / F.greatest(F.col("n") - 1, F.lit(1)))).first()[0]
-    width = max(int(CHUNK * (mean_gap or 0)), 1_000_000)
-    points = series.select(ITEM, micros.alias("us")).withColumn("chunk", chunk_index(F.col("us"), width))
+    points = series.select(ITEM, epoch_micros(F.col(STAMP)).alias("us"))
+    spans = points.groupBy(ITEM).agg(F.min("us").alias("lo"), F.max("us").alias("hi"), F.count("*").alias("n"))
+    width = F.greatest(F.floor((F.col("hi") - F.col("lo")) / F.col("n")) * CHUNK, F.lit(1))
+    spans = spans.select(ITEM, "lo", width.cast("bigint").alias("width"))
+    offset = F.col("us") - F.col("lo")
+    bucket = ((offset - F.pmod(offset, F.col("width"))) / F.col("width")).cast("bigint")
+    points = points.join(spans, ITEM).select(ITEM, "us", bucket.alias("chunk"))
     within = Window.partitionBy(ITEM, "chunk").orderBy("us")
     inner = points.select(ITEM, (F.col("us") - F.lag("us").over(within)).alias("gap_us"))
     edges = points.groupBy(ITEM, "chunk").agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"))

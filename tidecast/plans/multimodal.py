@@ -39,14 +39,12 @@ def attach_image_features(
 ) -> DataFrame:
     """Replace paths in ``image_column`` by feature arrays; a path without file is an error.
 
-    Files nobody refers to are not opened: the path filter comes before the content is used.
+    Files are featurized where they are read, so contents are never shuffled; only the short
+    vectors meet the rows, and a path many rows share is split by the adaptive skew join.
     """
     if image_column not in df.columns:
         raise ValueError("Please specify a valid image column name")
-    used = df.select(normal_path(col(image_column)).alias("path")).distinct()
-    vectors = images.join(used, "path", "left_semi").select(
-        F.col("path").alias("_path"), featurizer(F.col("content")).alias("_vector")
-    )
+    vectors = images.select(F.col("path").alias("_path"), featurizer(F.col("content")).alias("_vector"))
     joined = df.withColumn("_path", normal_path(col(image_column))).join(vectors, "_path", "left")
     missing = F.raise_error(F.concat(F.lit("no image at "), F.col("_path"))).cast("array<double>")
     vector = F.when(F.col("_vector").isNull(), missing).otherwise(F.col("_vector"))

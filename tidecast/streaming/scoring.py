@@ -54,22 +54,24 @@ def forecast_requests(bodies: DataFrame, model: str = "seasonal_naive", levels:
     """Forecast every request of a batch of nested bodies.
 
     Requests may differ in frequency, horizon and levels. Runs one small job for the
-    distinct options of the batch, then one plan per combination.
+    distinct frequencies and levels of the batch, then one plan for each of them.
     """
     items = parse_bodies(bodies)
-    options = items.select("freq", "prediction_length", "quantile_levels").distinct().collect()
+    kinds = items.groupBy("freq", "quantile_levels").agg(F.max("prediction_length")).collect()
     out = None
-    for freq, horizon, wanted in options:
-        same = (F.col("freq") == freq) & (F.col("prediction_length") == horizon) & F.col("quantile_levels").eqNullSafe(
-            F.lit(wanted).cast("array<double>") if wanted is not None else F.lit(None).cast("array<double>")
-        )
-        series = series_from_requests(items.filter(same))
-        # Items of different requests are different series, whatever they are called.
-        keyed = series.withColumn(ITEM, F.concat_ws(_KEY, "request_id", "pos", ITEM))
-        rows = baseline_forecast(keyed.select(ITEM, STAMP, TARGET), horizon, freq, season_length(freq), [model])
+    for freq, wanted, longest in kinds:
+        listed = F.lit(wanted) if wanted is not None else F.lit(None)
+        same = (F.col("freq") == freq) & F.col("quantile_levels").eqNullSafe(listed.cast("array<double>"))
+        mine = items.filter(same)
+        # Items of different requests are different series, whatever they are called. The
+        # key also carries the request's horizon, so the longest one serves all.
+        key = F.concat_ws(_KEY, "request_id", "pos", "prediction_length", ITEM)
+        series = series_from_requests(mine.withColumn(ITEM, key)).select(ITEM, STAMP, TARGET)
+        rows = baseline_forecast(series, longest, freq, season_length(freq), [model])
+        rows = rows.filter(F.col("h") <= F.split(ITEM, _KEY, 4)[2].cast("int"))
         table = as_forecast_table(rows, sorted_levels(wanted if wanted is not None else levels))
-        parts = F.split(ITEM, _KEY, 3)
-        table = table.withColumns({"request_id": parts[0], "pos": parts[1].cast("int"), ITEM: parts[2]})
+        parts = F.split(ITEM, _KEY, 4)
+        table = table.withColumns({"request_id": parts[0], "pos": parts[1].cast("int"), ITEM: parts[3]})
         out = table if out is None else out.unionByName(table, allowMissingColumns=True)
     return out
 
