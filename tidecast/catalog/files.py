@@ -160,12 +160,13 @@ def tab_save_load(spark, sf_dir):
     return rounded(TabularModel.load(spark, path).score(data, keys=KEYS))
 
 
-@query("fc_save_load")
+@query("fc_save_load", FORECASTS["fc_lag_regression"])
 def fc_save_load(spark, sf_dir):
     series, path = daily_events(spark, sf_dir), scratch_path(spark, "model")
     estimator = ForecastEstimator(prediction_length=7, freq="D", quantile_levels=LEVELS)
-    estimator.fit(series, hyperparameters={"lag_regression": {}}).save(spark, path)
-    return rounded(ForecastModel.load(spark, path).predict(series))
+    options = {"lag_regression": {"lags": [7], "calendar": False}}
+    estimator.fit(series, hyperparameters=options).save(spark, path)
+    return rounded(ForecastModel.load(spark, path).predict(series), 3)
 
 
 @query("fc_written", FORECASTS["fc_seasonal_naive"])

@@ -181,22 +181,28 @@ SQL["fc_ses"] = f"""
     SELECT item_id, ts AS "timestamp", round(mean, 2) AS mean, {quantiles_sql(2)} FROM fc"""
 
 _HOLT = ", ".join(f"({a}::DOUBLE, {a * s}::DOUBLE, {i})" for i, (a, s) in enumerate(HOLT_GRID))
-SQL["fc_holt"] = f"""
-    WITH RECURSIVE s AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY k) AS i FROM ({MONTHLY_SQL})),
-    grid(alpha, beta, g) AS (VALUES {_HOLT}),
+
+
+def _holt_sql(source: str, freq: str, horizon: int) -> str:
+    """Holt smoothing as one recursion per item and grid point; unobserved steps only add trend."""
+    return f"""
+    WITH RECURSIVE s AS (
+        SELECT *, row_number() OVER w AS i, coalesce(k - lag(k) OVER w, 1) AS g FROM ({source})
+        WINDOW w AS (PARTITION BY item_id ORDER BY k)),
+    grid(alpha, beta, p) AS (VALUES {_HOLT}),
     fold AS (
-        SELECT item_id, alpha, beta, g, 0::BIGINT AS i,
+        SELECT item_id, alpha, beta, p, 0::BIGINT AS i,
                1.0::DOUBLE AS l1, 0.0::DOUBLE AS l2, 0.0::DOUBLE AS lb,
                0.0::DOUBLE AS t1, 1.0::DOUBLE AS t2, 0.0::DOUBLE AS tb,
                0.0::DOUBLE AS s0, 0.0::DOUBLE AS p1, 0.0::DOUBLE AS p2,
                0.0::DOUBLE AS q11, 0.0::DOUBLE AS q12, 0.0::DOUBLE AS q22
         FROM (SELECT DISTINCT item_id FROM s), grid
         UNION ALL
-        SELECT f.item_id, alpha, beta, g, s.i,
-               (l1 + t1) * (1 - alpha), (l2 + t2) * (1 - alpha), lb + tb + alpha * (y - lb - tb),
-               t1 - beta * (l1 + t1), t2 - beta * (l2 + t2), tb + beta * (y - lb - tb),
-               s0 + (y - lb - tb) ** 2, p1 + (y - lb - tb) * (l1 + t1), p2 + (y - lb - tb) * (l2 + t2),
-               q11 + (l1 + t1) ** 2, q12 + (l1 + t1) * (l2 + t2), q22 + (l2 + t2) ** 2
+        SELECT f.item_id, alpha, beta, p, s.i,
+               (l1 + g * t1) * (1 - alpha), (l2 + g * t2) * (1 - alpha), lb + g * tb + alpha * (y - lb - g * tb),
+               t1 - beta * (l1 + g * t1), t2 - beta * (l2 + g * t2), tb + beta * (y - lb - g * tb),
+               s0 + (y - lb - g * tb) ** 2, p1 + (y - lb - g * tb) * (l1 + g * t1), p2 + (y - lb - g * tb) * (l2 + g * t2),
+               q11 + (l1 + g * t1) ** 2, q12 + (l1 + g * t1) * (l2 + g * t2), q22 + (l2 + g * t2) ** 2
         FROM fold f JOIN s ON s.item_id = f.item_id AND s.i = f.i + 1),
     ends AS (SELECT item_id, max(i) AS n, max(ts) AS last_ts FROM s GROUP BY item_id),
     solved AS (SELECT f.*, n, last_ts, (q22 * p1 - q12 * p2) / (q11 * q22 - q12 * q12) AS x1,
@@ -204,17 +210,21 @@ SQL["fc_holt"] = f"""
                FROM fold f JOIN ends e ON e.item_id = f.item_id AND e.n = f.i),
     fitted AS (SELECT *, s0 - p1 * x1 - p2 * x2 AS sse, l1 * x1 + l2 * x2 + lb AS level,
                       t1 * x1 + t2 * x2 + tb AS trend FROM solved),
-    best AS (SELECT * FROM fitted QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(sse, 6), g) = 1),
-    fc AS (SELECT item_id, {AHEAD["MS"]} AS ts, level + h * trend AS mean,
+    best AS (SELECT * FROM fitted QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(sse, 6), p) = 1),
+    fc AS (SELECT item_id, {AHEAD[freq]} AS ts, level + h * trend AS mean,
                   sqrt(sse / n * (1 + (h - 1) * (alpha * alpha + alpha * beta * h + beta * beta * h * (2 * h - 1) / 6)))
                   AS sigma
-           FROM best, (SELECT unnest(range(1, 7)) AS h))
+           FROM best, (SELECT unnest(range(1, {horizon + 1})) AS h))
     SELECT item_id, ts AS "timestamp", round(mean, 2) AS mean, {quantiles_sql(2)} FROM fc"""
 
 
+SQL["fc_holt"] = _holt_sql(MONTHLY_SQL, "MS", 6)
+SQL["fc_smooth_weekly"] = _holt_sql(WEEKLY_SQL, "W-MON", 13)
+
+
 def fc_smooth_weekly(spark, sf_dir):
     """Holt smoothing of every supplier's weekly series (gaps included)."""
-    return rounded(forecast(weekly_supply(spark, sf_dir), 13, quantile_levels=LEVELS, model="holt", freq="W-MON"))
+    return rounded(forecast(weekly_supply(spark, sf_dir), 13, quantile_levels=LEVELS, model="holt", freq="W-MON"), 2)
 
 
 QUERIES["fc_smooth_weekly"] = fc_smooth_weekly

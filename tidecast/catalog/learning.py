@@ -362,25 +362,65 @@ def tab_leaderboard(spark, sf_dir):
     return rounded(model.leaderboard(spark).drop("fit_time"))
 
 
-@query("tab_search")
+# Customers by side with a label that depends on it; a tenth is held out by key hash.
+_SIDES = f"""d AS (SELECT c_custkey, c_nationkey % 2 AS side,
+                   CASE WHEN c_acctbal + 4000 * (c_nationkey % 2) > 6000 THEN 1.0 ELSE 0 END AS rich,
+                   {hash_sql(1, "c_custkey")} % 100 < 10 AS held FROM customer),
+        f AS (SELECT side, avg(rich) AS p FROM d WHERE NOT held GROUP BY 1)"""
+
+
+def _sides(spark, sf_dir):
+    odd = F.col("c_nationkey") % 2
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(odd == 0, "even").otherwise("odd").alias("side"),
+        F.when(F.col("c_acctbal") + 4000 * odd > 6000, "yes").otherwise("no").alias("rich"),
+    )
+
+
+@query(
+    "tab_search",
+    f"""WITH {_SIDES}, o AS (SELECT avg(rich) AS p FROM d WHERE NOT held),
+        t AS (SELECT 'tree/1' AS model, rich, f.p FROM d JOIN f USING (side) WHERE held
+              UNION ALL SELECT 'tree/2', rich, o.p FROM d, o WHERE held)
+        SELECT model, round(avg(ln(CASE WHEN rich = 1 THEN p ELSE 1 - p END)), 4) AS score_val, 'log_loss' AS eval_metric
+        FROM t GROUP BY model""",
+)
 def tab_search(spark, sf_dir):
-    """Three trials over the tree depth; the result is their leaderboard."""
-    nation = table(spark, sf_dir, "nation")
-    data = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    data = data.select("c_custkey", "c_acctbal", "n_name", "n_regionkey", "c_mktsegment")
-    model = TabularEstimator("c_mktsegment", eval_metric="log_loss", ignore_columns=["c_custkey"]).fit(
-        data,
-        hyperparameters={"tree": {"maxDepth": [1, 3, 5, 8]}},
-        hyperparameter_tune_kwargs={"num_trials": 3},
+    """Two of three trials over the smallest leaf; the second one cannot split at all."""
+    model = TabularEstimator("rich", eval_metric="log_loss", ignore_columns=["c_custkey"]).fit(
+        _sides(spark, sf_dir),
+        hyperparameters={"tree": {"maxDepth": 2, "minInstancesPerNode": [1, 2**30, 5]}},
+        hyperparameter_tune_kwargs={"num_trials": 2},
         keys=["c_custkey"],
     )
     return rounded(model.leaderboard(spark).drop("fit_time"))
 
 
-@query("tab_named_candidate")
+@query(
+    "tab_named_candidate",
+    f"""WITH {_SIDES}
+        SELECT c_custkey, CASE WHEN 1 - p >= p THEN 'no' ELSE 'yes' END AS rich, round(1 - p, 4) AS no_proba,
+               round(p, 4) AS yes_proba FROM d JOIN f USING (side)""",
+)
 def tab_named_candidate(spark, sf_dir):
     """Score with a named candidate instead of the best one."""
-    data = table(spark, sf_dir, "supplier").withColumn("rich", F.when(F.col("s_acctbal") > 5000, "yes").otherwise("no"))
-    estimator = TabularEstimator("rich", ignore_columns=["s_suppkey", "s_acctbal", "s_name"])
-    model = estimator.fit(data, hyperparameters=["linear", "bayes"], keys=["s_suppkey"])
-    return rounded(model.score(data, keys=["s_suppkey"], model="bayes"))
+    data = _sides(spark, sf_dir)
+    model = TabularEstimator("rich", ignore_columns=["c_custkey"]).fit(
+        data, hyperparameters={"linear": {"maxIter": 5}, "tree": {"maxDepth": 2}}, keys=["c_custkey"]
+    )
+    return rounded(model.score(data, keys=["c_custkey"], model="tree"))
+
+
+@query(
+    "tab_tuning_data",
+    f"""WITH {_SIDES}, s AS (SELECT side, p >= 0.5 AS yes FROM f)
+        SELECT 'tree' AS model, round(avg(CASE WHEN (rich = 1) = yes THEN 1.0 ELSE 0 END), 4) AS score_val,
+               'accuracy' AS eval_metric FROM d JOIN s USING (side) WHERE held""",
+)
+def tab_tuning_data(spark, sf_dir):
+    """The held-out tenth passed as explicit tuning data."""
+    train, tuning = holdout_rows(_sides(spark, sf_dir), ["c_custkey"], seed=1)
+    estimator = TabularEstimator("rich", ignore_columns=["c_custkey"])
+    model = estimator.fit(train, tuning, hyperparameters={"tree": {"maxDepth": 2}})
+    return rounded(model.leaderboard(spark).drop("fit_time"))

@@ -157,15 +157,22 @@ def grid_phase(t: Column, freq: "str | Frequency") -> Column:
     return within_day + F.pmod(_raw_index(t, freq.unit), F.lit(freq.n)) * 86_400_000_000
 
 
+def _seconds_stamp(t: Column, jump: Column, seconds: Column) -> Column:
+    return t + (jump * seconds) * F.expr("INTERVAL '1' SECOND")
+
+
+def _weekly_stamp(t: Column, jump: Column, weekday: Column) -> Column:
+    return t + _days(F.pmod(weekday - F.weekday(t), F.lit(7)) + jump * 7)
+
+
 def _stamp(t: Column, k: Column, n: Column, unit: str) -> Column:
     jump = (k * n).cast("bigint")
     if unit in _SECONDS:
-        return t + (jump * _SECONDS[unit]) * F.expr("INTERVAL '1' SECOND")
+        return _seconds_stamp(t, jump, F.lit(_SECONDS[unit]))
     if unit == "D":
         return t + _days(jump)
     if unit.startswith("W-"):
-        roll = F.pmod(F.lit(WEEKDAYS[unit[2:]]) - F.weekday(t), F.lit(7))
-        return t + _days(roll + jump * 7)
+        return _weekly_stamp(t, jump, F.lit(WEEKDAYS[unit[2:]]))
     if unit == "B":
         roll = F.when(F.weekday(t) >= 5, F.lit(7) - F.weekday(t)).otherwise(F.lit(0))
         first = F.when(F.weekday(t) >= 5, F.lit(0)).otherwise(F.weekday(t))
@@ -202,13 +209,19 @@ def stamp_at_named(t: Column, k: Column, freq: Column) -> Column:
     digits = F.regexp_extract(freq, r"^(\d*)", 1)
     n = F.when(digits == "", F.lit(1)).otherwise(digits.cast("bigint"))
     code = F.regexp_extract(freq, r"^\d*(.*)$", 1)
-    out = F.raise_error(F.concat(F.lit("unknown frequency "), freq)).cast("timestamp_ntz")
-    spellings = {unit: unit for unit in UNITS} | ALIASES
-    chain = None
-    for spelling, unit in spellings.items():
-        value = _stamp(t, k, n, unit)
-        chain = F.when(code == spelling, value) if chain is None else chain.when(code == spelling, value)
-    return chain.otherwise(out)
+    unit = F.coalesce(_lookup(ALIASES)[code], code)
+    jump = (k * n).cast("bigint")
+    seconds = _lookup(_SECONDS)[unit]
+    weekday = _lookup({f"W-{day}": number for day, number in WEEKDAYS.items()})[unit]
+    chain = F.when(seconds.isNotNull(), _seconds_stamp(t, jump, seconds))
+    chain = chain.when(weekday.isNotNull(), _weekly_stamp(t, jump, weekday))
+    for name in _CALENDAR:
+        chain = chain.when(unit == name, _stamp(t, k, n, name))
+    return chain.otherwise(F.raise_error(F.concat(F.lit("unknown frequency "), freq)).cast("timestamp_ntz"))
+
+
+def _lookup(table: dict) -> Column:
+    return F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
 
 
 def stamps_from_start(start: Column, count: Column, freq: "str | Frequency") -> Column:
