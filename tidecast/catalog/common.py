@@ -33,7 +33,7 @@ def daily_events(spark, sf_dir) -> DataFrame:
 
 def hourly_events(spark, sf_dir) -> DataFrame:
     """Hourly value per event type; has gaps."""
-    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    hour = F.to_date("ts").cast("timestamp_ntz") + F.hour("ts") * F.expr("INTERVAL '1' HOUR")
     return (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias(ITEM), hour.alias(STAMP))
@@ -43,7 +43,7 @@ def hourly_events(spark, sf_dir) -> DataFrame:
 
 def weekly_supply(spark, sf_dir) -> DataFrame:
     """Weekly quantity per supplier (weeks begin on Monday); has gaps."""
-    week = F.date_trunc("week", F.col("l_shipdate")).cast("timestamp_ntz")
+    week = F.date_sub(F.to_date("l_shipdate"), F.weekday("l_shipdate")).cast("timestamp_ntz")
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_suppkey").cast("string").alias(ITEM), week.alias(STAMP))

@@ -37,8 +37,8 @@ from tidecast.operators.leaderboard import (
 from tidecast.operators.series import (
     duplicate_stamps,
     future_index,
-    holdout_split,
     join_static,
+    last_steps,
     missing_covariates,
     resolve_freq,
     season_length,
@@ -162,16 +162,16 @@ class ForecastEstimator:
         static = as_frame(static_features)
         static_names = [c for c in static.columns if c != self.id_column] if static is not None else []
         model = ForecastModel(self, candidates, settings, names, static_names)
-        series = model.prepare(train, static, columns=True)
+        series = model.prepare(train, static)
         model.freq = resolve_freq(series, self.freq)
         model.season = season_length(model.freq, self.season or settings.get("seasonal_naive", {}).get("season"))
         if len(candidates) > 1:
-            series = series.persist(StorageLevel.MEMORY_AND_DISK)
+            check = model.prepare(tuning, static) if tuning is not None else series
+            marked = last_steps(check, self.prediction_length, model.freq).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                check = model.prepare(tuning, static, columns=True) if tuning is not None else series
-                model._select(check, time_limit, started)
+                model._select(marked, time_limit, started)
             finally:
-                series.unpersist()
+                marked.unpersist()
         else:
             model.best = candidates[0]
         if "lag_regression" in candidates:
@@ -228,7 +228,7 @@ class ForecastModel:
 
     # -- tables -------------------------------------------------------------------------
 
-    def prepare(self, df: DataFrame, static: DataFrame | None, columns: bool = False) -> DataFrame:
+    def prepare(self, df: DataFrame, static: DataFrame | None) -> DataFrame:
         """Canonical series with only the columns the candidates can use."""
         series = canonicalize(df, self.id_column, self.timestamp_column, self.target)
         wanted = [ITEM, STAMP, TARGET]
@@ -275,8 +275,9 @@ class ForecastModel:
         rows = self.custom[name](series, self.horizon, self.freq, self.season)
         return rows.select(ITEM, STAMP, "h", F.lit(name).alias("model"), "mean", "sigma")
 
-    def _select(self, series: DataFrame, time_limit: float | None, started: float) -> None:
-        history, held = holdout_split(series, self.horizon, self.freq)
+    def _select(self, marked: DataFrame, time_limit: float | None, started: float) -> None:
+        history = marked.filter(~F.col("held_out")).drop("step", "held_out")
+        held = marked.filter("held_out")
         known = held.select(ITEM, STAMP, *map(col, self.known_names)) if self._uses_extras() else None
         metric, levels = self.eval_metric, self.levels if self.eval_metric == "WQL" else ()
         frames: list[DataFrame] = []
