@@ -29,7 +29,6 @@ from tidecast.operators.series import (
     item_bounds,
     item_frequency,
     join_known,
-    join_static,
     last_steps,
     missing_covariates,
     off_grid_items,

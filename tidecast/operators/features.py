@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidecast.operators.columns import align_columns, col
+from tidecast.operators.columns import col, missing_columns
 
 MAX_INDEXED = 64
 CATEGORY_BUCKETS = 1 << 10
@@ -98,6 +98,10 @@ class FeaturePlan:
         return Pipeline(stages=self.stages())
 
 
+def _words(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+
+
 def plan_features(
     df: DataFrame,
     columns: Sequence[str],
@@ -130,7 +134,7 @@ def plan_features(
     if open_strings:
         found = df.agg(
             *[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(open_strings)],
-            *[F.avg(F.size(F.split(col(c).cast("string"), r"\s+"))).alias(f"w{i}") for i, c in enumerate(open_strings)],
+            *[F.avg(_words(col(c).cast("string"))).alias(f"w{i}") for i, c in enumerate(open_strings)],
         ).first()
         declared, plan.categories = set(plan.categories), []
         for i, name in enumerate(open_strings):
@@ -149,6 +153,8 @@ def apply_featurizer(df: DataFrame, column: str, featurizer: Callable[[Column],
 
 
 def prepare(df: DataFrame, plan: FeaturePlan, extra: Sequence[Column] = ()) -> DataFrame:
-    aligned = align_columns(df, plan.columns)  # names the missing columns
-    del aligned
+    """The plan's inputs in their numeric, text or vector form, after the ``extra`` columns."""
+    missing = missing_columns(df.columns, plan.columns)
+    if missing:
+        raise ValueError(f"Missing columns in input data: {missing}")
     return df.select(*extra, *plan.prepared())

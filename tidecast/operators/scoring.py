@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidecast.operators.chunks import chunk_index
 from tidecast.operators.columns import ITEM, STAMP, col
-from tidecast.operators.series import with_step
+from tidecast.operators.series import last_chunks, with_step
 
 
 
@@ -50,15 +50,9 @@ def score_with(
 
 
 def recent_context(series: DataFrame, context: int, freq) -> DataFrame:
-    """The last ``context`` calendar steps of every item.
-
-    Bounds are joined on by (item, chunk), so a hot item is read by many tasks.
-    """
+    """The last ``context`` calendar steps of every item."""
     stepped = with_step(series, freq).withColumn("chunk", chunk_index(F.col("step")))
-    ends = stepped.groupBy(ITEM).agg(F.max("step").alias("last_step"))
-    first = chunk_index(F.col("last_step") - (context - 1))
-    touched = ends.withColumn("chunk", F.explode(F.sequence(first, chunk_index(F.col("last_step")))))
-    joined = stepped.join(touched, [ITEM, "chunk"])
+    joined = stepped.join(last_chunks(stepped, context), [ITEM, "chunk"])
     return joined.filter(F.col("step") > F.col("last_step") - context).drop("step", "chunk", "last_step")
 
 

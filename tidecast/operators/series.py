@@ -279,20 +279,22 @@ def check_forecast(forecast: DataFrame, items: DataFrame, horizon: int) -> DataF
     )
 
 
-def last_steps(series: DataFrame, horizon: int, freq) -> DataFrame:
-    """Series with ``held_out``: true on the last ``horizon`` grid steps of each item.
+def last_chunks(stepped: DataFrame, count: int) -> DataFrame:
+    """(item_id, chunk, last_step) for the chunks that each item's last ``count`` steps touch.
 
-    The item's last step is joined on by (item, chunk): the bounds are opened to one row per
-    chunk first, so a hot item is spread over as many tasks as it has chunks.
+    Joining this to series rows by (item, chunk) marks an item's end without gathering the
+    item: a hot one is read by as many tasks as it has chunks.
     """
-    stepped = with_step(series, freq).withColumn("chunk", chunk_index(F.col("step")))
     ends = stepped.groupBy(ITEM).agg(F.max("step").alias("last_step"))
-    # Only the chunks that the held-out range touches need the bound; all others are history.
-    touched = ends.withColumn(
-        "chunk",
-        F.explode(F.sequence(chunk_index(F.col("last_step") - (horizon - 1)), chunk_index(F.col("last_step")))),
-    )
-    marked = stepped.join(touched, [ITEM, "chunk"], "left")
+    first = chunk_index(F.col("last_step") - (count - 1))
+    return ends.withColumn("chunk", F.explode(F.sequence(first, chunk_index(F.col("last_step")))))
+
+
+def last_steps(series: DataFrame, horizon: int, freq) -> DataFrame:
+    """Series with ``step`` and ``held_out``: true on the last ``horizon`` steps of each item."""
+    stepped = with_step(series, freq).withColumn("chunk", chunk_index(F.col("step")))
+    # Chunks the held-out range does not touch find no partner: they are history.
+    marked = stepped.join(last_chunks(stepped, horizon), [ITEM, "chunk"], "left")
     held = F.coalesce(F.col("step") > F.col("last_step") - horizon, F.lit(False))
     return marked.withColumn("held_out", held).drop("chunk", "last_step")
 
