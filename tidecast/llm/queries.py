@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidecast.llm.common import table
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.mixing import mix_report
+from tidecast.llm.token_output import token_rows
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +21,12 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op3_host_rules": op3_host_rules,
+    "op9_token_ids": op9_token_ids,
 }
