@@ -9,6 +9,7 @@ from tidecast.llm.common import table
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.mixing import mix_report
 from tidecast.llm.token_output import token_rows
+from tidecast.llm.warc import warc_rows
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_rows(spark, table(spark, sf_dir, "pages")).drop("url", "file")
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, table(spark, sf_dir, "documents"))
 
@@ -28,5 +33,6 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op3_host_rules": op3_host_rules,
+    "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
 }
