@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import table
+from tidecast.llm.common import crc_mod, table
+from tidecast.llm.compression import fit_quality, score_quality
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.mixing import mix_report
 from tidecast.llm.token_output import token_rows
@@ -22,6 +23,17 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
+def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select(
+        "doc_id",
+        (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_rows(spark, table(spark, sf_dir, "pages")).drop("url", "file")
 
@@ -33,6 +45,7 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op3_host_rules": op3_host_rules,
+    "op4_compression_quality": op4_compression_quality,
     "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
 }
