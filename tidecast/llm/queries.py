@@ -9,6 +9,7 @@ from tidecast.llm.common import crc_mod, table
 from tidecast.llm.compression import fit_quality, score_quality
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.mixing import mix_report
+from tidecast.llm.secrets import scan_secrets
 from tidecast.llm.token_output import token_rows
 from tidecast.llm.warc import warc_rows
 
@@ -42,10 +43,17 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op3_host_rules": op3_host_rules,
     "op4_compression_quality": op4_compression_quality,
     "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
+    "op10_secrets": op10_secrets,
 }
