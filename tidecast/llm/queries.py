@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidecast.llm.common import crc_mod, table
 from tidecast.llm.compression import fit_quality, score_quality
 from tidecast.llm.host_rules import apply_rules
+from tidecast.llm.jaccard import similar_components
 from tidecast.llm.mixing import mix_report
 from tidecast.llm.secrets import scan_secrets
 from tidecast.llm.token_output import token_rows
@@ -35,6 +36,11 @@ def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_rows(spark, table(spark, sf_dir, "pages")).drop("url", "file")
 
@@ -53,6 +59,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op3_host_rules": op3_host_rules,
     "op4_compression_quality": op4_compression_quality,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
     "op10_secrets": op10_secrets,
