@@ -79,3 +79,19 @@ def test_packing_round_trip(width, tmp_path):
     assert [k for k, _, _ in reader.documents(100)] == [None, 1, 2, 3, 4, 5]
     assert np.array_equal(np.concatenate([x for _, _, x in reader.documents(100)]), ids)
     assert np.array_equal(reader.ids(8190, 8200), ids[8190:8200])
+
+
+def test_whole_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = [tuple(r) for r in token_rows(spark, docs).orderBy("start").collect()]
+    assert got == expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_marks_and_case():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizer_path())
+    texts = ["H̱a H̱.", "<|ENDOFTEXT|>. X<|endoftext|>.", "été. ÉTÉ!? a×b. don't. I'LL... 's'. x_y-z; (a) [b]", "A.B. c,d; ŉ. İ. ÿ!"]
+    coder = WordIds(tokenizer_path())
+    got = coder.encode([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]

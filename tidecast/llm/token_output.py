@@ -10,6 +10,7 @@ words one after another. Words are encoded once per worker and looked up after t
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,7 +22,7 @@ from tidecast.llm.common import named, pieces, stored
 from tidecast.session import scratch_path
 
 END_ID = 1
-KNOWN_WORDS = 400_000  # words a worker remembers; it starts anew beyond
+KNOWN_WORDS = 1_000_000  # words a worker remembers; it starts anew beyond
 FILE_IDS = 1 << 26  # ids after which a task begins its next file
 MANIFEST = "file string, n_docs long, n_ids long, width int"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -49,6 +50,8 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
         # Words of these characters are encoded many at a time: their pieces can be counted surely.
         self.plain = regex.compile(r"[\x21-\x7eÀ-įı-ſ]+")
+        # Letters, then marks that no piece joins to them; a dotted capital I becomes a letter and a mark.
+        self.ended = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+)([!-&(-/:;=>?@\[-`{-~]+)").fullmatch
         # The pieces the tokenizer's own file describes.
         self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -56,6 +59,14 @@ class WordIds:
         return self.np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
+        """Remember the ids of new words; those of letters and then marks come from their two parts."""
+        parted = [(raw, m) for raw in words if (m := self.ended(raw))]
+        parts = {x for _, m in parted for x in m.groups()} - self.known.keys()
+        whole = [raw for raw in words if not self.ended(raw)] if parted else words
+        self._encode_new(sorted(parts.union(whole)))
+        self.known.update((raw, self.known[m[1]] + self.known[m[2]]) for raw, m in parted)
+
+    def _encode_new(self, words: list[bytes]) -> None:
         together: list[tuple[bytes, str]] = []
         for raw in words:
             word = raw.decode("utf-8", "replace")
@@ -79,9 +90,14 @@ class WordIds:
                 self.known[raw] = data[begin:stop]
                 begin = stop
 
+    @staticmethod
+    def _may_lower(text: bytes) -> bool:
+        """Whether lower-casing A-Z first changes nothing: no combining marks, no special token's name."""
+        return b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
-        words = [x.split() for x in texts]
+        words = [(x.lower() if self._may_lower(x) else x).split() for x in texts]
         new = set().union(*words) - self.known.keys()
         if len(self.known) + len(new) > KNOWN_WORDS:
             self.known.clear()
