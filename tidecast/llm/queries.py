@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.common import crc_mod, table
 from tidecast.llm.compression import fit_quality, score_quality
+from tidecast.llm.decontamination import benchmark_matches
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.jaccard import similar_components
 from tidecast.llm.mixing import mix_report
@@ -21,6 +22,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
@@ -57,6 +62,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_decontaminate": op2_decontaminate,
     "op3_host_rules": op3_host_rules,
     "op4_compression_quality": op4_compression_quality,
     "op6_jaccard_join": op6_jaccard_join,
