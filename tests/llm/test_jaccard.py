@@ -2,7 +2,7 @@ import random
 from itertools import combinations
 
 from tidecast.llm.graph import components
-from tidecast.llm.jaccard import similar_components
+from tidecast.llm.jaccard import drop_near_duplicates, similar_components
 
 
 def sets_of(text):
@@ -10,7 +10,7 @@ def sets_of(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute(rows):
+def brute(rows, whole=False):
     sets = [sets_of(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -26,8 +26,8 @@ def brute(rows):
     out = []
     for i, (k, _) in enumerate(rows):
         same = [r[0] for j, r in enumerate(rows) if find(j) == find(i) and r[0] is not None]
-        out.append((k, len(sets[i]), min(same) if same else None))
-    return sorted(out, key=repr)
+        out.append((k, len(sets[i]), min(same) if same else None, rows[i]))
+    return out if whole else sorted((r[:3] for r in out), key=repr)
 
 
 def result(df):
@@ -62,6 +62,19 @@ def test_random_texts(spark):
     df = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, node int").repartition(5)
     assert result(similar_components(df)) == brute(rows)
     assert result(similar_components(df, rounds=1)) == brute(rows)
+    check_drop(drop_near_duplicates(df), df, rows)
+
+
+def check_drop(kept, df, rows):
+    assert kept.columns == df.columns
+    groups, bare = {}, []
+    for k, n, c, (_, t) in brute(rows, True):
+        if n:
+            groups.setdefault((c, t if c is None else None), []).append(k)
+        else:
+            bare.append(k)
+    want = bare + [min(g, key=lambda k: (k is None, k or 0)) for g in groups.values()]
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(want, key=repr)
 
 
 def test_whole_table(spark, sf_dir):

@@ -31,7 +31,7 @@ RUN = 4_000_000  # shingles counted together in a task
 ROUNDS = 4  # of pivots, before what is left is paired exhaustively
 WORD_LIMIT = 1 << 20  # words whose hashes a worker remembers
 
-PROFILE = "key long, node long, n int, need int, prefix array<long>"
+PROFILE = "key long, h long, node long, n int, need int, prefix array<long>"
 
 
 class Shingler:
@@ -122,7 +122,7 @@ def costly_shingles(docs: DataFrame, text: str = "text"):
 
 
 def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """Per row: key, node (hash of its set; null without shingles), n, need (its l) and prefix.
+    """Per row: key, h (hash of its text), node (of its set; null without shingles), n, need (its l) and prefix.
 
     A task gives the prefix of a node once only; nodes met by several tasks have it several times.
     """
@@ -140,15 +140,15 @@ def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", p
         given: set[int] = set()
         for keys, values in pieces(batches, 1):
             rows = []
-            for k, s in zip(keys, shingler.sets(values)):
+            for (k, h), s in zip(((x["key"], x["h"]) for x in keys), shingler.sets(values)):
                 n = len(s)
                 if not n:
-                    rows.append((k, None, 0, 0, None))
+                    rows.append((k, h, None, 0, 0, None))
                     continue
                 node = xxhash.xxh3_64_intdigest(s.tobytes())
                 node -= (node >> 63) << 64
                 if node in given:
-                    rows.append((k, node, n, 0, None))
+                    rows.append((k, h, node, n, 0, None))
                     continue
                 if len(given) >= 1_000_000:
                     given.clear()
@@ -162,13 +162,15 @@ def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", p
                 base = n - -(-percent * n // 100) + 1
                 spent = int(np.sort(cost)[:base].sum())
                 need = 1 + n // 32 + min(n // 16, spent.bit_length())
-                rows.append((k, node, n, need, ordered[: base + need - 1]))
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+                rows.append((k, h, node, n, need, ordered[: base + need - 1]))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "node", "n", "need", "prefix"]
+                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["key", "h", "node", "n", "need", "prefix"]
             )
 
-    slim = docs.select(named(key).cast("long").alias("key"), named(text).alias("text"))
+    slim = docs.select(
+        F.struct(named(key).cast("long").alias("key"), F.xxhash64(named(text)).alias("h")).alias("id"), named(text).alias("text")
+    )
     return stored(slim.mapInArrow(profile, PROFILE), "shingle-prefixes")
 
 
@@ -225,15 +227,10 @@ def _many(entries: DataFrame, label: str) -> DataFrame:
     )
 
 
-def similar_components(
+def classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, rounds: int = ROUNDS
 ) -> DataFrame:
-    """Per row of ``docs``: key, n_shingles, component_id (smallest key reachable by links) and node.
-
-    Null and blank texts have no shingles and are their own component. Repeated rows and equal texts
-    are in one component. A null key takes part like any other but is never the smallest, so the
-    component of null keys alone is null. An empty table gives no rows. Other columns are not read.
-    """
+    """Per row of ``docs``: key, h, node, n, root (the same within a component) and the component's smallest key."""
     rows = profiles(docs, costly_shingles(docs, text), key, text, percent)
     entries = rows.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), "node")
     met = stored(_many(entries, "node").distinct(), "shared-prefixes")
@@ -287,14 +284,47 @@ def _across(left: DataFrame) -> DataFrame:
 
 
 def _classes(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Each row with the smallest key of its node's component."""
     least = nodes.select("node", "key")
     if labels is None:
-        classes = least.select("node", F.col("key").alias("component_id"))
+        rooted = least.withColumn("root", F.col("node"))
     else:
         rooted = least.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        roots = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
-        classes = rooted.join(roots, "root").select("node", "component_id")
-    found = rows.select("key", "node", "n").join(classes, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return found.select("key", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"), "node")
+    roots = rooted.groupBy("root").agg(F.min("key").alias("least"))
+    by_node = rooted.select("node", "root").join(roots, "root")
+    return rows.select("key", "h", "node", "n").join(by_node, "node", "left")
+
+
+def similar_components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, rounds: int = ROUNDS
+) -> DataFrame:
+    """Per row of ``docs``: key, n_shingles and component_id (smallest key reachable by links).
+
+    Null and blank texts have no shingles and are their own component. Repeated rows and equal texts
+    are in one component. A null key takes part like any other but is never the smallest, so the
+    component of null keys alone is null. An empty table gives no rows. Other columns are not read.
+    """
+    own = F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("least"))
+    return classes(docs, key, text, percent, rounds).select(
+        "key", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id")
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest key, null last.
+
+    Of rows equal in key and text any one stays. Rows without shingles all stay.
+    """
+    found = stored(classes(docs, key, text, percent), "near-duplicates")
+    order = F.struct(F.col("key").isNull().alias("no_key"), "key", "h")
+    first = found.where("node IS NOT NULL").groupBy("root").agg(F.min(order).alias("m")).select("m.key", "m.h")
+    bare = found.where("node IS NULL").select("key", "h").distinct().withColumn("bare", F.lit(True))
+    stay = first.withColumn("bare", F.lit(False)).union(bare).select(F.col("key").alias("of"), F.col("h").alias("of_h"), "bare")
+    again = found.where("node IS NOT NULL").groupBy("key", "h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    packed = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("row"), named(key).cast("long").alias("key"), F.xxhash64(named(text)).alias("h"))
+    met = F.col("key").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h"))
+    if again.isEmpty():
+        return packed.join(stay, met, "left_semi").select("row.*")
+    kept = packed.join(stay, met).withColumn("nth", F.row_number().over(Window.partitionBy("key", "h").orderBy("bare")))
+    return kept.where("bare OR nth = 1").select("row.*")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidecast.llm.oracles import SQL
 from tidecast.llm.queries import QUERIES
 
 
 def all_llm_queries() -> dict:
-    return dict(QUERIES)
+    return QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def all_llm_sql() -> dict[str, str]:
