@@ -10,6 +10,7 @@ from tidecast.llm.compression import fit_quality, score_quality
 from tidecast.llm.decontamination import benchmark_matches
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.jaccard import similar_components
+from tidecast.llm.lm_scoring import score_texts
 from tidecast.llm.mixing import mix_report
 from tidecast.llm.secrets import scan_secrets
 from tidecast.llm.token_output import token_rows
@@ -41,6 +42,10 @@ def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similar_components(table(spark, sf_dir, "documents"))
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
@@ -65,6 +70,7 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_host_rules": op3_host_rules,
     "op4_compression_quality": op4_compression_quality,
+    "op5_context_tree": op5_context_tree,
     "op6_jaccard_join": op6_jaccard_join,
     "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
