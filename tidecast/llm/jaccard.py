@@ -7,6 +7,12 @@ from its size and from the estimated cost of its prefix, lengthens the prefix by
 goes on only if it shares the smaller of the two l. Costs are estimates and only decide the order
 and l, so they can't change the result.
 
+Lists of documents are then counted exactly, and the prefixes are cut a second time by the same
+rule: the sizes of those in a document's lists tell how many shingles any partner shares with it, so
+all of its longest lists but one of that many are left out. What is found nowhere else can't be
+shared, which bounds the overlap of a pair from above and takes documents out of lists where no
+other is small enough for them.
+
 Equal sets become one node first, so copies cost nothing later. A shingle's documents aren't paired
 with each other: in each of a few rounds they are paired with one pivot, links are verified on the
 whole sets, and components are merged. What then still lies in different components is paired
@@ -28,9 +34,13 @@ PERCENT = 75  # of the union, that the intersection must have
 COSTLY = 1 << 21  # most shingles that are told to be costly; 8 bytes each go to every worker
 SEEN = 16  # documents from which a shingle is told to be costly
 RUN = 4_000_000  # shingles counted together in a task
-ROUNDS = 4  # of pivots, before what is left is paired exhaustively
+ROUNDS = 2  # of pivots, before what is left is paired exhaustively
 WORD_LIMIT = 1 << 20  # words whose hashes a worker remembers
 
+SIDES = {"node": "", "n": "n", "slack": "s", "cut": "c", "most": "m"}  # columns of either side of a pair
+
+BITS = 16  # longs of a set's bitmap
+
 PROFILE = "key long, h long, node long, n int, need int, prefix array<long>"
 
 
@@ -161,7 +171,7 @@ def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", p
                 ordered = s if not cost.any() else s[np.argsort(cost, kind="stable")]
                 base = n - -(-percent * n // 100) + 1
                 spent = int(np.sort(cost)[:base].sum())
-                need = 1 + n // 32 + min(n // 16, spent.bit_length())
+                need = 1 + n // 16 + min(n // 16, spent.bit_length())
                 rows.append((k, h, node, n, need, ordered[: base + need - 1]))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays(
@@ -175,24 +185,35 @@ def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", p
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """(node, shingles) of ``nodes`` (node, key): the texts of one key per node are read again."""
+    """(node, shingles, bits) of ``nodes`` (node, key): the texts of one key per node are read again.
+
+    ``bits`` has a bit for every shingle by its hash.
+    """
 
     def shingles(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         import xxhash
 
         shingler = Shingler()
+
+        def bitmap(shingles):
+            out = np.zeros(64 * BITS, np.uint8)
+            out[shingles & (64 * BITS - 1)] = 1
+            return np.packbits(out).view(np.int64)
+
         for _, values in pieces(batches, 0):
             sets = [s for s in shingler.sets(values) if len(s)]
             hashes = [xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets]
             arrays = [pa.array([h - ((h >> 63) << 64) for h in hashes], pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles"])
+            arrays.append(pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles", "bits"])
 
     slim = docs.select(named(key).cast("long").alias("key"), named(text).alias("text"))
     wanted = nodes.select(F.col("key").alias("of"))
     texts = slim.join(wanted, F.col("key").eqNullSafe(F.col("of")), "left_semi").select("text")
     return stored(
-        texts.mapInArrow(shingles, "node long, shingles array<long>")
+        texts.mapInArrow(shingles, "node long, shingles array<long>, bits array<long>")
         .join(nodes.select("node"), "node", "left_semi")
         .dropDuplicates(["node"]),
         "shingle-sets",
@@ -200,21 +221,58 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFr
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    """The pairs (a, b) whose whole sets are similar enough.
+
+    Bitmaps come first: bits that only one of two sets has are shingles that only one has, so they
+    bound the overlap from above, and only pairs within the bound are joined with the sets.
+    """
+
+    def both(pairs: DataFrame, column: str) -> DataFrame:
+        own = sets.select("node", F.col(column).alias("held"), F.size("shingles").alias("size"))
+        for side in ("a", "b"):
+            pairs = pairs.join(own.withColumnsRenamed({"node": side, "held": f"held_{side}", "size": f"size_{side}"}), side)
+        return pairs
+
+    total = F.col("size_a") + F.col("size_b")
+    apart = sum((F.bit_count(F.get("held_a", F.lit(k)).bitwiseXOR(F.get("held_b", F.lit(k)))) for k in range(BITS)), F.lit(0))
+    # twice the overlap is at most total - apart
+    possible = both(pairs, "bits").where((total - apart) * (100 + percent) >= 2 * percent * total).select("a", "b")
+    shared = F.size(F.array_intersect("held_a", "held_b"))
+    return both(possible, "shingles").where(100 * shared >= percent * (total - shared)).select("a", "b")
+
+
+def _overlap(na, nb, percent: int):
+    """The least overlap of similar sets of these sizes."""
+    return F.ceil((na + nb) * percent / (100 + percent))
 
 
 def _pairs(candidates: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b) of candidates that fit by size and share the smaller need of prefix shingles."""
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    counted = candidates.where(fits).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("shared"), F.min(F.least("la", "lb")).alias("need")
+    """Distinct (a, b) of candidates that can be similar by size and share enough prefix shingles.
+
+    Prefixes share the least overlap less what the larger rest of a set may hold of it; the
+    shingles that either has left out are taken off.
+    """
+    least = _overlap(F.col("na"), F.col("nb"), percent)
+    fits = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (F.least("ma", "mb") >= least)
+    enough = least - F.greatest("sa", "sb") - F.greatest("ca", "cb")
+    counted = candidates.where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min(enough).alias("enough"))
+    return counted.where("shared >= enough").select("a", "b")
+
+
+def _fitting(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries whose list has another that is small enough, cut to the shortest lists that are needed.
+
+    The smallest size and the largest rest in a list bound what a partner in it shares from below;
+    the least over a node's lists holds for all its partners.
+    """
+    of, by_node = Window.partitionBy("shingle"), Window.partitionBy("node")
+    small, slack = F.min("n").over(of), F.greatest("slack", F.max("slack").over(of))
+    listed = entries.withColumns({"small": small, "rest": slack}).where(
+        F.col("most") >= _overlap(F.col("n"), F.col("small"), percent)
     )
-    return counted.where("shared >= need").select("a", "b")
+    shares = _overlap(F.col("n"), F.col("small"), percent) - F.col("rest")
+    cut = F.greatest("cut", F.min(shares).over(by_node) - 1)
+    return listed.withColumn("cut", cut).where("nth <= met - cut").drop("small", "rest")
 
 
 def _many(entries: DataFrame, label: str) -> DataFrame:
@@ -233,31 +291,41 @@ def classes(
     """Per row of ``docs``: key, h, node, n, root (the same within a component) and the component's smallest key."""
     rows = profiles(docs, costly_shingles(docs, text), key, text, percent)
     entries = rows.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), "node")
-    met = stored(_many(entries, "node").distinct(), "shared-prefixes")
+    of, by_node = Window.partitionBy("shingle"), Window.partitionBy("node")
+    listed = entries.repartition("shingle").dropDuplicates(["shingle", "node"]).withColumn("c", F.count(F.lit(1)).over(of))
+    met = stored(listed.where("c > 1"), "shared-prefixes")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("key").alias("key"), F.first("n").alias("n"), F.max("need").alias("need")
+        F.min("key").alias("key"), F.first("n").alias("n"), F.max(F.size("prefix")).alias("long")
     )
     # A partner has at least three quarters of the size, which bounds its need from below.
-    enough = F.least(F.col("need"), 1 + F.floor(F.floor(F.col("n") * percent / 100) / 32))
-    able = met.groupBy("node").agg(F.count(F.lit(1)).alias("shared")).join(nodes, "node").where(F.col("shared") >= enough)
-    able = stored(able.select("node", "key", "n", "need"), "candidate-nodes")
+    cut = F.floor(F.floor(F.col("n") * percent / 100) / 16)
+    kept = (
+        met.join(nodes.drop("key"), "node")
+        .withColumns({"met": F.count(F.lit(1)).over(by_node), "nth": F.row_number().over(by_node.orderBy("c", "shingle")), "cut": cut})
+        .where("nth <= met - cut")
+        .withColumns({"slack": F.col("n") - F.col("long"), "most": F.col("n") - F.col("long") + F.col("met")})
+        .drop("c", "long")
+    )
+    left = stored(_many(_fitting(kept, percent), "node"), "entries")
+    able = stored(left.select("node").distinct().join(nodes, "node").select("node", "key"), "candidate-nodes")
     sets = whole_sets(docs, able, key, text)
-    left = stored(_many(met.join(able.select("node", "n", "need"), "node"), "node"), "entries")
     links, labels = None, None
     for turn in range(rounds):
         if left.isEmpty():
             break
-        of = Window.partitionBy("shingle").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+        # first the one with least of its own, which is nearest to the others, then any
+        own = [F.col("n") - F.col("most")] if not turn else []
+        of = Window.partitionBy("shingle").orderBy(*own, F.xxhash64("node", F.lit(turn)), "node")
         pivoted = left.select(
-            F.first("node").over(of).alias("b"), F.first("n").over(of).alias("nb"), F.first("need").over(of).alias("lb"),
-            F.col("node").alias("a"), F.col("n").alias("na"), F.col("need").alias("la"),
+            *[F.first(c).over(of).alias(f"{short}b") for c, short in SIDES.items()],
+            *[F.col(c).alias(f"{short}a") for c, short in SIDES.items()],
         )
         new = verified(_pairs(pivoted.where("a <> b"), percent), sets, percent)
         links = stored(new if links is None else links.union(new).distinct(), "similar")
         labels = components(links)
         left = stored(_many(_labelled(left.drop("label"), labels), "label"), "entries")
     if links is not None and not left.isEmpty():
-        links = links.union(verified(_pairs(_across(left), percent), sets, percent))
+        links = links.union(verified(_pairs(_across(_fitting(left, percent)), percent), sets, percent))
         labels = components(links)
     return _classes(rows, nodes, labels)
 
@@ -267,20 +335,17 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _across(left: DataFrame) -> DataFrame:
-    """Every pair of a shingle's nodes with different labels; the largest label isn't paired with itself."""
+    """Every pair of a shingle's nodes with different labels; the most frequent label isn't paired with itself."""
     sizes = left.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c"))
     major = sizes.groupBy("shingle").agg(F.max_by("label", F.struct("c", "label")).alias("major"))
-    minor = left.join(major, "shingle").where("label <> major").select(
-        "shingle", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("need").alias("lx"), F.col("label").alias("lax")
-    )
-    pairs = minor.join(left, "shingle").where("label <> lax")
+    minor = left.join(major, "shingle").where("label <> major")
+    minor = minor.select("shingle", "major", F.col("label").alias("other"), *[F.col(c).alias(f"{short}x") for c, short in SIDES.items()])
+    pairs = minor.join(left, "shingle").where("label <> other AND (label = major OR x < node)")
     flip = F.col("x") < F.col("node")
     return pairs.select(
-        "shingle",
-        F.when(flip, F.col("x")).otherwise(F.col("node")).alias("a"), F.when(flip, F.col("node")).otherwise(F.col("x")).alias("b"),
-        F.when(flip, F.col("nx")).otherwise(F.col("n")).alias("na"), F.when(flip, F.col("n")).otherwise(F.col("nx")).alias("nb"),
-        F.when(flip, F.col("lx")).otherwise(F.col("need")).alias("la"), F.when(flip, F.col("need")).otherwise(F.col("lx")).alias("lb"),
-    ).distinct()
+        *[F.when(flip, F.col(f"{short}x")).otherwise(F.col(c)).alias(f"{short}a") for c, short in SIDES.items()],
+        *[F.when(flip, F.col(c)).otherwise(F.col(f"{short}x")).alias(f"{short}b") for c, short in SIDES.items()],
+    )
 
 
 def _classes(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
