@@ -10,6 +10,7 @@ from tidecast.llm.compression import fit_quality, score_quality
 from tidecast.llm.decontamination import benchmark_matches
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.jaccard import similar_components
+from tidecast.llm.lines import duplicate_lines
 from tidecast.llm.lm_scoring import score_texts
 from tidecast.llm.mixing import mix_report
 from tidecast.llm.secrets import scan_secrets
@@ -51,6 +52,12 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped")
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_rows(spark, table(spark, sf_dir, "pages")).drop("url", "file")
 
@@ -72,6 +79,7 @@ QUERIES = {
     "op4_compression_quality": op4_compression_quality,
     "op5_context_tree": op5_context_tree,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
     "op10_secrets": op10_secrets,
