@@ -58,35 +58,42 @@ class WordIds:
     def _alone(self, word: str) -> bytes:
         return self.np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words) -> None:
         """Remember the ids of new words; those of letters and then marks come from their two parts."""
-        parted = [(raw, m) for raw in words if (m := self.ended(raw))]
-        parts = {x for _, m in parted for x in m.groups()} - self.known.keys()
-        whole = [raw for raw in words if not self.ended(raw)] if parted else words
-        self._encode_new(sorted(parts.union(whole)))
-        self.known.update((raw, self.known[m[1]] + self.known[m[2]]) for raw, m in parted)
-
-    def _encode_new(self, words: list[bytes]) -> None:
-        together: list[tuple[bytes, str]] = []
+        known, ended, whole, parted = self.known, self.ended, set(), []
         for raw in words:
+            m = ended(raw)
+            if m:
+                parted.append((raw, *m.groups()))
+            else:
+                whole.add(raw)
+        whole.update(x for _, *parts in parted for x in parts if x not in known)
+        self._encode_new(whole)
+        for raw, letters, marks in parted:
+            known[raw] = known[letters] + known[marks]
+
+    def _encode_new(self, words: set[bytes]) -> None:
+        np, together = self.np, []
+        for raw in words:
+            if raw.isalpha():  # of ASCII letters: one piece
+                together.append((raw, 1))
+                continue
             word = raw.decode("utf-8", "replace")
             if self.plain.fullmatch(word) and "<|" not in word:
-                together.append((raw, word))
+                together.append((raw, 1 if word.isalpha() else len(self.piece.findall(word.lower()))))
             else:
                 self.known[raw] = self._alone(word)
-        np = self.np
         for at in range(0, len(together), 4096):
             run = together[at : at + 4096]
-            joined = " ".join(word for _, word in run)
+            joined = b" ".join([raw for raw, _ in run]).decode()
             ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
-            counts = [1 if w.isalpha() else len(self.piece.findall(w.lower())) for _, w in run]
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != sum(counts):
-                self.known.update((raw, self._alone(word)) for raw, word in run)
+            counts = np.cumsum([n for _, n in run])
+            if len(ends) != counts[-1]:
+                self.known.update((raw, self._alone(raw.decode())) for raw, _ in run)
                 continue
-            stops = ends[np.cumsum(counts) - 1] * 4
             data, begin = ids.tobytes(), 0
-            for (raw, _), stop in zip(run, stops.tolist()):
+            for (raw, _), stop in zip(run, (ends[counts - 1] * 4).tolist()):
                 self.known[raw] = data[begin:stop]
                 begin = stop
 
@@ -102,7 +109,7 @@ class WordIds:
         if len(self.known) + len(new) > KNOWN_WORDS:
             self.known.clear()
             new = set().union(*words)
-        self._learn(sorted(new))
+        self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
 
