@@ -180,7 +180,7 @@ def test_known_covariates(series):
         model.predict(promo, short, static)
     with pytest.raises(ValueError, match="static features"):
         model.predict(promo, known)
-    with pytest.raises(ValueError, match="missing declared"):
+    with pytest.raises(ValueError, match="lacks"):
         ForecastEstimator(known_covariates_names=["price"]).fit(promo)
     # Models that cannot use covariates ignore them.
     complete(forecast(promo, H, freq="D", model="naive", known_covariates=known, static_features=static), series)

@@ -59,6 +59,32 @@ def src_read_tsv(spark, sf_dir):
     return read_table(path, PARTS, spark)
 
 
+@query("src_csv_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def src_csv_documents(spark, sf_dir):
+    """Texts with line ends and quotes, to CSV and back."""
+    path, docs = scratch_path(spark, "documents") + ".csv", table(spark, sf_dir, "documents")
+    convert_format(docs, "csv", path, spark)
+    return read_table(path, docs.schema, spark)
+
+
+@query("src_csv_other_order", _PARTS_SQL)
+def src_csv_other_order(spark, sf_dir):
+    """A file whose header is in another order than the schema."""
+    path, part = scratch_path(spark, "part") + ".csv", table(spark, sf_dir, "part")
+    convert_format(part.select(*reversed(part.columns)), "csv", path, spark)
+    return read_table(path, PARTS, spark)
+
+
+@query("src_headers_mixed", _PARTS_SQL)
+def src_headers_mixed(spark, sf_dir):
+    """One folder of files with a header, with one in another order, and with none."""
+    path, part = scratch_path(spark, "part") + ".csv", table(spark, sf_dir, "part")
+    other = part.select(*reversed(part.columns))
+    for turn, (frame, header) in enumerate([(part, True), (other, True), (part, False)]):
+        frame.where(F.col("p_partkey") % 3 == turn).write.mode("append").csv(path, header=header, escape='"')
+    return read_headerless(path, part.schema, spark)
+
+
 @query("src_convert_round_trip", _PARTS_SQL)
 def src_convert_round_trip(spark, sf_dir):
     """Parquet to CSV and back."""

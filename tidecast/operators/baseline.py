@@ -25,14 +25,18 @@ _NEEDS_LAG_1 = {"naive", "seasonal_naive", "drift"}
 def item_statistics(
     series: DataFrame, freq, season: int, models: Sequence[str] = BASELINES, scale: bool = False
 ) -> DataFrame:
-    """One row per item with what ``models`` need (and the seasonal scale when asked)."""
+    """One row per item with what ``models`` need (and the seasonal scale when asked).
+
+    The origin (last_timestamp, last_step) comes from all rows; null targets only stay out of the
+    statistics, so an item of nulls has a row without any.
+    """
     freq = Frequency.parse(freq)
     lags = set()
     if _NEEDS_LAG_1 & set(models):
         lags.add(1)
     if "seasonal_naive" in models or scale:
         lags.add(season)
-    rows = with_step(series, freq).select(ITEM, STAMP, "step", TARGET).filter(F.col(TARGET).isNotNull())
+    rows = with_step(series, freq).select(ITEM, STAMP, "step", TARGET)
     source = rows
     if lags:
         rows = with_halo(rows, max(lags))
@@ -41,17 +45,19 @@ def item_statistics(
             ITEM, STAMP, "step", "in_halo", refuse_duplicates(F.col(TARGET)).alias(TARGET), *change.values()
         ).filter(~F.col("in_halo"))
     y, x = F.col(TARGET), F.col("step").cast("double")
+    seen = F.when(y.isNotNull(), F.col("step"))
     wanted = [
         F.count(y).alias("n"),
         F.max(STAMP).alias("last_timestamp"),
-        F.min("step").alias("first_step"),
+        F.min(seen).alias("first_step"),
         F.max("step").alias("last_step"),
-        F.max_by(y, "step").alias("y_last"),
+        F.max(seen).alias("last_seen"),
+        F.max_by(y, seen).alias("y_last"),
     ]
     if "mean" in models:
         wanted += [F.avg(y).alias("y_mean"), F.var_samp(y).alias("y_var")]
     if "drift" in models:
-        wanted.append(F.min_by(y, "step").alias("y_first"))
+        wanted.append(F.min_by(y, seen).alias("y_first"))
     if "trend" in models:
         wanted += [
             F.regr_avgx(y, x).alias("x_bar"),
@@ -76,12 +82,13 @@ def item_statistics(
         return stats
     # Latest value seen in each season position: at most ``season`` small rows per item.
     latest = (
-        source.groupBy(ITEM, F.pmod("step", F.lit(season)).alias("phase"))
+        source.filter(y.isNotNull())
+        .groupBy(ITEM, F.pmod("step", F.lit(season)).alias("phase"))
         .agg(F.max_by(y, "step").alias("value"))
         .groupBy(ITEM)
         .agg(F.map_from_entries(F.collect_list(F.struct("phase", "value"))).alias("by_phase"))
     )
-    return stats.join(latest, ITEM)
+    return stats.join(latest, ITEM, "left")
 
 
 def _safe_sqrt(value: Column) -> Column:
@@ -95,32 +102,33 @@ def _ratio(top: Column, bottom: Column) -> Column:
 def baseline_mean_sigma(model: str, season: int, h: Column) -> tuple[Column, Column]:
     """(mean, sigma) of ``model`` at step ``h``, over a row of ``item_statistics``."""
     n, last = F.col("n"), F.col("y_last")
+    away = F.col("last_step") - F.col("last_seen") + h  # steps since the last observed value
     if model in ("naive", "seasonal_naive"):
-        naive_sigma = F.sqrt(_ratio(F.col("ss_d1"), F.col("n1"))) * F.sqrt(h)
+        naive_sigma = F.sqrt(_ratio(F.col("ss_d1"), F.col("n1"))) * F.sqrt(away)
     if model == "naive":
         return last, naive_sigma
     if model == "seasonal_naive":
         # Histories shorter than one season fall back to the naive forecast.
-        short = F.col("last_step") - F.col("first_step") + 1 < season
+        short = F.col("last_seen") - F.col("first_step") + 1 < season
         phase = F.pmod(F.col("last_step") + h, F.lit(season))
         seasonal = F.coalesce(F.element_at(F.col("by_phase"), phase), last)
-        rounds = F.floor((h - 1) / season)
+        rounds = F.floor((away - 1) / season)
         sigma = F.sqrt(_ratio(F.col("ss_dm"), F.col("nm"))) * F.sqrt(rounds + 1)
         return F.when(short, last).otherwise(seasonal), F.when(short, naive_sigma).otherwise(sigma)
     if model == "mean":
         return F.col("y_mean"), F.sqrt(F.col("y_var")) * F.sqrt(1 + 1 / n)
     if model == "drift":
-        span = F.col("last_step") - F.col("first_step")
+        span = F.col("last_seen") - F.col("first_step")
         slope = F.coalesce(_ratio(last - F.col("y_first"), span), F.lit(0.0))
         ss = F.col("ss_d1") - 2 * slope * F.col("sum_d1") + F.col("n1") * slope * slope
-        sigma = _safe_sqrt(_ratio(ss, F.col("n1") - 1)) * F.sqrt(h * (1 + _ratio(h, span)))
-        return last + h * slope, sigma
+        sigma = _safe_sqrt(_ratio(ss, F.col("n1") - 1)) * F.sqrt(away * (1 + _ratio(away, span)))
+        return last + away * slope, sigma
     if model == "trend":
         slope = F.coalesce(_ratio(F.col("sxy"), F.col("sxx")), F.lit(0.0))
-        away = F.col("last_step") + h - F.col("x_bar")
+        off = F.col("last_step") + h - F.col("x_bar")
         residual = F.col("syy") - slope * F.col("sxy")
-        sigma = _safe_sqrt(_ratio(residual, n - 2)) * F.sqrt(1 + 1 / n + _ratio(away * away, F.col("sxx")))
-        return F.col("y_bar") + slope * away, sigma
+        sigma = _safe_sqrt(_ratio(residual, n - 2)) * F.sqrt(1 + 1 / n + _ratio(off * off, F.col("sxx")))
+        return F.col("y_bar") + slope * off, sigma
     raise ValueError(f"unknown baseline {model!r}; known: {BASELINES}")
 
 

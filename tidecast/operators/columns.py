@@ -27,7 +27,7 @@ def align_columns(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Exactly ``expected``, in that order; extras are dropped (and never scanned)."""
     missing = missing_columns(df.columns, expected)
     if missing:
-        raise ValueError(f"Missing columns in input data: {missing}")
+        raise ValueError(f"the input lacks {', '.join(missing)}")
     return df.select(*map(col, expected))
 
 
@@ -57,12 +57,15 @@ def canonicalize(
     sources = [source for source, _ in wanted.values()]
     missing = missing_columns(df.columns, sources)
     if missing:
-        raise ValueError(f"Missing columns in series data: {missing}")
+        raise ValueError(f"the series lacks {', '.join(missing)}")
     rest = [name for name in df.columns if name not in sources]
     clash = [name for name in rest if name in wanted]
     if clash:
         raise ValueError(f"Columns {clash} collide with the canonical series names")
     named = [col(source).cast(kind).alias(name) for name, (source, kind) in wanted.items()]
+    if target is not None:  # NaN is how other libraries write a missing value
+        value = col(target).cast("double")
+        named[-1] = F.when(~F.isnan(value), value).alias(TARGET)
     return df.select(*named, *map(col, rest))
 
 
@@ -76,20 +79,25 @@ def known_covariate_names(known: DataFrame, id_column: str = ITEM, timestamp_col
     return [name for name in known.columns if name not in (id_column, timestamp_column)]
 
 
-def require_columns(df: DataFrame, names: Iterable[str], table: str) -> None:
-    for name in missing_columns(df.columns, names):
-        raise ValueError(f"`{table}` must contain column '{name}'.")
+def _report(problems: Sequence[str]) -> None:
+    """One error that lists everything found."""
+    if problems:
+        raise ValueError("; ".join(problems))
+
+
+def _lacking(table: str, df: DataFrame, names: Iterable[str]) -> list[str]:
+    gone = missing_columns(df.columns, names)
+    return [f"{table} lacks {', '.join(gone)}"] if gone else []
 
 
 def validate_tabular(train: DataFrame, test: DataFrame | None, label: str | None) -> None:
+    """The label is named and trained on; a test table has every feature."""
     if not label:
-        raise ValueError("a tabular estimator needs a `label`")
-    if label not in train.columns:
-        raise ValueError(f"Label column {label!r} is not present in the training data.")
+        _report(["no label was named"])
+    problems = _lacking("train_data", train, [label])
     if test is not None:
-        missing = missing_columns(test.columns, feature_columns(train, label))
-        if missing:
-            raise ValueError(f"Test data is missing feature columns present in the training data: {missing}.")
+        problems += _lacking("test_data", test, feature_columns(train, label))
+    _report(problems)
 
 
 def validate_series(
@@ -99,9 +107,10 @@ def validate_series(
     timestamp_column: str = STAMP,
     target: str = TARGET,
 ) -> None:
-    for name, df in (("train_data", train), ("tuning_data", tuning)):
-        if df is not None:
-            require_columns(df, (id_column, timestamp_column, target), name)
+    """Every series table has its id, timestamp and target."""
+    tables = {"train_data": train, "tuning_data": tuning}
+    keys = (id_column, timestamp_column, target)
+    _report([p for name, df in tables.items() if df is not None for p in _lacking(name, df, keys)])
 
 
 def validate_known_covariates(
@@ -111,24 +120,25 @@ def validate_known_covariates(
     id_column: str = ITEM,
     timestamp_column: str = STAMP,
 ) -> list[str]:
-    """Check the covariate table; returns the covariate names (inferred when not given)."""
-    if names is not None and not isinstance(names, (list, tuple)):
-        raise ValueError(f"known covariate names must be a list or tuple of strings, got {type(names).__name__}.")
+    """Names of the known covariates (inferred when not given), once both tables have them.
+
+    Columns that nobody declared are left out with a warning.
+    """
+    keys = (id_column, timestamp_column)
+    if isinstance(names, str) or not isinstance(names, (list, tuple, type(None))):
+        _report([f"names of known covariates come as a list, not as {type(names).__name__}"])
+    if names is None:
+        names = known_covariate_names(known, *keys) if known is not None else []
+    problems = []
     if known is not None:
-        require_columns(known, (id_column, timestamp_column), "known_covariates")
-        if names is None:
-            names = known_covariate_names(known, id_column, timestamp_column)
-        missing = missing_columns(known.columns, names)
-        if missing:
-            raise ValueError(f"`known_covariates` is missing declared columns: {missing}.")
-        extra = missing_columns((*names, id_column, timestamp_column), known.columns)
-        if extra:
-            warnings.warn(f"`known_covariates` has undeclared columns that are ignored: {extra}", stacklevel=2)
-    if names and train is not None:
-        missing = missing_columns(train.columns, names)
-        if missing:
-            raise ValueError(f"`train_data` is missing declared known covariates: {missing}.")
-    return list(names or [])
+        problems += _lacking("known_covariates", known, (*keys, *names))
+        unused = missing_columns((*keys, *names), known.columns)
+        if unused and not problems:
+            warnings.warn(f"left out, since not declared: {', '.join(unused)}", stacklevel=2)
+    if train is not None:
+        problems += _lacking("train_data", train, names)
+    _report(problems)
+    return list(names)
 
 
 def schema_to_json(schema: T.StructType) -> str:

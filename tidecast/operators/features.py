@@ -156,5 +156,5 @@ def prepare(df: DataFrame, plan: FeaturePlan, extra: Sequence[Column] = ()) -> D
     """The plan's inputs in their numeric, text or vector form, after the ``extra`` columns."""
     missing = missing_columns(df.columns, plan.columns)
     if missing:
-        raise ValueError(f"Missing columns in input data: {missing}")
+        raise ValueError(f"the input lacks {', '.join(missing)}")
     return df.select(*extra, *plan.prepared())

@@ -21,7 +21,7 @@ from tidecast.operators.chunks import refuse_duplicates, value_at_lag, with_halo
 from tidecast.operators.columns import ITEM, STAMP, TARGET, col
 from tidecast.operators.series import future_rows, join_known, with_step
 
-HASH_SIZE = 256
+HASH_SIZE = 256  # buckets of all text covariates together, unless ``hash_size`` says otherwise
 
 
 def default_lags(horizon: int, season: int) -> list[int]:
@@ -69,14 +69,16 @@ class LagRegression:
         covariates: Sequence[str] = (),
         static: Sequence[str] = (),
         reg_param: float = 0.0,
+        hash_size: int = HASH_SIZE,
     ):
         self.horizon, self.freq, self.season = horizon, Frequency.parse(freq), season
         self.lags = sorted(lags or default_lags(horizon, season))
         if self.lags[0] < horizon:
             raise ValueError(f"lags shorter than the horizon {horizon} would use unknown values: {self.lags}")
-        self.calendar, self.reg_param = calendar, reg_param
+        self.calendar, self.reg_param, self.hash_size = calendar, reg_param, hash_size
         self.covariates, self.static = list(covariates), list(static)
         self.model: PipelineModel | None = None
+        self.means: dict[str, float] = {}
 
     @property
     def extra(self) -> list[str]:
@@ -85,6 +87,9 @@ class LagRegression:
     def _features(self, rows: DataFrame) -> DataFrame:
         return lag_features(rows, self.freq, self.season, self.lags, self.calendar, self.extra)
 
+    def _imputed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({c: F.coalesce(col(c).cast("double"), F.lit(float(m))) for c, m in self.means.items()})
+
     def fit(self, series: DataFrame) -> "LagRegression":
         """Runs the regression job over every row whose lags are all known."""
         data = self._features(series).dropna(subset=[TARGET, *(f"lag_{k}" for k in self.lags)])
@@ -94,10 +99,16 @@ class LagRegression:
         numeric += list(calendar_columns(self.season)) if self.calendar else []
         numeric += [c for c in self.extra if c not in text]
         stages: list = []
+        given = [c for c in self.extra if c not in text]
+        if given:
+            # A missing covariate counts as its mean; means of nothing as zero.
+            means = data.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(given)]).first()
+            self.means = {c: means[i] or 0.0 for i, c in enumerate(given)}
+        data = self._imputed(data)
         if text:
-            stages.append(FeatureHasher(inputCols=text, outputCol="hashed", numFeatures=HASH_SIZE))
+            stages.append(FeatureHasher(inputCols=text, outputCol="hashed", numFeatures=self.hash_size))
         inputs = numeric + (["hashed"] if text else [])
-        stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
+        stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
         stages.append(
             LinearRegression(labelCol=TARGET, featuresCol="features", predictionCol="mean", regParam=self.reg_param)
         )
@@ -111,7 +122,7 @@ class LagRegression:
         """
         ends = with_step(series, self.freq).groupBy(ITEM).agg(
             F.max(STAMP).alias("last_timestamp"),
-            F.max_by(TARGET, "step").alias("y_last"),
+            F.max_by(TARGET, F.when(F.col(TARGET).isNotNull(), F.col("step"))).alias("y_last"),
             *[F.any_value(col(c)).alias(c) for c in self.static],
         )
         future = future_rows(ends, self.horizon, self.freq).drop("last_timestamp")
@@ -122,8 +133,12 @@ class LagRegression:
         rows = lag_features(both, self.freq, self.season, self.lags, self.calendar, [*self.extra, "h", "y_last"])
         lags = [f"lag_{k}" for k in self.lags]
         # Future steps of a history too short for a lag use the latest value in its place.
-        rows = rows.withColumns({c: F.coalesce(F.col(c), F.col("y_last")) for c in lags}).dropna(subset=lags)
-        scored = self.model.transform(rows)
+        # An item without any value keeps its steps and gets null forecasts.
+        rows = rows.withColumns({c: F.coalesce(F.col(c), F.col("y_last")) for c in lags})
+        unknown = F.greatest(*[F.col(c).isNull() for c in lags], F.lit(False))
+        rows = rows.withColumn("unknown", unknown).filter(F.col("h").isNotNull() | ~F.col("unknown"))
+        scored = self.model.transform(self._imputed(rows.fillna(0.0, subset=lags)))
+        scored = scored.withColumn("mean", F.when(~F.col("unknown"), F.col("mean")))
         error = F.when(F.col("h").isNull(), F.col(TARGET) - F.col("mean"))
         sigma = scored.groupBy(ITEM).agg(F.sqrt(F.avg(error * error)).alias("sigma"))
         return (

@@ -60,7 +60,11 @@ def error_products(forecasts: DataFrame, actuals: DataFrame, models: Sequence[st
 
 
 def greedy_weights(products: Mapping[tuple[str, str], float], models: Sequence[str], rounds: int = 20) -> dict[str, float]:
-    """Ensemble weights by repeatedly adding the candidate that lowers squared error most."""
+    """Ensemble weights by repeatedly adding the candidate that lowers squared error most.
+
+    Squared error decides whatever metric ranks the candidates, because it is the one that needs
+    only the products of their errors.
+    """
     counts = dict.fromkeys(models, 0)
 
     def loss(trial: Mapping[str, int]) -> float:
@@ -79,6 +83,8 @@ def weighted_ensemble(forecasts: DataFrame, weights: Mapping[str, float], name:
     used = forecasts.filter(F.col("model").isin(list(weights))).withColumn("w", weight)
     return used.groupBy(ITEM, STAMP, "h").agg(
         F.lit(name).alias("model"),
-        (F.sum(F.col("w") * F.col("mean")) / F.sum("w")).alias("mean"),
-        (F.sum(F.col("w") * F.col("sigma")) / F.sum("w")).alias("sigma"),
+        *[  # a candidate without a value leaves the others their weights
+            (F.sum(F.col("w") * F.col(c)) / F.sum(F.when(F.col(c).isNotNull(), F.col("w")))).alias(c)
+            for c in ("mean", "sigma")
+        ],
     )

@@ -308,7 +308,13 @@ def smoothing_mean_sigma(h: Column) -> tuple[Column, Column]:
 
 
 def smoothing_forecast(series: DataFrame, horizon: int, freq, kind: str = "ses") -> DataFrame:
-    """(item_id, timestamp, h, model, mean, sigma) of one smoother."""
-    ahead = future_rows(smoothing_states(series, freq, kind), horizon, freq)
-    mean, sigma = smoothing_mean_sigma(F.col("h"))
+    """(item_id, timestamp, h, model, mean, sigma) of one smoother.
+
+    Steps follow each item's last timestamp, also where its last targets are null; an item of
+    nulls gets null forecasts.
+    """
+    ends = with_step(series, freq).groupBy(ITEM).agg(F.max(STAMP).alias("last_timestamp"), F.max("step").alias("origin"))
+    states = smoothing_states(series, freq, kind).drop("last_timestamp")
+    ahead = future_rows(ends.join(states, ITEM, "left"), horizon, freq)
+    mean, sigma = smoothing_mean_sigma(F.col("h") + F.col("origin") - F.col("last_step"))
     return ahead.select(ITEM, STAMP, "h", F.lit(kind).alias("model"), mean.alias("mean"), sigma.alias("sigma"))

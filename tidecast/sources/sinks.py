@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.operators.columns import col, stringify_columns
+from tidecast.sources.tables import CSV_WRITE, read_csv
 
 # Answer types, by content type.
 ANSWER_FORMATS = {"application/x-parquet": "parquet", "application/json": "json", "text/csv": "csv"}
@@ -45,7 +46,7 @@ def write_predictions(df: DataFrame, path: str) -> str:
     if not whole or not path.endswith((".csv", ".parquet")):
         raise ValueError(f"predictions path must be a full URL ending in '.csv' or '.parquet', got {path!r}")
     writer = df.write.mode("overwrite")
-    writer.csv(path, header=True, escape='"') if path.endswith(".csv") else writer.parquet(path)
+    writer.options(**CSV_WRITE).csv(path) if path.endswith(".csv") else writer.parquet(path)
     return path
 
 
@@ -53,14 +54,14 @@ def answer_format(accept: str) -> str:
     for content_type, fmt in ANSWER_FORMATS.items():
         if content_type in accept.lower():
             return fmt
-    raise ValueError(f"{accept} content type not supported")
+    raise ValueError(f"answers as {accept} are not supported; known: {', '.join(ANSWER_FORMATS)}")
 
 
 def render(df: DataFrame, accept: str, path: str) -> str:
     """Write an answer in the accepted format; column names become text."""
     fmt = answer_format(accept)
     writer = stringify_columns(df).write.mode("overwrite").format(fmt)
-    (writer.option("header", True).option("escape", '"') if fmt == "csv" else writer).save(path)
+    (writer.options(**CSV_WRITE) if fmt == "csv" else writer).save(path)
     return path
 
 
@@ -75,8 +76,7 @@ def read_predictions(
     """Results of an earlier run, with the types they were written with."""
     session = spark or SparkSession.active()
     fmt = answer_format(accept)
-    reader = session.read.format(fmt).schema(schema)
-    return (reader.option("header", True).option("escape", '"') if fmt == "csv" else reader).load(path)
+    return read_csv(path, schema, spark=session) if fmt == "csv" else session.read.format(fmt).schema(schema).load(path)
 
 
 LEADERBOARD = "model string, score_val double, eval_metric string, fit_time double"
@@ -90,10 +90,3 @@ def write_leaderboard(board: DataFrame, path: str) -> str:
 def read_leaderboard(path: str, spark: SparkSession | None = None) -> DataFrame:
     """A missing leaderboard is an error, never an empty table."""
     return (spark or SparkSession.active()).read.csv(path, header=True, schema=LEADERBOARD)
-
-
-def keep_result(df: DataFrame, save_path: str | None = None, persist: bool = True) -> DataFrame:
-    """Retention switches of a result: write it to ``save_path`` when it is to be kept."""
-    if persist and save_path is not None:
-        write_predictions(df, save_path)
-    return df
