@@ -31,7 +31,7 @@ from tidecast.llm.graph import components
 
 WORDS = 5
 PERCENT = 75  # of the union, that the intersection must have
-COSTLY = 1 << 21  # most shingles that are told to be costly; 8 bytes each go to every worker
+COSTLY = 1 << 23  # most shingles that are told to be costly; 8 bytes each go to every worker
 SEEN = 16  # documents from which a shingle is told to be costly
 RUN = 4_000_000  # shingles counted together in a task
 ROUNDS = 2  # of pivots, before what is left is paired exhaustively
