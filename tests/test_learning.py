@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tidecast.functions import metrics
 from tidecast.operators.bayes import GaussianBayes
 from tidecast.operators.features import plan_features
+from tidecast.operators.proba import class_list
 from tidecast.operators.scoring import score_items, score_with
 from tidecast.operators.splits import fold_of, holdout_rows, sample_n
-from tidecast.operators.spread import input_bytes, spread_small
 from tidecast.plans.multimodal import MultiModalEstimator, MultiModalModel
 from tidecast.plans.tabular import TabularEstimator, TabularModel, problem_type
 
@@ -114,9 +114,10 @@ def test_column_kinds(spark):
         F.lit("one two three four five six").alias("words"),
         F.array(F.lit(1.0), F.lit(2.0)).alias("vector"),
     )
-    plan = plan_features(df, df.columns)
+    plan = plan_features(df, df.columns, text_columns=["words"], categorical_columns=["few"])
     assert (plan.numeric, plan.dates, plan.categories) == (["x"], ["day"], ["few"])
     assert (plan.hashed, plan.text, plan.vectors) == (["many"], ["words"], ["vector"])
+    assert plan_features(df, df.columns).hashed == plan_features(df.limit(1), df.columns).hashed == ["few", "many", "words"]
     with pytest.raises(ValueError, match="needs a featurizer"):
         plan_features(df.withColumn("b", F.lit(b"x")), ["b"])
 
@@ -140,10 +141,23 @@ def test_splits_and_samples(spark):
         assert picked.exceptAll(again).count() == 0
 
 
-def test_small_inputs_are_spread(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    assert 0 < input_bytes(df) < 10_000_000
-    assert spread_small(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_many_classes(spark):
+    df = spark.range(6000).select("id", (F.col("id") % 1200).alias("y"), (F.col("id") % 1200).cast("double").alias("x"))
+    assert problem_type(df, "y") == "regression" and len(class_list(df, "y")) == 1200
+    model = GaussianBayes.fit(df, "y", ["x"], smoothing=1e-4)
+    hit = model.predict_proba(df.withColumnRenamed("y", "truth"), keys=["id", "truth"]).where("y = truth").count()
+    assert hit >= 5900
+
+
+def test_bagged_sets_and_boosted_classes(people):
+    three = people.withColumn("level", F.when(F.col("hours") > 45, "c").when(F.col("hours") > 25, "b").otherwise("a"))
+    estimator = TabularEstimator("level", ignore_columns=["id", "class"])
+    model = estimator.fit(three, hyperparameters={"tree": {"maxDepth": 3}}, num_bag_folds=2, num_bag_sets=2, keys=["id"], parallelism=2)
+    assert len(model.members["tree"]) == 4 and model.scores[0][1] > 0.9
+    boosted = TabularEstimator("level", ignore_columns=["id", "class"]).fit(
+        three, hyperparameters={"boosted": {"maxIter": 2, "maxDepth": 3}}, keys=["id"]
+    )
+    assert boosted.predict(three, keys=["id"]).join(three.select("id", F.col("level").alias("t")), "id").where("level = t").count() > 550
 
 
 def test_metrics_agree_with_spark(people):

@@ -61,8 +61,8 @@ def tab_stringify_columns(spark, sf_dir):
 
 
 @query("tab_problem_type", """SELECT 'l_returnflag' AS label, 'classification' AS problem UNION ALL
-    SELECT 'l_linenumber', 'classification' UNION ALL SELECT 'l_extendedprice', 'regression' UNION ALL
-    SELECT 'l_partkey', CASE WHEN count(DISTINCT l_partkey) <= 20 THEN 'classification' ELSE 'regression' END FROM lineitem""")
+    SELECT 'l_linenumber', 'regression' UNION ALL SELECT 'l_extendedprice', 'regression' UNION ALL
+    SELECT 'l_partkey', 'regression'""")
 def tab_problem_type(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     labels = ["l_returnflag", "l_linenumber", "l_extendedprice", "l_partkey"]

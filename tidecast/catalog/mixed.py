@@ -98,18 +98,20 @@ def _labelled(spark, sf_dir):
 
 @query("text_classify")
 def text_classify(spark, sf_dir):
-    """Quality of each labelled document from its whole text."""
+    """Quality of every document from its whole text, learnt from the labelled ones."""
     data = _labelled(spark, sf_dir).select("doc_id", "text", "quality")
-    estimator = MultiModalEstimator("quality", "acc", text_columns=["text"], ignore_columns=["doc_id"])
+    estimator = MultiModalEstimator(
+        "quality", "acc", problem_type="classification", text_columns=["text"], ignore_columns=["doc_id"]
+    )
     model = estimator.fit(data, hyperparameters={"linear": {"maxIter": 20, "regParam": 0.01}}, keys=["doc_id"])
-    return rounded(model.score(data, keys=["doc_id"]))
+    return rounded(model.score(table(spark, sf_dir, "documents"), keys=["doc_id"]))
 
 
 @query("embedding_classify")
 def embedding_classify(spark, sf_dir):
     """Ten classes from 64-dimensional vectors."""
     data = table(spark, sf_dir, "embeddings")
-    estimator = MultiModalEstimator("label", vector_columns=["embedding"], ignore_columns=["vec_id"])
+    estimator = MultiModalEstimator("label", problem_type="classification", vector_columns=["embedding"], ignore_columns=["vec_id"])
     model = estimator.fit(data, hyperparameters={"linear": {"maxIter": 20, "regParam": 0.01}}, keys=["vec_id"])
     return rounded(model.score(data, keys=["vec_id"]))
 
@@ -119,10 +121,11 @@ def mixed_classify(spark, sf_dir):
     """Toxicity from text, language, source, length and the raw bytes as an image stand-in."""
     data = _labelled(spark, sf_dir).withColumn("bytes", F.encode("text", "UTF-8")).drop("quality")
     estimator = MultiModalEstimator(
-        "toxic", "acc", image_column="bytes", text_columns=["text"], ignore_columns=["doc_id"]
+        "toxic", "acc", image_column="bytes", problem_type="classification", text_columns=["text"], ignore_columns=["doc_id"]
     )
     model = estimator.fit(data, hyperparameters={"linear": {"maxIter": 20, "regParam": 0.01}}, keys=["doc_id"])
-    return rounded(model.score(data, keys=["doc_id"]))
+    every = table(spark, sf_dir, "documents").withColumn("bytes", F.encode("text", "UTF-8"))
+    return rounded(model.score(every, keys=["doc_id"]))
 
 
 # -- files and paths -------------------------------------------------------------------------------------

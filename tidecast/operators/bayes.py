@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.operators.columns import col
-from tidecast.operators.proba import MAX_CLASSES, best_class, proba_name
+from tidecast.operators.proba import best_place, proba_name
 
 
 @dataclass(frozen=True)
@@ -32,9 +32,9 @@ class GaussianBayes:
         moments = [F.avg(col(f)).alias(f"m{i}") for i, f in enumerate(features)]
         moments += [F.var_pop(col(f)).alias(f"v{i}") for i, f in enumerate(features)]
         rows = df.filter(col(label).isNotNull()).groupBy(col(label).alias("c")).agg(F.count("*").alias("n"), *moments)
-        found = sorted(rows.limit(MAX_CLASSES + 1).collect(), key=lambda r: r.c)
-        if not found or len(found) > MAX_CLASSES:
-            raise ValueError(f"label {label!r} needs between 1 and {MAX_CLASSES} classes")
+        found = sorted(rows.collect(), key=lambda r: r.c)  # one row per class
+        if not found:
+            raise ValueError(f"label {label!r} has no values")
         total = sum(r.n for r in found)
         span = range(len(features))
         extra = smoothing * max(max((r[f"v{i}"] or 0.0) for i in span) for r in found) or smoothing
@@ -49,24 +49,34 @@ class GaussianBayes:
 
     def predict_proba(self, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         """(keys, label, one probability per class); a null feature is left out of the product."""
-        scores = []
-        for prior, means, variances in zip(self.priors, self.means, self.variances):
-            score = F.lit(math.log(prior))
-            for f, m, v in zip(self.features, means, variances):
-                away = col(f) - F.lit(m)
-                term = F.lit(-0.5 * math.log(2 * math.pi * v)) - away * away / F.lit(2 * v)
-                score = score + F.coalesce(term, F.lit(0.0))
-            scores.append(score)
-        names = [f"_s{i}" for i in range(len(scores))]
-        scored = df.select(*map(col, keys), *[s.alias(n) for s, n in zip(scores, names)])
-        top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
-        scored = scored.withColumns({n: F.exp(F.col(n) - top) for n in names})
-        total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
-        probabilities = [F.col(n) / total for n in names]
+        # Parameters are array literals and classes an index, so the plan does not grow with them.
+        constant = [[-0.5 * math.log(2 * math.pi * v) for v in vs] for vs in self.variances]
+        double = [[2 * v for v in vs] for vs in self.variances]
+        prior, mean = F.lit([math.log(p) for p in self.priors]), F.lit([list(m) for m in self.means])
+        constant, double = F.lit(constant), F.lit(double)
+        values = F.array(*[col(f).cast("double") for f in self.features])
+        places = F.sequence(F.lit(0), F.lit(len(self.features) - 1))
+
+        def score(c: Column) -> Column:
+            def term(total: Column, i: Column) -> Column:
+                away = F.get("_x", i) - F.get(F.get(mean, c), i)
+                return total + F.coalesce(F.get(F.get(constant, c), i) - away * away / F.get(F.get(double, c), i), F.lit(0.0))
+
+            return F.aggregate(places, F.get(prior, c), term)
+
+        scored = df.select(*map(col, keys), values.alias("_x")).withColumn(
+            "_s", F.transform(F.sequence(F.lit(0), F.lit(len(self.priors) - 1)), score)
+        )
+        # ``bound`` keeps a value from being worked out again for every element of an array.
+        bound = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
+        away = bound(F.col("_s"), lambda s: bound(F.array_max(s), lambda m: F.transform(s, lambda x: F.exp(x - m))))
+        total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
+        share = bound(away, lambda e: bound(total(e), lambda t: F.transform(e, lambda x: x / t)))
+        scored = scored.withColumn("_p", share)
         return scored.select(
             *map(col, keys),
-            best_class(probabilities, self.classes).alias(self.label),
-            *[p.alias(proba_name(c)) for p, c in zip(probabilities, self.classes)],
+            F.element_at(F.lit(list(self.classes)), best_place(F.col("_p"))).alias(self.label),
+            *[F.col("_p")[i].alias(proba_name(c)) for i, c in enumerate(self.classes)],
         )
 
 

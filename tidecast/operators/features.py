@@ -1,8 +1,8 @@
 """Feature plan of a tabular model: which column is treated how, and the Spark ML stages.
 
-Nothing that grows with the data reaches the driver: categories are indexed only when there
-are few of them and hashed otherwise, text goes through term hashing, and the one profiling
-job returns a single row.
+Only types and declarations decide: declared categories are indexed, declared text is hashed
+term by term, and any other string is hashed whole, each column into buckets of its own. The
+number of rows or of distinct values never changes a model's features.
 """
 
 from __future__ import annotations
@@ -27,10 +27,8 @@ from pyspark.sql import types as T
 
 from tidecast.operators.columns import col, missing_columns
 
-MAX_INDEXED = 64
-CATEGORY_BUCKETS = 1 << 10
-TEXT_BUCKETS = 1 << 13
-TEXT_WORDS = 4  # strings of more words than this on average count as text
+CATEGORY_BUCKETS = 1 << 10  # per hashed column, unless given
+TEXT_BUCKETS = 1 << 13  # per text column, unless given
 
 FEATURES, LABEL = "features", "label_index"
 
@@ -45,6 +43,7 @@ class FeaturePlan:
     text: list[str] = field(default_factory=list)
     vectors: list[str] = field(default_factory=list)
     text_buckets: int = TEXT_BUCKETS
+    category_buckets: int = CATEGORY_BUCKETS
 
     def to_dict(self) -> dict:
         return asdict(self)
@@ -79,9 +78,9 @@ class FeaturePlan:
             stages.append(StringIndexer(inputCols=self.categories, outputCols=indexed, handleInvalid="keep"))
             stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=False))
             inputs += encoded
-        if self.hashed:
-            stages.append(FeatureHasher(inputCols=self.hashed, outputCol="__hashed", numFeatures=CATEGORY_BUCKETS))
-            inputs.append("__hashed")
+        for c in self.hashed:
+            stages.append(FeatureHasher(inputCols=[c], outputCol=f"{c}__hashed", numFeatures=self.category_buckets))
+            inputs.append(f"{c}__hashed")
         for c in self.text:
             # No inverse document frequencies: they rescale columns, which neither trees nor
             # standardised linear models react to, and would cost a pass over all text.
@@ -98,10 +97,6 @@ class FeaturePlan:
         return Pipeline(stages=self.stages())
 
 
-def _words(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
-
-
 def plan_features(
     df: DataFrame,
     columns: Sequence[str],
@@ -109,10 +104,10 @@ def plan_features(
     vector_columns: Sequence[str] = (),
     categorical_columns: Sequence[str] = (),
     text_buckets: int = TEXT_BUCKETS,
+    category_buckets: int = CATEGORY_BUCKETS,
 ) -> FeaturePlan:
-    """Sort columns into kinds; undeclared strings are profiled in one aggregate job."""
-    plan = FeaturePlan(list(columns), text_buckets=text_buckets)
-    open_strings = []
+    """Sort columns into kinds by declaration, then by type."""
+    plan = FeaturePlan(list(columns), text_buckets=text_buckets, category_buckets=category_buckets)
     for name in columns:
         kind = df.schema[name].dataType
         if name in text_columns:
@@ -126,24 +121,9 @@ def plan_features(
         elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             plan.dates.append(name)
         elif isinstance(kind, T.StringType):
-            open_strings.append(name)
+            plan.hashed.append(name)
         else:
             raise ValueError(f"column {name!r} of type {kind.simpleString()} needs a featurizer")
-    for name in plan.categories:
-        open_strings.append(name)
-    if open_strings:
-        found = df.agg(
-            *[F.approx_count_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(open_strings)],
-            *[F.avg(_words(col(c).cast("string"))).alias(f"w{i}") for i, c in enumerate(open_strings)],
-        ).first()
-        declared, plan.categories = set(plan.categories), []
-        for i, name in enumerate(open_strings):
-            if name not in declared and (found[f"w{i}"] or 0) > TEXT_WORDS:
-                plan.text.append(name)
-            elif found[f"d{i}"] <= MAX_INDEXED:
-                plan.categories.append(name)
-            else:
-                plan.hashed.append(name)
     return plan
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tidecast.operators.columns import PROBA, align_columns, col
 
-MAX_CLASSES = 1000
-
 
 def proba_name(value: object) -> str:
     return f"{value}{PROBA}"
@@ -33,22 +31,23 @@ def split_pred_proba(
     return prediction, df.select(*map(col, keys), *renamed)
 
 
-def class_list(df: DataFrame, label: str, limit: int = MAX_CLASSES) -> list:
-    """Classes in label order. Runs a job; refuses labels with more than ``limit`` values."""
-    found = [r[0] for r in df.select(col(label)).filter(col(label).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"label {label!r} has more than {limit} classes")
-    return sorted(found)
+def class_list(df: DataFrame, label: str) -> list:
+    """Classes in label order. Runs a job; the driver gets one value per class."""
+    return [r[0] for r in distinct_classes(df, label).collect()]
 
 
 def distinct_classes(df: DataFrame, label: str) -> DataFrame:
     return df.select(col(label)).filter(col(label).isNotNull()).distinct().orderBy(col(label))
 
 
+def best_place(probabilities: Column) -> Column:
+    """Place (from 1) of the largest value of an array; ties go to the first."""
+    return F.array_position(probabilities, F.array_max(probabilities)).cast("int")
+
+
 def best_class(probabilities: Sequence[Column], classes: Sequence[object]) -> Column:
     """Most probable class; ties go to the first class in stored order."""
-    chosen = F.array_position(F.array(*probabilities), F.greatest(*probabilities)) if len(probabilities) > 1 else F.lit(1)
-    return F.element_at(F.array(*map(F.lit, classes)), chosen.cast("int"))
+    return F.element_at(F.lit(list(classes)), best_place(F.array(*probabilities)))
 
 
 def predict_from_proba(df: DataFrame, label: str, classes: Sequence[object], keys: Sequence[str] = ()) -> DataFrame:

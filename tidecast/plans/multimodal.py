@@ -74,7 +74,8 @@ class MultiModalEstimator:
     ) -> "MultiModalModel":
         train, tuning = as_frame(train_data), as_frame(tuning_data)
         column = self.image_column or find_image_column(train)
-        vectors = list(self.options.pop("vector_columns", []))
+        options = dict(self.options)
+        vectors = list(options.pop("vector_columns", []))
         if column is not None:
             files = _files(images)
             if files is not None:
@@ -84,7 +85,7 @@ class MultiModalEstimator:
                 train = train.withColumn(column, self.featurizer(col(column)))
                 tuning = tuning.withColumn(column, self.featurizer(col(column))) if tuning is not None else None
             vectors.append(column)
-        estimator = TabularEstimator(self.label, self.eval_metric, vector_columns=vectors, **self.options)
+        estimator = TabularEstimator(self.label, self.eval_metric, vector_columns=vectors, **options)
         return MultiModalModel(estimator.fit(train, tuning, **fit_args), column, self.featurizer)
 
     def fit_predict(self, *args, **kwargs):

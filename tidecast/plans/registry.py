@@ -14,12 +14,14 @@ FORECASTERS = (*BASELINES, *SMOOTHERS, "lag_regression")
 FORECAST_PRESETS = {
     "fast_training": ("naive", "seasonal_naive"),
     "medium_quality": ("naive", "seasonal_naive", "drift", "ses"),
+    "good_quality": (*BASELINES, *SMOOTHERS),
     "high_quality": (*BASELINES, *SMOOTHERS, "lag_regression"),
     "best_quality": (*BASELINES, *SMOOTHERS, "lag_regression", "ensemble"),
 }
 TABULAR_PRESETS = {
     "fast_training": ("linear",),
     "medium_quality": ("linear", "tree"),
+    "good_quality": ("linear", "forest"),
     "high_quality": ("linear", "tree", "forest"),
     "best_quality": ("linear", "tree", "forest", "boosted"),
 }

@@ -16,6 +16,7 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     NaiveBayes,
+    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
@@ -26,18 +27,25 @@ from pyspark.sql import types as T
 
 from tidecast.functions import metrics
 from tidecast.operators.columns import align_columns, col, feature_columns, validate_tabular
-from tidecast.operators.features import FEATURES, LABEL, FeaturePlan, apply_featurizer, plan_features, prepare
+from tidecast.operators.features import (
+    CATEGORY_BUCKETS,
+    FEATURES,
+    LABEL,
+    TEXT_BUCKETS,
+    FeaturePlan,
+    apply_featurizer,
+    plan_features,
+    prepare,
+)
 from tidecast.operators.leaderboard import rank_models
-from tidecast.operators.proba import best_class, class_list, proba_name
+from tidecast.operators.proba import best_place, class_list, proba_name
 from tidecast.operators.splits import fold_of, holdout_rows
-from tidecast.operators.spread import spread_small
 from tidecast.plans.registry import TABULAR_PRESETS, merge_settings, preset
 from tidecast.sources.sinks import LEADERBOARD, write_predictions
 from tidecast.sources.store import read_json, write_json
-from tidecast.sources.tables import as_frame
+from tidecast.sources.tables import as_frame, read_table
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
-FEW_VALUES = 20  # integer labels with at most this many values are classes
 
 _CLASSIFIERS = {
     "linear": LogisticRegression,
@@ -57,29 +65,25 @@ REGRESSION_METRICS = ("rmse", "mse", "mae", "r2")
 
 
 def problem_type(df: DataFrame, label: str, given: str | None = None) -> str:
-    """Text, boolean and few-valued integer labels are classes; a given type wins.
+    """Text and boolean labels are classes, numbers are not; a given type wins.
 
-    Looks at the data only for integer labels, with one bounded distinct.
+    Only the schema decides, so more rows never change the task. Name the type for numbered classes.
     """
     if given is not None:
         given = {"binary": CLASSIFICATION, "multiclass": CLASSIFICATION}.get(given, given)
         if given not in (CLASSIFICATION, REGRESSION):
             raise ValueError(f"unknown problem type {given!r}")
         return given
-    kind = df.schema[label].dataType
-    if isinstance(kind, (T.StringType, T.BooleanType)):
-        return CLASSIFICATION
-    if isinstance(kind, T.IntegralType):
-        few = df.select(col(label)).distinct().limit(FEW_VALUES + 1).count() <= FEW_VALUES
-        return CLASSIFICATION if few else REGRESSION
-    return REGRESSION
+    classes = isinstance(df.schema[label].dataType, (T.StringType, T.BooleanType))
+    return CLASSIFICATION if classes else REGRESSION
 
 
 class TabularEstimator:
     """Fit candidates on a table.
 
     ``text_columns``, ``vector_columns`` and ``categorical_columns`` override what is read
-    off the schema; ``featurizers`` maps a binary (image) column to a function from its
+    off the schema; other strings are hashed whole into ``category_buckets``, and terms of text
+    into ``text_buckets``, per column; ``featurizers`` maps a binary (image) column to a function from its
     column to an array of doubles.
     """
 
@@ -94,12 +98,15 @@ class TabularEstimator:
         featurizers: Mapping[str, Callable[[Column], Column]] | None = None,
         ignore_columns: Sequence[str] = (),
         hyperparameters: Mapping[str, Mapping[str, Any]] | None = None,
+        text_buckets: int = TEXT_BUCKETS,
+        category_buckets: int = CATEGORY_BUCKETS,
     ):
         self.label, self.eval_metric, self.problem = label, eval_metric, problem_type
         self.text_columns, self.vector_columns = list(text_columns), list(vector_columns)
         self.categorical_columns = list(categorical_columns)
         self.featurizers = dict(featurizers or {})
         self.ignore_columns = list(ignore_columns)
+        self.buckets = {"text_buckets": text_buckets, "category_buckets": category_buckets}
         self.hyperparameters = dict(hyperparameters or {})
         self.custom: dict[str, Estimator] = {}
         self.fitted = False
@@ -114,8 +121,6 @@ class TabularEstimator:
     def _candidates(self, requested, presets, search, problem, classes) -> list[tuple[str, Estimator]]:
         layers = requested if isinstance(requested, Mapping) else {}
         names = list(requested) if requested else [*preset(TABULAR_PRESETS, presets, "medium_quality"), *self.custom]
-        if not requested and problem == CLASSIFICATION and len(classes) > 2:
-            names = [n for n in names if n != "boosted"]
         out: list[tuple[str, Estimator]] = []
         for name in names:
             settings = merge_settings(name, self.hyperparameters.get(name), layers.get(name))
@@ -137,8 +142,9 @@ class TabularEstimator:
         table = _CLASSIFIERS if problem == CLASSIFICATION else _REGRESSORS
         if name not in table:
             raise ValueError(f"unknown {problem} candidate {name!r}; known: {sorted([*table, *self.custom])}")
-        if name == "boosted" and problem == CLASSIFICATION and len(classes) != 2:
-            raise ValueError("boosted trees separate two classes only")
+        if name == "boosted" and problem == CLASSIFICATION and len(classes) > 2:
+            # these trees separate two classes: one model for each class against the others
+            return OneVsRest(featuresCol=FEATURES, labelCol=LABEL, classifier=table[name](**settings))
         return table[name](featuresCol=FEATURES, labelCol=LABEL, **settings)
 
     # -- fitting ----------------------------------------------------------------------------
@@ -155,6 +161,7 @@ class TabularEstimator:
         num_bag_sets: int = 1,
         keys: Sequence[str] | None = None,
         parallelism: int = 1,
+        partitions: int | None = None,
     ) -> "TabularModel":
         """Fit every candidate and keep the best on held-out rows.
 
@@ -162,6 +169,8 @@ class TabularEstimator:
         is given. A single candidate without tuning data is fitted on all rows. With
         ``num_bag_folds`` each candidate is a bag of one model per fold and set, scored on
         the rows each model did not see. ``time_limit`` (seconds) is checked between fits.
+        ``parallelism`` is how many candidates, or folds of one, are fitted at a time;
+        ``partitions`` deals the rows anew before fitting, for tables of few large files.
         """
         if self.fitted:
             raise ValueError("this estimator is already fitted; make a new one")
@@ -185,10 +194,11 @@ class TabularEstimator:
             fit_rows, check_rows = train, tuning
         else:
             fit_rows, check_rows = holdout_rows(train, keys, seed=1)
-        fit_rows = spread_small(fit_rows)
+        if partitions is not None:
+            fit_rows = fit_rows.repartition(partitions)
         vectors = [*self.vector_columns, *model.featurizers]
         featured = model._featurize(fit_rows)
-        model.plan = plan_features(featured, columns, self.text_columns, vectors, self.categorical_columns)
+        model.plan = plan_features(featured, columns, self.text_columns, vectors, self.categorical_columns, **self.buckets)
 
         extra = [self._label_column(problem, classes).alias(LABEL)]
         fold_keys = list(keys or fit_rows.columns)
@@ -211,7 +221,7 @@ class TabularEstimator:
                 return None
             began = time.monotonic()
             if num_bag_folds:
-                members, scored = self._bag(estimator, data, num_bag_folds, num_bag_sets, model)
+                members, scored = self._bag(estimator, data, num_bag_folds, num_bag_sets, model, parallelism)
             else:
                 members = [Pipeline(stages=[estimator]).fit(data)]
                 scored = model._raw_output(check, members) if check is not None else None
@@ -234,19 +244,24 @@ class TabularEstimator:
         self.fitted = True
         return model
 
-    def _bag(self, estimator, data, folds, sets, model):
-        """One model per (set, fold); out-of-fold outputs stacked for scoring."""
-        members, parts = [], []
-        for s in range(sets):
-            for k in range(folds):
-                fitted = Pipeline(stages=[estimator]).fit(data.filter(F.col(f"fold{s}") != k))
-                members.append(fitted)
-                if s == 0:
-                    parts.append(model._raw_output(data.filter(F.col("fold0") == k), [fitted]))
-        scored = parts[0]
-        for part in parts[1:]:
-            scored = scored.unionByName(part)
-        return members, scored
+    def _bag(self, estimator, data, folds, sets, model, parallelism=1):
+        """One model per (set, fold), and each row with the mean of those that did not see it."""
+
+        def fit(job):
+            s, k = job
+            return Pipeline(stages=[estimator]).fit(data.filter(F.col(f"fold{s}") != k))
+
+        jobs = [(s, k) for s in range(sets) for k in range(folds)]
+        if parallelism > 1:
+            with ThreadPool(parallelism) as pool:
+                members = pool.map(inheritable_thread_target(data.sparkSession)(fit), jobs)
+        else:
+            members = [fit(j) for j in jobs]
+        unseen = lambda outputs: [
+            F.element_at(F.array(*outputs[s * folds : (s + 1) * folds]), (F.col(f"fold{s}") + 1).cast("int"))
+            for s in range(sets)
+        ]
+        return members, model._raw_output(data, members, unseen)
 
     def _metric(self, problem: str, classes: list) -> str:
         if self.eval_metric is None:
@@ -262,7 +277,7 @@ class TabularEstimator:
     def _label_column(self, problem: str, classes: list) -> Column:
         if problem == REGRESSION:
             return col(self.label).cast("double")
-        place = F.array_position(F.array(*map(F.lit, classes)), col(self.label)) - 1
+        place = F.array_position(F.lit(classes), col(self.label)) - 1
         return F.when(place >= 0, place).cast("double")
 
     def fit_predict(self, train_data, test_data, predictions_path: str | None = None, keys=None, **fit_args):
@@ -275,8 +290,11 @@ class TabularEstimator:
     ):
         """(prediction, probabilities), or the probabilities alone."""
         model = self._fit_for(train_data, test_data, keys, fit_args)
-        _written(model.score(test_data, keys=keys), predictions_path)
-        return model.predict_proba(test_data, include_predict=include_predict, keys=keys)
+        scored = model.score(test_data, keys=keys)
+        if predictions_path is not None:  # scored once: both results are read back from what was written
+            write_predictions(scored, predictions_path)
+            scored = read_table(predictions_path, scored.schema, scored.sparkSession)
+        return model.frames(scored, keys, include_predict)
 
     def _fit_for(self, train_data, test_data, keys, fit_args) -> "TabularModel":
         if test_data is None:
@@ -310,8 +328,11 @@ class TabularModel:
             df = apply_featurizer(df, column, featurizer)
         return df
 
-    def _raw_output(self, data: DataFrame, members: Sequence[PipelineModel]) -> DataFrame:
-        """``data`` with ``output``: mean class probabilities, or the mean prediction."""
+    def _raw_output(self, data: DataFrame, members: Sequence[PipelineModel], choose=None) -> DataFrame:
+        """``data`` with ``output``: mean class probabilities, or the mean prediction.
+
+        ``choose`` picks which members' outputs count for a row (default: all).
+        """
         outputs = []
         for i, member in enumerate(members):
             data = member.transform(data)
@@ -320,16 +341,17 @@ class TabularModel:
             elif "probability" in data.columns:
                 out = vector_to_array(F.col("probability"))
             else:  # a classifier without probabilities votes for one class
-                votes = [F.when(F.col("prediction") == j, 1.0).otherwise(0.0) for j in range(len(self.classes))]
-                out = F.array(*votes)
+                places = F.sequence(F.lit(0), F.lit(len(self.classes) - 1))
+                out = F.transform(places, lambda j: F.when(F.col("prediction") == j, 1.0).otherwise(0.0))
             data = data.withColumn(f"_out{i}", out).drop("prediction", "probability", "rawPrediction")
             outputs.append(F.col(f"_out{i}"))
-        if len(outputs) == 1:
-            mean = outputs[0]
-        elif self.problem == REGRESSION:
-            mean = sum(outputs[1:], outputs[0]) / len(outputs)
-        else:
-            mean = F.array(*[sum((o[j] for o in outputs[1:]), outputs[0][j]) / len(outputs) for j in range(len(self.classes))])
+        counted = choose(outputs) if choose is not None else outputs
+        mean = counted[0]
+        for other in counted[1:]:
+            mean = mean + other if self.problem == REGRESSION else F.zip_with(mean, other, lambda a, b: a + b)
+        if len(counted) > 1:
+            n = len(counted)
+            mean = mean / n if self.problem == REGRESSION else F.transform(mean, lambda x: x / n)
         return data.withColumn("output", mean).drop(*[f"_out{i}" for i in range(len(outputs))])
 
     def _score(self, scored: DataFrame, metric: str) -> float:
@@ -343,13 +365,12 @@ class TabularModel:
             if metric == "r2":
                 return 1.0 - row.mse / row["var"] if row["var"] else 0.0
             return -{"mse": row.mse, "rmse": row.mse**0.5, "mae": row.mae}[metric]
-        indices = [float(i) for i in range(len(self.classes))]
-        probabilities = [out[i] for i in range(len(self.classes))]
         if metric == "roc_auc":
             return metrics.roc_auc(scored, label, 1.0, out[1])
         if metric == "log_loss":
-            return -scored.agg(metrics.log_loss(label, indices, probabilities)).first()[0]
-        return scored.agg(metrics.accuracy(label, best_class(probabilities, indices))).first()[0]
+            chosen = F.element_at(out, label.cast("int") + 1)
+            return -scored.agg(metrics.log_loss(F.lit(1), [1], [chosen])).first()[0]
+        return scored.agg(metrics.accuracy(label, best_place(out) - 1)).first()[0]
 
     # -- scoring ------------------------------------------------------------------------------
 
@@ -374,12 +395,11 @@ class TabularModel:
         back = [F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)]
         if self.problem == REGRESSION:
             return scored.select(*back, F.col("output").alias(self.label))
-        flat = scored.select(*back, *[F.col("output")[i].alias(f"_p{i}") for i in range(len(self.classes))])
-        probabilities = [F.col(f"_p{i}") for i in range(len(self.classes))]
+        flat = scored.select(*back, "output")
         return flat.select(
             *map(col, keys),
-            best_class(probabilities, self.classes).alias(self.label),
-            *[p.alias(proba_name(c)) for p, c in zip(probabilities, self.classes)],
+            F.element_at(F.lit(self.classes), best_place(F.col("output"))).alias(self.label),
+            *[F.col("output")[i].alias(proba_name(c)) for i, c in enumerate(self.classes)],
         )
 
     def predict(self, data, keys: Sequence[str] | None = None, model: str | None = None) -> DataFrame:
@@ -392,7 +412,10 @@ class TabularModel:
 
         Both frames come from one scoring plan. Probability columns carry the class names.
         """
-        scored = self.score(data, keys, model)
+        return self.frames(self.score(data, keys, model), keys, include_predict)
+
+    def frames(self, scored: DataFrame, keys: Sequence[str] | None = None, include_predict: bool = True):
+        """The results of ``predict_proba`` from a prediction frame."""
         kept = list(keys) if keys is not None else ["row_id"]
         prediction = scored.select(*map(col, [*kept, self.label]))
         if self.problem == REGRESSION:
