@@ -35,7 +35,7 @@ COSTLY = 1 << 23  # most shingles that are told to be costly; 8 bytes each go to
 SEEN = 16  # documents from which a shingle is told to be costly
 RUN = 4_000_000  # shingles counted together in a task
 ROUNDS = 2  # of pivots, before what is left is paired exhaustively
-WORD_LIMIT = 1 << 20  # words whose hashes a worker remembers
+WORD_LIMIT = 1 << 18  # words whose hashes a worker remembers
 
 SIDES = {"node": "", "n": "n", "slack": "s", "cut": "c", "most": "m"}  # columns of either side of a pair
 
@@ -160,7 +160,7 @@ def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", p
                 if node in given:
                     rows.append((k, h, node, n, 0, None))
                     continue
-                if len(given) >= 1_000_000:
+                if len(given) >= 200_000:
                     given.clear()
                 given.add(node)
                 cost = np.zeros(n, np.int64)
