@@ -129,7 +129,7 @@ class Index:
     def scan(self, texts: list[bytes], percent: int) -> list[dict]:
         """Per text {item: (similarity, first word, words)} with each item's best place."""
         np = self.np
-        if len(self.hashes) > 1 << 20:
+        if len(self.hashes) > 1 << 17:
             self.hashes.clear()
         words = [self.words(t) for t in texts]
         starts = np.cumsum([0, *map(len, words)])
@@ -169,7 +169,7 @@ class Index:
         return shared / union, -(low + first), last - first + WORDS
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def index_of(items: tuple[tuple[int, bytes], ...]) -> Index:
     return Index(items)
 

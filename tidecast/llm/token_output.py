@@ -22,7 +22,7 @@ from tidecast.llm.common import named, pieces, stored
 from tidecast.session import scratch_path
 
 END_ID = 1
-KNOWN_WORDS = 1_000_000  # words a worker remembers; it starts anew beyond
+KNOWN_WORDS = 600_000  # words a worker remembers; it starts anew beyond
 FILE_IDS = 1 << 26  # ids after which a task begins its next file
 MANIFEST = "file string, n_docs long, n_ids long, width int"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
