@@ -276,3 +276,32 @@ def test_nested_answers(series):
     assert row.item_id == "0" and '"start":"2024-01-31T00:00:00"' in row.prediction and '"0.5":[' in row.prediction
     whole = response_bodies(table.withColumns({"request_id": F.lit("r"), "pos": F.col("item_id").cast("int")}))
     assert whole.count() == 1 and whole.first().body.startswith('{"predictions":[{"mean":[')
+
+
+def test_forecasts_follow_the_last_timestamp(spark):
+    """Trailing nulls, NaN and an item without any value: every item gets every step."""
+    from tidecast.operators.columns import canonicalize
+    from tidecast.operators.lagreg import LagRegression
+    from tidecast.operators.leaderboard import weighted_ensemble
+    from tidecast.operators.series import future_index
+    from tidecast.operators.smoothing import smoothing_forecast
+
+    rows = [("a", d, float(d) if d < 29 else None, None if d % 5 == 0 else 1.0) for d in range(1, 31)]
+    rows += [("b", d, float("nan") if d == 30 else 5.0, 2.0) for d in range(1, 31)] + [("c", d, None, None) for d in range(1, 31)]
+    df = spark.createDataFrame(rows, "item_id string, d int, target double, promo double")
+    df = canonicalize(df.withColumn("timestamp", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(d)")).drop("d"))
+    want = {tuple(r) for r in future_index(df, 7, "D").collect()}
+    known = future_index(df, 7, "D").withColumn("promo", F.lit(None).cast("double"))
+    model = LagRegression(7, "D", 7, covariates=["promo"])
+    made = [baseline_forecast(df, 7, "D", 7), smoothing_forecast(df, 7, "D"), smoothing_forecast(df, 7, "D", "holt")]
+    made.append(model.fit(df).predict(df, known))
+    for frame in made:
+        for (name,) in frame.select("model").distinct().collect():
+            got = frame.filter(F.col("model") == name).collect()
+            assert {(r.item_id, r.timestamp) for r in got} == want and len(got) == len(want), name
+            assert all((r.mean is None) == (r.item_id == "c") for r in got), name
+    drift = {r.h: r.mean for r in made[0].filter("model = 'drift' AND item_id = 'a'").collect()}
+    assert drift[1] == pytest.approx(31.0)
+    both = made[0].filter("model = 'naive' AND item_id = 'b'").withColumn("sigma", F.lit(2.0))
+    both = both.union(both.withColumns({"model": F.lit("other"), "sigma": F.lit(None).cast("double")}))
+    assert {r.sigma for r in weighted_ensemble(both, {"naive": 0.5, "other": 0.5}).collect()} == {2.0}

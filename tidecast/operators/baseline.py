@@ -116,7 +116,7 @@ def baseline_mean_sigma(model: str, season: int, h: Column) -> tuple[Column, Col
         sigma = F.sqrt(_ratio(F.col("ss_dm"), F.col("nm"))) * F.sqrt(rounds + 1)
         return F.when(short, last).otherwise(seasonal), F.when(short, naive_sigma).otherwise(sigma)
     if model == "mean":
-        return F.col("y_mean"), F.sqrt(F.col("y_var")) * F.sqrt(1 + 1 / n)
+        return F.col("y_mean"), F.sqrt(F.col("y_var")) * F.sqrt(1 + _ratio(F.lit(1.0), n))
     if model == "drift":
         span = F.col("last_seen") - F.col("first_step")
         slope = F.coalesce(_ratio(last - F.col("y_first"), span), F.lit(0.0))
@@ -127,7 +127,7 @@ def baseline_mean_sigma(model: str, season: int, h: Column) -> tuple[Column, Col
         slope = F.coalesce(_ratio(F.col("sxy"), F.col("sxx")), F.lit(0.0))
         off = F.col("last_step") + h - F.col("x_bar")
         residual = F.col("syy") - slope * F.col("sxy")
-        sigma = _safe_sqrt(_ratio(residual, n - 2)) * F.sqrt(1 + 1 / n + _ratio(off * off, F.col("sxx")))
+        sigma = _safe_sqrt(_ratio(residual, n - 2)) * F.sqrt(1 + _ratio(F.lit(1.0), n) + _ratio(off * off, F.col("sxx")))
         return F.col("y_bar") + slope * off, sigma
     raise ValueError(f"unknown baseline {model!r}; known: {BASELINES}")
 
