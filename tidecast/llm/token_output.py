@@ -22,7 +22,7 @@ from tidecast.llm.common import named, pieces, stored
 from tidecast.session import scratch_path
 
 END_ID = 1
-KNOWN_WORDS = 600_000  # words a worker remembers; it starts anew beyond
+KNOWN_WORDS = 600_000  # words a worker remembers; beyond, only those of the current texts
 FILE_IDS = 1 << 26  # ids after which a task begins its next file
 MANIFEST = "file string, n_docs long, n_ids long, width int"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -106,9 +106,9 @@ class WordIds:
         """The ids of each text as little-endian uint32."""
         words = [(x.lower() if self._may_lower(x) else x).split() for x in texts]
         new = set().union(*words) - self.known.keys()
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = set().union(*words)
+        if len(self.known) + len(new) > KNOWN_WORDS:  # only words of these texts stay
+            here = set().union(*words)
+            self.known = {w: ids for w in here if (ids := self.known.get(w)) is not None}
         self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
