@@ -86,3 +86,29 @@ def test_every_print_within_the_radius_is_found():
     got = {(int(a), int(b)) for w, f in index.near(asked, table) for a, b in zip(w, f)}
     want = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.bitwise_count(asked[:, None] ^ own[None, :]) <= 8))}
     assert got == want
+
+
+def test_insertions_and_scattered_edits():
+    """Copies with words inserted in the middle, up to what the threshold allows, or changed here and there."""
+    rng = random.Random(31)
+    word = lambda: f"w{rng.randrange(3000)}"
+    found = 0
+    for t in range(160):
+        n = [14, 22, 36, 59, 75, 120, 300, 59][t % 8]
+        w = [word() for _ in range(n)]
+        form = list(w)
+        if t % 8 == 7:
+            form[n // 2 : n // 2] = [word() for _ in range(7)]
+        elif t % 2:
+            form[n // 2 : n // 2] = [word() for _ in range(rng.randrange(1, n // 3))]
+        else:
+            for _ in range(max(1, n // 45)):
+                form[rng.randrange(n)] = "edit"
+        text = " ".join([word() for _ in range(rng.randrange(200))] + form + [word() for _ in range(100)])
+        want = brute([(0, text)], [(1, " ".join(w))])
+        got = Index(((1, " ".join(w).encode()),)).scan([b"a b", text.encode(), b""], 75)
+        assert not got[0] and not got[2]
+        assert got[1].keys() == {item for _, item in want}
+        assert all(abs(got[1][item][0] - s) < 1e-9 for (_, item), s in want.items())
+        found += len(want)
+    assert found >= 80

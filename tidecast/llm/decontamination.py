@@ -4,8 +4,11 @@ Each item gives 64-bit SimHash fingerprints of all its windows of one size, abou
 the item, and the documents give those of windows of that size on a grid of a quarter of it. However an item lies on the
 grid, one of the document's windows then covers the same words as one of the item's. A multi-index
 finds every fingerprint within the radius: 64 bits in three blocks, and two fingerprints that differ
-in at most eight bits differ in at most two in some block. Candidates are verified by the weighted
-similarity of five-word shingles, each with its number of occurrences as weight.
+in at most eight bits differ in at most two in some block. Fingerprints of an item with a long
+insertion or scattered edits lie farther off, so the shingles themselves are looked up too: places
+with as many of an item's shingles as the threshold takes are candidates, however they lie.
+Candidates are verified by the weighted similarity of five-word shingles, each with its number of
+occurrences as weight; the best window counts.
 
 Items go to the tasks in blocks of bounded size, each block against all documents.
 """
@@ -27,7 +30,7 @@ PERCENT = 75
 RADIUS = 8
 BLOCKS = ((43, 21), (22, 21), (0, 22))  # shift and bits
 PARTS = 4  # grid steps in a window
-SLACK = 2  # words by which a candidate's place may be off after insertions and deletions
+GRAM_BITS = 22  # of a shingle's hash, looked up first
 ITEM_BLOCK = (2_000, 2 << 20)  # items, bytes
 FOUND = "doc_id long, item_id long, similarity double, first_word long, n_words long"
 
@@ -81,6 +84,12 @@ class Index:
             bits = self.bits(words)
             for offset in range(len(words) - PARTS * step + 1):
                 by_step.setdefault(step, []).append((fingerprints(bits[offset:], step)[0], at, offset))
+        held = [(at, g) for at, (_, _, wanted) in enumerate(self.items) for g in wanted]
+        grams = self.gram_hashes(np.frombuffer(b"".join(g for _, g in held), np.uint64).reshape(-1, WORDS).T)
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.gram_items = grams[order], np.array([at for at, _ in held], np.int64)[order]
+        self.gram_marks = np.zeros(1 << GRAM_BITS, bool)
+        self.gram_marks[self.grams >> np.uint64(64 - GRAM_BITS)] = True
         self.tables = {step: self._table(rows) for step, rows in by_step.items()}
 
     def words(self, text: bytes):
@@ -96,6 +105,48 @@ class Index:
         data = words.tobytes()
         return Counter(data[8 * i : 8 * i + 8 * WORDS] for i in range(len(words) - WORDS + 1))
 
+    def gram_hashes(self, columns):
+        """One hash per shingle, from the hashes of its first words, its second words and so on."""
+        np = self.np
+        out = np.zeros(len(columns[0]), np.uint64)
+        for words in columns:
+            out = (out ^ words) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out * np.uint64(0xBF58476D1CE4E5B9)
+
+    def shared(self, flat, starts, percent: int):
+        """(text, item, first, end): where shingles of an item lie as densely as in a similar window.
+
+        A window with S of the item's N shingles and W of its own is similar if S is at least
+        ``percent`` of W + N - S, so S is at least ``percent`` of N, and W at most N / ``percent``.
+        """
+        np = self.np
+        if len(flat) < WORDS or not len(self.grams):
+            return
+        hashes = self.gram_hashes([flat[i : len(flat) - WORDS + 1 + i] for i in range(WORDS)])
+        hit = np.flatnonzero(self.gram_marks[hashes >> np.uint64(64 - GRAM_BITS)])
+        low, high = np.searchsorted(self.grams, hashes[hit]), np.searchsorted(self.grams, hashes[hit], "right")
+        size = high - low
+        at, item = np.repeat(hit, size), self.gram_items[np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        doc = np.searchsorted(starts, at, "right") - 1
+        inside = at + WORDS <= starts[doc + 1]  # not from one text into the next
+        at, item, doc = at[inside], item[inside], doc[inside]
+        order = np.lexsort((at, item, doc))
+        at, item, doc = at[order], item[order], doc[order]
+        edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]), True]) if len(at) else []
+        for a, b in zip(edges[:-1], edges[1:]):
+            total = self.items[item[a]][1] - WORDS + 1
+            least, widest = -(-percent * total // 100), 100 * total // percent
+            if b - a < least:
+                continue
+            place = at[a:b] - starts[doc[a]]
+            begin = place[: len(place) - least + 1]
+            begin = begin[place[least - 1 :] - begin < widest]
+            cuts = np.flatnonzero(np.diff(begin) >= widest) + 1
+            for run in np.split(begin, cuts):
+                if len(run):
+                    yield int(doc[a]), int(item[a]), int(run[0]), int(run[-1]) + widest + WORDS - 1
+
     def _table(self, rows):
         np = self.np
         prints = np.array([r[0] for r in rows], np.uint64)
@@ -143,30 +194,47 @@ class Index:
                 begin = first - table[2][fingerprint] - starts[doc]
                 places.update(zip(doc.tolist(), table[1][fingerprint].tolist(), begin.tolist()))
         out: list[dict] = [{} for _ in texts]
+        spans = set(self.shared(flat, starts, percent))
         for doc, item, begin in places:
+            _, n, _ = self.items[item]
+            # A similar window around the place of a fingerprint ends within three quarters of the item.
+            reach = 100 * n // percent - PARTS * step_of(n)
+            spans.add((doc, item, max(0, begin - reach), begin + n + reach))
+        for doc, item, low, high in spans:
             item_id, *_ = self.items[item]
-            found = self.verify(words[doc], item, begin, percent)
+            found = self.verify(words[doc], item, low, high, percent)
             if found and found > out[doc].get(item_id, (0,)):
                 out[doc][item_id] = found
         return out
 
-    def verify(self, words, item: int, begin: int, percent: int):
-        """The most similar window near ``begin``, or None: (similarity, -first word, words)."""
+    def verify(self, words, item: int, low: int, high: int, percent: int):
+        """The most similar window from word ``low`` to ``high``, or None: (similarity, -first word, words)."""
+        np = self.np
         _, n, wanted = self.items[item]
-        low, high = max(0, begin - SLACK), min(len(words), begin + n + SLACK)
+        total = n - WORDS + 1
         data = words[low:high].tobytes()
-        grams = [data[8 * i : 8 * i + 8 * WORDS] for i in range(high - low - WORDS + 1)]
+        grams = [data[8 * i : 8 * i + 8 * WORDS] for i in range(len(data) // 8 - WORDS + 1)]
+        # The best window begins and ends with a shingle of the item.
         held = [i for i, g in enumerate(grams) if g in wanted]
-        if not held:
-            return None
-        # What lies before the first and after the last known shingle only takes away.
-        first, last = held[0], held[-1]
-        seen = Counter(grams[first : last + 1])
-        shared = sum(min(c, wanted[g]) for g, c in seen.items() if g in wanted)
-        union = sum(seen.values()) + sum(wanted.values()) - shared
-        if 100 * shared < percent * union:
+        most = sum(min(c, wanted[g]) for g, c in Counter(grams[i] for i in held).items())
+        if 100 * most < percent * total:
             return None
-        return shared / union, -(low + first), last - first + WORDS
+        at, shared, best = np.array(held), np.zeros(len(held), np.int64), None
+        widest, seen = 100 * total // percent, {}
+        for k, i in enumerate(held):
+            mine = seen.setdefault(grams[i], [])
+            mine.append(k)
+            from_ = mine[-1 - wanted[grams[i]]] + 1 if len(mine) > wanted[grams[i]] else 0
+            first = int(np.searchsorted(at, i - widest + 1))
+            # shared[j] is what the window from held[j] to here has in common with the item
+            shared[max(from_, first) : k + 1] += 1
+            union = total + i - at[first : k + 1] + 1 - shared[first : k + 1]
+            values = shared[first : k + 1] / union
+            j = int(values.argmax())
+            if 100 * int(shared[first + j]) >= percent * int(union[j]):
+                found = (float(values[j]), -(low + held[first + j]), i - held[first + j] + WORDS)
+                best = found if best is None else max(best, found)
+        return best
 
 
 @lru_cache(maxsize=1)
