@@ -58,3 +58,21 @@ def test_random_strings_are_added_and_words_are_not(spark):
     hit = {r.doc_id for r in got if "random:" in r.spans}
     assert len(hit & secret) >= 54
     assert not hit - secret
+
+
+def test_parts_between_mixed_separators_and_letters_alone(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    rows, secret = [(0, "é api-v1/keys/9f8A7c2kQ0ZtXw41LmB6 end")], {0: (14, 34)}
+    for i in range(1, 61):
+        own = "".join(rng.choice(letters if i % 2 else letters + "0123456789") for _ in range(24 + i))
+        before = "see " if i % 2 else "see api-v1/keys/"
+        rows.append((i, before + own + (" end" if i % 2 else "/of-all")))
+        secret[i] = (len(before), len(before) + len(own))
+    rows += [(i, "see http://a-b/" + "counterrevolutionary/deinstitutionalization-of/" + "e" * 24 + "/all-the-rest") for i in range(61, 161)]
+    got = {r.doc_id: r.spans.split(",") for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "random:14:34" in got[0]
+    for odd in (0, 1):
+        mine = [i for i in secret if i % 2 == odd]
+        assert sum(f"random:{secret[i][0]}:{secret[i][1]}" in got[i] for i in mine) >= 0.9 * len(mine)
+    assert all(f"random:{t.index('eeee')}:{t.index('eeee') + 24}" not in got[i] for i, t in rows[61:])

@@ -2,8 +2,8 @@
 
 Only built-in functions are used. A pattern's matches and the gaps between them come from the text
 in its row; only their lengths are exploded, and a running sum over a text's own matches gives the
-code point positions. Long strings of code characters then get an encoding (the smallest alphabet
-that holds them) and three tests of randomness in it: chi-squared uniformity over the alphabet, the
+code point positions. Long strings of code characters, or their parts where separators of several
+alphabets meet in one, then get an encoding (the smallest alphabet that holds them) and three tests of randomness in it: chi-squared uniformity over the alphabet, the
 runs above and below its middle, and the correlation of neighbours. Within each length class the
 strings that are surely not random are found with a controlled false discovery rate and dropped;
 what is left is reported.
@@ -34,6 +34,15 @@ ALPHABETS = {
     "base64": "+/0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64_url": "-0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz",
 }
+# Alphabets of strings of letters alone, tried before the others.
+LETTERS = {
+    "letters_lower": "abcdefghijklmnopqrstuvwxyz",
+    "letters_upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+}
+# Separators at which a string is cut that has some of both alphabets, each way by itself.
+CUTS = ("[+/]", "[_-]", "[+/_-]")
+LEAST = 20  # characters of a part
 
 
 def _matches(body: Column, kind: str, pattern: str, group: int = 0) -> Column:
@@ -79,6 +88,32 @@ def found_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
 
 
+def coded_parts(found: DataFrame) -> DataFrame:
+    """``found`` with strings that no alphabet holds replaced by their parts of LEAST or more characters."""
+    mixed = F.col("hit").rlike("[+/]") & F.col("hit").rlike("[_-]")
+    lists = []
+    for cut in CUTS:
+        parts = F.split("hit", cut, -1)
+        # Each part with where it begins: its length and one separator further for every part before.
+        placed = F.aggregate(
+            parts,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,part:string>>").alias("out")),
+            lambda s, x: F.struct(
+                (s["at"] + F.char_length(x) + 1).alias("at"),
+                F.concat(s["out"], F.array(F.struct(s["at"].alias("at"), x.alias("part")))).alias("out"),
+            ),
+            lambda s: s["out"],
+        )
+        lists.append(F.filter(placed, lambda x: F.char_length(F.regexp_replace(x["part"], "=+$", "")) >= LEAST))
+    parts = found.where(mixed).withColumn("p", F.explode(F.array_distinct(F.concat(*lists))))
+    start = F.col("start") + F.col("p.at")
+    cut = parts.select(
+        *[c for c in found.columns if c not in ("start", "end", "hit")],
+        start.alias("start"), (start + F.char_length("p.part")).alias("end"), F.col("p.part").alias("hit"),
+    )
+    return found.where(~mixed).unionByName(cut)
+
+
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the standard normal distribution, by a rational approximation of the error function."""
     x = F.abs(z) / 2**0.5
@@ -92,16 +127,16 @@ def _upper_tail(z: Column) -> Column:
 def randomness(hits: DataFrame) -> DataFrame:
     """``hits`` with ``encoding`` and ``p``, the smallest of three p-values times three.
 
-    Strings that mix letters and digits are tested; others have no encoding and a p of 0, since a
-    long string of letters alone is taken for words. A string that uses one half of its alphabet
-    only fails the test of runs.
+    Strings with letters are tested, those of letters alone in alphabets of letters; others have no
+    encoding and a p of 0. A string that uses one half of its alphabet only fails the test of runs.
     """
     bare = F.regexp_replace("hit", "=+$", "")
-    code = F.when(~bare.rlike("[0-9]") | ~bare.rlike("[A-Za-z]"), None)
-    for name, letters in ALPHABETS.items():
+    code = F.when(~bare.rlike("[A-Za-z]"), None)
+    alphabets = LETTERS | ALPHABETS
+    for name, letters in alphabets.items():
         code = code.when(bare.rlike("^[" + letters.replace("-", r"\-") + "]+$"), name)
     inferred = hits.withColumn("encoding", code).withColumn("bare", bare)
-    alphabet = F.element_at(F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair]), F.col("encoding"))
+    alphabet = F.element_at(F.create_map(*[F.lit(x) for pair in alphabets.items() for x in pair]), F.col("encoding"))
     values = F.transform(F.split("bare", ""), lambda c: F.instr(F.col("alphabet"), c) - 1)
     coded = inferred.withColumn("alphabet", alphabet).withColumn("v", F.when(F.col("encoding").isNotNull(), values))
 
@@ -184,7 +219,7 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate:
     gives no rows. Other columns are not read.
     """
     found = stored(found_spans(docs, key, text), "secret-spans")
-    tested = randomness(found.where("kind = 'random'"))
+    tested = randomness(coded_parts(found.where("kind = 'random'")))
     spans = found.where("kind <> 'random'").drop("hit").unionByName(random_strings(tested, rate).select("key", "h", "kind", "start", "end"))
     place = F.array_position(F.lit(list(KINDS)), F.col("kind"))
     item = F.struct("start", place.alias("place"), "end", "kind")
