@@ -67,7 +67,33 @@ OP3 = r"""
            NOT base_failed AND (f + m * s) / (n + s) <= 0.5 AS kept
     FROM base b JOIN hosts h ON h.source IS NOT DISTINCT FROM b.source, strength"""
 
+OP11 = r"""
+    WITH d AS (
+        SELECT doc_id, row_number() OVER () AS row,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+    i AS (
+        SELECT item_id, row_number() OVER () AS query,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+    wanted AS (SELECT query, item_id, t, count(*) AS repeats FROM i GROUP BY ALL),
+    whole AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+    postings AS (
+        SELECT doc_id, row, CAST(n AS BIGINT) AS n, t, CAST(count(*) AS BIGINT) AS tf
+        FROM (SELECT doc_id, row, len(ts) AS n, unnest(ts) AS t FROM d) GROUP BY ALL),
+    weights AS (
+        SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+        FROM postings, whole GROUP BY t, n_docs),
+    scored AS (
+        SELECT query, item_id, doc_id, row,
+               CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+        FROM wanted JOIN postings USING (t) JOIN weights USING (t), whole GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW best AS (PARTITION BY query ORDER BY score DESC, doc_id NULLS FIRST, row)
+    QUALIFY row_number() OVER best <= 10"""
+
 SQL = {
     "op1_mix": OP1,
     "op3_host_rules": OP3,
+    "op11_ranked_search": OP11,
 }

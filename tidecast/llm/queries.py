@@ -10,10 +10,12 @@ from tidecast.llm.compression import fit_quality, score_quality
 from tidecast.llm.decontamination import benchmark_matches
 from tidecast.llm.host_rules import apply_rules
 from tidecast.llm.jaccard import similar_components
+from tidecast.llm.lexical_search import search
 from tidecast.llm.lines import duplicate_lines
 from tidecast.llm.lm_scoring import score_texts
 from tidecast.llm.mixing import mix_report
 from tidecast.llm.secrets import scan_secrets
+from tidecast.llm.token_counts import token_counts
 from tidecast.llm.token_output import token_rows
 from tidecast.llm.warc import warc_rows
 
@@ -72,6 +74,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
@@ -83,4 +93,6 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_token_ids": op9_token_ids,
     "op10_secrets": op10_secrets,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_token_counts": op12_token_counts,
 }
