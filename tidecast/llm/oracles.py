@@ -92,8 +92,48 @@ OP11 = r"""
     WINDOW best AS (PARTITION BY query ORDER BY score DESC, doc_id NULLS FIRST, row)
     QUALIFY row_number() OVER best <= 10"""
 
+OP13 = r"""
+    WITH t AS (
+        SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    sized AS (
+        SELECT conv, count(*) AS own, xor(list_reduce(
+                   list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+                   lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                       lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h
+        FROM t GROUP BY conv),
+    convs AS (
+        SELECT s.conv, s.h, least(s.h, coalesce(f.own, 0)) AS taken
+        FROM sized s LEFT JOIN sized f ON f.conv = s.conv - s.conv % 20),
+    seq AS (
+        SELECT c.conv, t.place AS depth, role, text FROM convs c JOIN t ON t.conv = c.conv - c.conv % 20 AND t.place <= c.h
+        UNION ALL
+        SELECT c.conv, t.place - c.h + c.taken, role, text FROM convs c JOIN t ON t.conv = c.conv AND t.place > c.h),
+    named AS (
+        SELECT conv, depth, text, md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+               OVER (PARTITION BY conv ORDER BY depth)) AS node FROM seq
+        UNION ALL SELECT conv, 0, '', '' FROM convs),
+    path AS (
+        SELECT *, lag(node) OVER (PARTITION BY conv ORDER BY depth) AS parent,
+               depth = max(depth) OVER (PARTITION BY conv) AS ends FROM named),
+    nodes AS (
+        SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv) AS conv_id, count(*) AS n_convs,
+               (count(*) - 1) * any_value(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) AS own,
+               sha256(coalesce(string_agg(CAST(conv AS VARCHAR), ',' ORDER BY conv) FILTER (ends), '')) AS ends_sha256
+        FROM path GROUP BY node),
+    kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+    below AS (SELECT DISTINCT a.node AS top, b.node FROM path a JOIN path b ON b.conv = a.conv AND b.depth >= a.depth),
+    totals AS (
+        SELECT top AS node, count(*) FILTER (k.n IS NULL) AS n_leaves, sum(own) AS saved_tokens
+        FROM below b JOIN nodes n ON n.node = b.node LEFT JOIN kids k ON k.node = b.node GROUP BY top)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+           coalesce(k.n, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN totals t ON t.node = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN nodes p ON p.node = n.parent"""
+
 SQL = {
     "op1_mix": OP1,
     "op3_host_rules": OP3,
     "op11_ranked_search": OP11,
+    "op13_prefix_trie": OP13,
 }

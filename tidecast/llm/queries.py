@@ -17,6 +17,7 @@ from tidecast.llm.mixing import mix_report
 from tidecast.llm.secrets import scan_secrets
 from tidecast.llm.token_counts import token_counts
 from tidecast.llm.token_output import token_rows
+from tidecast.llm.trie import conversation_trie
 from tidecast.llm.warc import warc_rows
 
 
@@ -82,6 +83,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_decontaminate": op2_decontaminate,
@@ -95,4 +100,5 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_ranked_search": op11_ranked_search,
     "op12_token_counts": op12_token_counts,
+    "op13_prefix_trie": op13_prefix_trie,
 }
