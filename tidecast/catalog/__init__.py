@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("forecasts", "series", "learning", "mixed", "files")
+MODULES = ("forecasts", "series", "learning", "mixed", "files", "requests")
 
 
 def _merged(attribute: str) -> dict:

@@ -204,12 +204,32 @@ def stamp_at(t: Column, k: Column, freq: "str | Frequency") -> Column:
     return _stamp(t, k, F.lit(freq.n), freq.unit)
 
 
-def stamp_at_named(t: Column, k: Column, freq: Column) -> Column:
-    """As ``stamp_at``, with the frequency given per row as text."""
+def _parts(freq: Column) -> tuple[Column, Column]:
+    """(n, unit) of a frequency given per row as text."""
     digits = F.regexp_extract(freq, r"^(\d*)", 1)
-    n = F.when(digits == "", F.lit(1)).otherwise(digits.cast("bigint"))
+    n = F.when(digits == "", F.lit(1)).otherwise(digits.try_cast("bigint"))
     code = F.regexp_extract(freq, r"^\d*(.*)$", 1)
-    unit = F.coalesce(_lookup(ALIASES)[code], code)
+    return n, F.coalesce(_lookup(ALIASES)[code], code)
+
+
+def named_frequency(freq: Column) -> Column:
+    """A row's frequency text in the one spelling ``str(Frequency)`` has; null when it is none."""
+    n, unit = _parts(F.trim(freq))
+    known = unit.isin(*UNITS) & (n >= 1)
+    return F.when(known, F.when(n == 1, unit).otherwise(F.concat(n.cast("string"), unit)))
+
+
+def season_named(freq: Column) -> Column:
+    """As ``Frequency.season``, with the frequency given per row as text; 1 for what is no frequency."""
+    n, unit = _parts(freq)
+    n = F.greatest(n, F.lit(1))
+    whole = F.coalesce(_lookup(SEASONS)[F.split(unit, "-")[0]], F.lit(1)).cast("bigint")
+    return F.when(F.pmod(whole, n) == 0, (whole / n).cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+
+
+def stamp_at_named(t: Column, k: Column, freq: Column) -> Column:
+    """As ``stamp_at``, with the frequency given per row as text."""
+    n, unit = _parts(freq)
     jump = (k * n).cast("bigint")
     seconds = _lookup(_SECONDS)[unit]
     weekday = _lookup({f"W-{day}": number for day, number in WEEKDAYS.items()})[unit]

@@ -27,6 +27,47 @@ def z_value(q: float) -> float:
     return NormalDist().inv_cdf(q)
 
 
+# Coefficients of Wichura's rational approximation AS 241 (double precision), from the
+# constant term up: numerator and denominator near the centre, further out, and in the far tails.
+_CENTRE = (
+    (3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125,
+     45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727),
+    (1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077,
+     21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610),
+)
+_OUTER = (
+    (1.42343711074968357734, 4.63033784615654529590, 5.76949722146069140550, 3.64784832476320460504,
+     1.27045825245236838258, 0.241780725177450611770, 0.0227238449892691845833, 7.74545014278341407640e-4),
+    (1.0, 2.05319162663775882187, 1.67638483018380384940, 0.689767334985100004550,
+     0.148103976427480074590, 0.0151986665636164571966, 5.47593808499534494600e-4, 1.05075007164441684324e-9),
+)
+_TAIL = (
+    (6.65790464350110377720, 5.46378491116411436990, 1.78482653991729133580, 0.296560571828504891230,
+     0.0265321895265761230930, 0.00124266094738807843860, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+    (1.0, 0.599832206555887937690, 0.136929880922735805310, 0.0148753612908506148525,
+     7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15),
+)
+
+
+def z_column(q: Column) -> Column:
+    """As ``z_value``, for a level that is a row's value; null outside of (0, 1)."""
+
+    def ratio(tables, x: Column) -> Column:
+        parts = []
+        for coefficients in tables:
+            total = F.lit(coefficients[-1])
+            for c in reversed(coefficients[:-1]):
+                total = total * x + F.lit(c)
+            parts.append(total)
+        return parts[0] / parts[1]
+
+    away = q - 0.5
+    far = F.sqrt(-F.log(F.least(q, 1 - q)))
+    tail = F.when(far <= 5, ratio(_OUTER, far - 1.6)).otherwise(ratio(_TAIL, far - 5))
+    value = F.when(F.abs(away) <= 0.425, away * ratio(_CENTRE, 0.180625 - away * away)).otherwise(F.signum(away) * tail)
+    return F.when((q > 0) & (q < 1), value)
+
+
 def normal_quantiles(mean: Column, sigma: Column, levels: Sequence[float]) -> list[Column]:
     """One column per level: the quantile of a normal distribution around ``mean``."""
     spread = F.coalesce(sigma, F.lit(0.0))

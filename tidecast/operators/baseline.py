@@ -99,8 +99,12 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, top / bottom)
 
 
-def baseline_mean_sigma(model: str, season: int, h: Column) -> tuple[Column, Column]:
-    """(mean, sigma) of ``model`` at step ``h``, over a row of ``item_statistics``."""
+def baseline_mean_sigma(model: str, season: "int | Column", h: Column) -> tuple[Column, Column]:
+    """(mean, sigma) of ``model`` at step ``h``, over a row of ``item_statistics``.
+
+    The season may be a column, so that rows of several frequencies share a plan.
+    """
+    season = season if isinstance(season, Column) else F.lit(season)
     n, last = F.col("n"), F.col("y_last")
     away = F.col("last_step") - F.col("last_seen") + h  # steps since the last observed value
     if model in ("naive", "seasonal_naive"):
@@ -110,7 +114,7 @@ def baseline_mean_sigma(model: str, season: int, h: Column) -> tuple[Column, Col
     if model == "seasonal_naive":
         # Histories shorter than one season fall back to the naive forecast.
         short = F.col("last_seen") - F.col("first_step") + 1 < season
-        phase = F.pmod(F.col("last_step") + h, F.lit(season))
+        phase = F.pmod(F.col("last_step") + h, season)
         seasonal = F.coalesce(F.element_at(F.col("by_phase"), phase), last)
         rounds = F.floor((away - 1) / season)
         sigma = F.sqrt(_ratio(F.col("ss_dm"), F.col("nm"))) * F.sqrt(rounds + 1)

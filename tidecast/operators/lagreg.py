@@ -79,6 +79,23 @@ class LagRegression:
         self.covariates, self.static = list(covariates), list(static)
         self.model: PipelineModel | None = None
         self.means: dict[str, float] = {}
+        self.text: list[str] = []
+
+    def state(self) -> dict:
+        """What fitting has found besides the pipeline, and the options that ``predict`` goes by."""
+        return {
+            "means": self.means,
+            "text": self.text,
+            "lags": self.lags,
+            "calendar": self.calendar,
+            "hash_size": self.hash_size,
+        }
+
+    def restore(self, state: dict, model: PipelineModel) -> "LagRegression":
+        self.means = {name: float(value) for name, value in state["means"].items()}
+        self.text, self.lags = list(state["text"]), list(state["lags"])
+        self.calendar, self.hash_size, self.model = state["calendar"], state["hash_size"], model
+        return self
 
     @property
     def extra(self) -> list[str]:
@@ -94,7 +111,7 @@ class LagRegression:
         """Runs the regression job over every row whose lags are all known."""
         data = self._features(series).dropna(subset=[TARGET, *(f"lag_{k}" for k in self.lags)])
         kinds = dict(data.dtypes)
-        text = [c for c in self.extra if kinds[c] in ("string", "boolean")]
+        self.text = text = [c for c in self.extra if kinds[c] in ("string", "boolean")]
         numeric = [f"lag_{k}" for k in self.lags]
         numeric += list(calendar_columns(self.season)) if self.calendar else []
         numeric += [c for c in self.extra if c not in text]

@@ -25,7 +25,7 @@ from tidecast.operators.columns import (
     validate_known_covariates,
     validate_series,
 )
-from tidecast.operators.lagreg import LagRegression
+from tidecast.operators.lagreg import HASH_SIZE, LagRegression
 from tidecast.operators.leaderboard import (
     SCALED,
     error_products,
@@ -253,6 +253,7 @@ class ForecastModel:
             covariates=self.known_names,
             static=self.static_names,
             reg_param=options.get("reg_param", 0.0),
+            hash_size=options.get("hash_size", HASH_SIZE),
         )
 
     # -- selection ----------------------------------------------------------------------
@@ -393,7 +394,7 @@ class ForecastModel:
             "best": self.best,
             "weights": self.weights,
             "scores": self.scores,
-            "regression": self.regression is not None,
+            "regression": None if self.regression is None else self.regression.state(),
         }
         write_json(spark, f"{path}/metadata.json", document)
         if self.regression is not None:
@@ -420,8 +421,8 @@ class ForecastModel:
         model.best, model.weights = document["best"], document["weights"]
         model.scores = [tuple(s) for s in document["scores"]]
         if document["regression"]:
-            model.regression = model._regression(model.horizon)
-            model.regression.model = PipelineModel.load(f"{path}/regression")
+            fitted = PipelineModel.load(f"{path}/regression")
+            model.regression = model._regression(model.horizon).restore(document["regression"], fitted)
         return model
 
 

@@ -1,7 +1,7 @@
 """Nested forecast requests and responses.
 
-A request body is ``{"inputs": [{item_id, start, target, past_covariates,
-future_covariates}, ...], "parameters": {freq, prediction_length, quantile_levels}}``.
+A request body is ``{"inputs": [{item_id, start, target, past_covariates, future_covariates,
+static_features}, ...], "parameters": {freq, prediction_length, quantile_levels}}``.
 Bodies are bounded documents (a few MB), one per row; opening them is row-local work.
 """
 
@@ -12,19 +12,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.functions.frequency import stamp_at_named
+from tidecast.functions.frequency import named_frequency, stamp_at_named
 from tidecast.operators.columns import ITEM, STAMP, TARGET, col
 
 # What a request gets when it leaves a field out.
 DEFAULT_START = "2020-01-01"
 DEFAULT_FREQ = "D"
 DEFAULT_HORIZON = 1
+REQUEST_BYTES = 5 * 1024 * 1024  # what the service being replaced takes in one request
 
 _BODY = (
     "inputs array<struct<item_id:string,start:string,target:array<double>,"
-    "past_covariates:map<string,array<double>>,future_covariates:map<string,array<double>>>>,"
+    "past_covariates:map<string,array<double>>,future_covariates:map<string,array<double>>,"
+    "static_features:map<string,string>>>,"
     "parameters struct<prediction_length:int,freq:string,quantile_levels:array<double>>"
 )
+_BROKEN = "_broken"
 
 
 def parse_bodies(bodies: DataFrame, body: str = "body", request: str = "request_id") -> DataFrame:
@@ -35,12 +38,84 @@ def parse_bodies(bodies: DataFrame, body: str = "body", request: str = "request_
     return _open(parsed)
 
 
-def _open(parsed: DataFrame) -> DataFrame:
-    freq = F.coalesce("b.parameters.freq", F.lit(DEFAULT_FREQ))
-    horizon = F.coalesce("b.parameters.prediction_length", F.lit(DEFAULT_HORIZON))
+def judged_bodies(
+    bodies: DataFrame,
+    body: str = "body",
+    request: str = "request_id",
+    max_bytes: int | None = REQUEST_BYTES,
+    freq: str | None = None,
+    horizon: int | None = None,
+    covariates: Sequence[str] = (),
+) -> DataFrame:
+    """(request_id, digest, b, error) per request: its parsed body, and why it can't be answered.
+
+    ``error`` is null for a good request. A fitted model's ``freq``, ``horizon`` and ``covariates``
+    add its own demands. Everything is found within the row; nothing is raised. The same body under
+    the same id is one request however often it comes, and ``digest`` tells different ones apart.
+    """
+    once = bodies.select(col(request).alias("request_id"), col(body).cast("string").alias("body")).dropDuplicates()
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    parsed = once.select(
+        "request_id",
+        F.xxhash64("body").alias("digest"),
+        F.octet_length("body").alias("bytes"),
+        F.from_json("body", f"{_BODY},{_BROKEN} string", options).alias("b"),
+    )
+    inputs, parameters = F.col("b.inputs"), F.col("b.parameters")
+    given = F.coalesce(parameters["freq"], F.lit(freq or DEFAULT_FREQ))
+    levels = parameters["quantile_levels"]
+    bad_start = F.exists(inputs, lambda i: i["start"].isNotNull() & i["start"].try_cast("timestamp_ntz").isNull())
+    future = "future_covariates"
+    some, every = (test(inputs, lambda i: i[future].isNotNull()) for test in (F.exists, F.forall))
+    steps = F.lit(horizon) if horizon is not None else F.coalesce(parameters["prediction_length"], F.lit(DEFAULT_HORIZON))
+    named = [_all_name(inputs, future, c) for c in covariates]
+    wide = [future] if not covariates else list(covariates)
+    short = (
+        F.exists(inputs, lambda i: F.exists(F.map_values(i[future]), lambda v: F.size(v) != steps))
+        if not covariates
+        else F.exists(inputs, lambda i: F.greatest(*[F.size(i[future][c]) != steps for c in covariates], F.lit(False)))
+    )
+    faults = [
+        (F.col("bytes") > max_bytes if max_bytes is not None else F.lit(False), f"the body has more than {max_bytes} bytes"),
+        (F.col("b").isNull() | F.col(f"b.{_BROKEN}").isNotNull(), "the body is not the JSON of a request"),
+        (inputs.isNull(), "a request needs `inputs`"),
+        (F.exists(inputs, lambda i: i["target"].isNull()), "an item has no `target`"),
+        (named_frequency(given).isNull(), "unknown frequency"),
+        (bad_start, "an item's `start` is no timestamp"),
+        (F.coalesce(parameters["prediction_length"], F.lit(1)) < 1, "`prediction_length` must be at least 1"),
+        (F.exists(levels, lambda q: q.isNull() | (q <= 0) | (q >= 1)), "quantile levels must lie strictly between 0 and 1"),
+        (some & ~every, "either all items or none have `future_covariates`"),
+    ]
+    if freq is not None:
+        faults.append((named_frequency(given) != freq, f"the model's frequency is {freq}"))
+    if covariates:
+        faults.append((~F.coalesce(F.least(*named, every), F.lit(False)), f"the model needs future values of {', '.join(covariates)}"))
+    faults.append((short, f"{', '.join(wide)} must have one value per horizon step"))
+    error = F.coalesce(*[F.when(fault, F.lit(text)) for fault, text in faults])
+    return parsed.select("request_id", "digest", "b", error.alias("error"))
+
+
+def _all_name(inputs: Column, field: str, name: str) -> Column:
+    return F.forall(inputs, lambda i: i[field][name].isNotNull())
+
+
+def open_requests(judged: DataFrame, freq: str | None = None, horizon: int | None = None) -> DataFrame:
+    """One row per item of the good requests of ``judged_bodies``, options filled in.
+
+    A fitted model's ``freq`` stands in for a missing one, and its ``horizon`` for any.
+    """
+    return _open(judged.where("error IS NULL"), freq or DEFAULT_FREQ, horizon)
+
+
+def _open(parsed: DataFrame, default_freq: str = DEFAULT_FREQ, horizon: int | None = None) -> DataFrame:
+    freq = F.coalesce("b.parameters.freq", F.lit(default_freq))
+    asked = F.coalesce("b.parameters.prediction_length", F.lit(DEFAULT_HORIZON))
+    horizon = asked if horizon is None else F.lit(horizon)
+    marks = [c for c in ("digest",) if c in parsed.columns]
     any_future = F.exists("b.inputs", lambda i: i["future_covariates"].isNotNull())
     return parsed.select(
         "request_id",
+        *marks,
         freq.alias("freq"),
         horizon.alias("prediction_length"),
         F.array_sort("b.parameters.quantile_levels").alias("quantile_levels"),
@@ -48,6 +123,7 @@ def _open(parsed: DataFrame) -> DataFrame:
         F.posexplode("b.inputs").alias("pos", "i"),
     ).select(
         "request_id",
+        *marks,
         "freq",
         "prediction_length",
         "quantile_levels",
@@ -58,6 +134,7 @@ def _open(parsed: DataFrame) -> DataFrame:
         _needed(F.col("i.target"), "target").alias(TARGET),
         F.col("i.past_covariates").alias("past_covariates"),
         F.col("i.future_covariates").alias("future_covariates"),
+        F.col("i.static_features").alias("static_features"),
     )
 
 

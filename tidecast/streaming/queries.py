@@ -5,14 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidecast.sources.sinks import answer_format
 
-# Request and batch sizes of the service being replaced, in bytes.
-REQUEST_BYTES = 5 * 1024 * 1024
-BATCH_BYTES = 6 * 1024 * 1024
+BATCH_BYTES = 6 * 1024 * 1024  # fixed value: what the service being replaced takes in one batch
 
 
 @dataclass(frozen=True)
@@ -22,6 +21,11 @@ class RateLimits:
     max_files: int | None = None
     max_bytes: str | None = None
 
+    @staticmethod
+    def one_batch() -> "RateLimits":
+        """A micro-batch of about the size the service being replaced takes in one batch."""
+        return RateLimits(max_bytes=str(BATCH_BYTES))
+
     def options(self) -> dict[str, str]:
         if self.max_files is not None and self.max_bytes is not None:
             raise ValueError("limit a micro-batch by files or by bytes, not both")
@@ -37,8 +41,12 @@ def read_stream(
     content_type: str = "application/x-parquet",
     limits: RateLimits = RateLimits(),
     glob: str | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
-    """Stream of request rows from files that appear below ``path``."""
+    """Stream of request rows from files that appear below ``path``.
+
+    ``file_column`` adds the file a row came from, where each file is a request.
+    """
     fmt = {"application/jsonl": "json"}.get(content_type) or answer_format(content_type)
     reader = spark.readStream.format(fmt).schema(schema).options(**limits.options())
     if fmt == "csv":
@@ -47,7 +55,8 @@ def read_stream(
         reader = reader.option("multiLine", True)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(_pattern(path))
+    rows = reader.load(_pattern(path))
+    return rows if file_column is None else rows.select("*", F.col("_metadata.file_path").alias(file_column))
 
 
 def _pattern(path: str) -> str:

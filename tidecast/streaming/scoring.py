@@ -1,19 +1,15 @@
-"""Scoring streams of rows and of forecast requests."""
+"""Scoring streams of rows; forecast requests are in ``requests``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from tidecast.functions.quantiles import sorted_levels
-from tidecast.operators.baseline import as_forecast_table, baseline_forecast
-from tidecast.operators.columns import ITEM, STAMP, TARGET, align_columns
-from tidecast.operators.series import join_known, join_static, season_length
+from tidecast.operators.columns import align_columns
+from tidecast.operators.series import join_known, join_static
 from tidecast.plans.tabular import TabularModel
-from tidecast.sources.nested import parse_bodies, series_from_requests
+from tidecast.streaming.requests import forecast_requests, forecast_stream, read_forecasts  # noqa: F401
 
 
 def predict_stream(model: TabularModel, requests: DataFrame, keys: Sequence[str], name: str | None = None) -> DataFrame:
@@ -45,63 +41,3 @@ def with_side_inputs(
     if known is not None:
         stream = join_known(stream, known)
     return stream
-
-
-_KEY = "\u001f"
-
-
-def forecast_requests(bodies: DataFrame, model: str = "seasonal_naive", levels: Sequence[float] | None = None) -> DataFrame:
-    """Forecast every request of a batch of nested bodies.
-
-    Requests may differ in frequency, horizon and levels. Runs one small job for the
-    distinct frequencies and levels of the batch, then one plan for each of them.
-    """
-    items = parse_bodies(bodies)
-    kinds = items.groupBy("freq", "quantile_levels").agg(F.max("prediction_length")).collect()
-    out = None
-    for freq, wanted, longest in kinds:
-        listed = F.lit(wanted) if wanted is not None else F.lit(None)
-        same = (F.col("freq") == freq) & F.col("quantile_levels").eqNullSafe(listed.cast("array<double>"))
-        mine = items.filter(same)
-        # Items of different requests are different series, whatever they are called. The
-        # key also carries the request's horizon, so the longest one serves all.
-        key = F.concat_ws(_KEY, "request_id", "pos", "prediction_length", ITEM)
-        series = series_from_requests(mine.withColumn(ITEM, key)).select(ITEM, STAMP, TARGET)
-        rows = baseline_forecast(series, longest, freq, season_length(freq), [model])
-        rows = rows.filter(F.col("h") <= F.split(ITEM, _KEY, 4)[2].cast("int"))
-        table = as_forecast_table(rows, sorted_levels(wanted if wanted is not None else levels))
-        parts = F.split(ITEM, _KEY, 4)
-        table = table.withColumns({"request_id": parts[0], "pos": parts[1].cast("int"), ITEM: parts[3]})
-        out = table if out is None else out.unionByName(table, allowMissingColumns=True)
-    return out
-
-
-def forecast_stream(
-    bodies: DataFrame,
-    name: str,
-    output: str,
-    checkpoint: str,
-    model: str = "seasonal_naive",
-    levels: Sequence[float] | None = None,
-    available_now: bool = False,
-) -> StreamingQuery:
-    """Forecast a stream of (request_id, body) rows into Parquet folders, one per micro-batch.
-
-    Each request carries its own history, so results do not depend on batch boundaries. A
-    repeated micro-batch replaces its own folder, which makes restarts exact.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        table = forecast_requests(batch, model, levels)
-        if table is not None:
-            table.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-
-    writer = bodies.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(handle)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
-
-
-def read_forecasts(spark, output: str) -> DataFrame:
-    """Everything a forecast stream has written so far."""
-    return spark.read.option("mergeSchema", "true").parquet(output).drop("batch")
