@@ -9,6 +9,7 @@ from tidecast.functions import metrics
 from tidecast.operators.bayes import GaussianBayes, class_prior, group_mean
 from tidecast.operators.columns import align_columns, feature_columns, stringify_columns
 from tidecast.operators.proba import (
+    best_class,
     average_models,
     concat_columns,
     distinct_classes,
@@ -301,8 +302,12 @@ BANDS_SQL = """
 @query("tab_fit_predict_proba", BANDS_SQL)
 def tab_fit_predict_proba(spark, sf_dir):
     data = bands(spark, sf_dir)
-    model = TabularEstimator("band", ignore_columns=KEYS).fit(data, hyperparameters={"tree": {"maxDepth": 2}})
-    return rounded(model.score(data.drop("band"), keys=KEYS))
+    estimator = TabularEstimator("band", ignore_columns=KEYS)
+    proba = estimator.fit_predict_proba(
+        data, data.drop("band"), include_predict=False, keys=KEYS, hyperparameters={"tree": {"maxDepth": 2}}
+    )
+    named = proba.withColumnsRenamed({"cheap": "cheap_proba", "dear": "dear_proba"})
+    return rounded(named.withColumn("band", best_class([F.col("cheap_proba"), F.col("dear_proba")], ["cheap", "dear"])))
 
 
 @query(

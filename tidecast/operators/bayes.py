@@ -1,7 +1,7 @@
 """Closed-form classifiers and regressors: group means and Gaussian naive Bayes.
 
-Fitting is one aggregation; the fitted numbers (classes x features, bounded by the class
-limit) become literals, so scoring is a projection without a join or a Python worker.
+Fitting is one aggregation; the fitted numbers (one per class and feature) become literals of a
+projection while they are few, and matrices of a vectorised function when they are many.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidecast.operators.columns import col
 from tidecast.operators.proba import best_place, proba_name
 
+PLAIN = 512  # means that scoring may spell out in the plan
+
 
 @dataclass(frozen=True)
 class GaussianBayes:
@@ -48,37 +50,61 @@ class GaussianBayes:
         )
 
     def predict_proba(self, df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-        """(keys, label, one probability per class); a null feature is left out of the product."""
-        # Parameters are array literals and classes an index, so the plan does not grow with them.
-        constant = [[-0.5 * math.log(2 * math.pi * v) for v in vs] for vs in self.variances]
-        double = [[2 * v for v in vs] for vs in self.variances]
-        prior, mean = F.lit([math.log(p) for p in self.priors]), F.lit([list(m) for m in self.means])
-        constant, double = F.lit(constant), F.lit(double)
-        values = F.array(*[col(f).cast("double") for f in self.features])
-        places = F.sequence(F.lit(0), F.lit(len(self.features) - 1))
-
-        def score(c: Column) -> Column:
-            def term(total: Column, i: Column) -> Column:
-                away = F.get("_x", i) - F.get(F.get(mean, c), i)
-                return total + F.coalesce(F.get(F.get(constant, c), i) - away * away / F.get(F.get(double, c), i), F.lit(0.0))
-
-            return F.aggregate(places, F.get(prior, c), term)
-
-        scored = df.select(*map(col, keys), values.alias("_x")).withColumn(
-            "_s", F.transform(F.sequence(F.lit(0), F.lit(len(self.priors) - 1)), score)
-        )
-        # ``bound`` keeps a value from being worked out again for every element of an array.
-        bound = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
-        away = bound(F.col("_s"), lambda s: bound(F.array_max(s), lambda m: F.transform(s, lambda x: F.exp(x - m))))
-        total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-        share = bound(away, lambda e: bound(total(e), lambda t: F.transform(e, lambda x: x / t)))
-        scored = scored.withColumn("_p", share)
-        return scored.select(
+        """(keys, label, one probability per class); a null feature is left out of the product.
+
+        Up to PLAIN parameters scoring is compiled column arithmetic; more of them would swell the
+        plan, and go to workers as matrices instead. Both give the same numbers.
+        """
+        few = len(self.classes) * len(self.features) <= PLAIN
+        probabilities = self._compiled(df, keys) if few else self._by_matrix(df, keys)
+        return probabilities.select(
             *map(col, keys),
             F.element_at(F.lit(list(self.classes)), best_place(F.col("_p"))).alias(self.label),
             *[F.col("_p")[i].alias(proba_name(c)) for i, c in enumerate(self.classes)],
         )
 
+    def _compiled(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        values = [col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(self.features)]
+        scores = []
+        for prior, means, variances in zip(self.priors, self.means, self.variances):
+            score = F.lit(math.log(prior))
+            for i, (m, v) in enumerate(zip(means, variances)):
+                away = F.col(f"_x{i}") - F.lit(m)
+                term = F.lit(-0.5 * math.log(2 * math.pi * v)) - away * away / F.lit(2 * v)
+                score = score + F.coalesce(term, F.lit(0.0))
+            scores.append(score)
+        names = [f"_s{i}" for i in range(len(scores))]
+        scored = df.select(*map(col, keys), *values).select(*map(col, keys), *[s.alias(n) for s, n in zip(scores, names)])
+        scored = scored.withColumn("_top", F.greatest(*names) if len(names) > 1 else F.col(names[0]))
+        scored = scored.select(*map(col, keys), *[F.exp(F.col(n) - F.col("_top")).alias(n) for n in names])
+        total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
+        scored = scored.withColumn("_total", total)
+        return scored.select(*map(col, keys), F.array(*[F.col(n) / F.col("_total") for n in names]).alias("_p"))
+
+    def _by_matrix(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        priors, means, variances = self.priors, self.means, self.variances
+
+        @F.arrow_udf("array<double>")
+        def shares(values):
+            import numpy as np
+            import pyarrow as pa
+
+            m, v = np.array(means, float), np.array(variances, float)  # no mean becomes NaN
+            constant = -0.5 * np.log(2 * np.pi * v)
+            flat = values.flatten()
+            x, absent = (a.reshape(-1, m.shape[1]) for a in (flat.to_numpy(zero_copy_only=False), flat.is_null().to_numpy(zero_copy_only=False)))
+            out = np.empty((len(x), len(m)))
+            for at in range(0, len(x), 256):  # rows times classes times features are held at once
+                part = x[at : at + 256, None, :]
+                terms = constant - (part - m) ** 2 / (2 * v)
+                out[at : at + 256] = np.log(priors) + np.where(absent[at : at + 256, None, :] | np.isnan(m), 0.0, terms).sum(axis=2)
+            out = np.exp(out - out.max(axis=1, keepdims=True))
+            out /= out.sum(axis=1, keepdims=True)
+            return pa.ListArray.from_arrays(np.arange(0, out.size + 1, len(m), dtype=np.int32), out.ravel())
+
+        values = F.array(*[col(f).cast("double") for f in self.features])
+        return df.select(*map(col, keys), shares(values).alias("_p"))
+
 
 def class_prior(df: DataFrame, label: str) -> DataFrame:
     """(label, n, prior) per class. Runs a count."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     FeatureHasher,
     HashingTF,
@@ -19,8 +19,10 @@ from pyspark.ml.feature import (
     StringIndexer,
     Tokenizer,
     VectorAssembler,
+    VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,8 @@ CATEGORY_BUCKETS = 1 << 10  # per hashed column, unless given
 TEXT_BUCKETS = 1 << 13  # per text column, unless given
 
 FEATURES, LABEL = "features", "label_index"
+WIDE = "features_wide"  # the assembled vector, where only some of its places are used
+SPARSE = 4  # a vector is cut down when at most one of so many places is ever filled
 
 
 @dataclass
@@ -48,6 +52,9 @@ class FeaturePlan:
     def to_dict(self) -> dict:
         return asdict(self)
 
+    def hashes(self) -> bool:
+        return bool(self.hashed or self.text)
+
     # -- row-local preparation, the same at fit, in batches and on streams ----------------
 
     def _date_parts(self) -> list[str]:
@@ -127,6 +134,28 @@ def plan_features(
     return plan
 
 
+def occurring_places(data: DataFrame) -> VectorSlicer | None:
+    """A stage that keeps the places of ``features`` that some row fills; None when most are filled.
+
+    Hashed columns leave most buckets empty. An empty one is zero in every row, so no model can use
+    it, but trees hold a number per row and place. Runs one job; the driver gets a count per place.
+    """
+    counted = data.select(Summarizer.metrics("numNonZeros").summary(F.col(FEATURES)).alias("s")).first()
+    if counted.s is None:
+        return None
+    counts = counted.s.numNonZeros.toArray()
+    filled = [int(i) for i in counts.nonzero()[0]] or [0]
+    if len(filled) * SPARSE > len(counts):
+        return None
+    return VectorSlicer(inputCol=WIDE, outputCol=FEATURES, indices=filled)
+
+
+def with_slicer(features: PipelineModel, slicer: VectorSlicer) -> PipelineModel:
+    """The fitted stages with the vector cut down at the end."""
+    *before, assembler = features.stages
+    return PipelineModel([*before, assembler.copy().setOutputCol(WIDE), slicer])
+
+
 def apply_featurizer(df: DataFrame, column: str, featurizer: Callable[[Column], Column]) -> DataFrame:
     """Replace a binary column by the array of doubles a featurizer makes of it."""
     return df.withColumn(column, featurizer(col(column)))

@@ -32,10 +32,13 @@ from tidecast.operators.features import (
     FEATURES,
     LABEL,
     TEXT_BUCKETS,
+    WIDE,
     FeaturePlan,
     apply_featurizer,
+    occurring_places,
     plan_features,
     prepare,
+    with_slicer,
 )
 from tidecast.operators.leaderboard import rank_models
 from tidecast.operators.proba import best_place, class_list, proba_name
@@ -208,6 +211,10 @@ class TabularEstimator:
         model.features = model.plan.pipeline().fit(prepared)
         kept = [LABEL, FEATURES, *(f"fold{s}" for s in range(num_bag_sets if num_bag_folds else 0))]
         data = model.features.transform(prepared).select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
+        slicer = occurring_places(data) if model.plan.hashes() else None
+        if slicer is not None:
+            wide, model.features = data, with_slicer(model.features, slicer)
+            data = slicer.transform(wide.withColumnRenamed(FEATURES, WIDE)).drop(WIDE).persist(StorageLevel.MEMORY_AND_DISK)
         check = None
         if check_rows is not None:
             held = prepare(model._featurize(check_rows.filter(col(self.label).isNotNull())), model.plan, extra[:1])
@@ -237,6 +244,8 @@ class TabularEstimator:
                 results = [run(c) for c in candidates]
         finally:
             data.unpersist()
+            if slicer is not None:
+                wide.unpersist()
             if check is not None:
                 check.unpersist()
         model.scores = [r for r in results if r is not None]
