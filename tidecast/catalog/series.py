@@ -19,7 +19,7 @@ from tidecast.catalog.common import (
     weekly_supply,
 )
 from tidecast.functions.frequency import stamps_from_start
-from tidecast.functions.quantiles import empirical_quantiles
+from tidecast.functions.quantiles import empirical_quantiles, group_quantiles
 from tidecast.operators.baseline import as_forecast_table, baseline_forecast
 from tidecast.operators.columns import ITEM, STAMP, TARGET, canonicalize, known_covariate_names, restore_names
 from tidecast.operators.series import (
@@ -380,6 +380,16 @@ def ts_quantiles(spark, sf_dir):
 # -- nested JSON -------------------------------------------------------------------------------
 
 
+@query(
+    "ts_quantiles_of_large_groups",
+    """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.1), 4) AS "0.1", round(quantile_cont(l_extendedprice, 0.5), 4) AS "0.5",
+              round(quantile_cont(l_extendedprice, 0.9), 4) AS "0.9" FROM lineitem GROUP BY 1""",
+)
+def ts_quantiles_of_large_groups(spark, sf_dir):
+    """Three groups of nearly all distinct values, ranked without gathering any."""
+    return rounded(group_quantiles(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", LEVELS, few=1000))
+
+
 def _bodies(spark, sf_dir, horizon: int = 3):
     """One request per item and month, made from the zero-filled daily series."""
     daily = weekend(regularize(daily_events(spark, sf_dir), "D", 0.0))

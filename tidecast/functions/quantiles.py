@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from statistics import NormalDist
 
-from pyspark.sql import Column
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The levels a forecast reports unless told otherwise.
@@ -79,3 +80,127 @@ def normal_quantiles(mean: Column, sigma: Column, levels: Sequence[float]) -> li
 def empirical_quantiles(value: Column, levels: Sequence[float]) -> list[Column]:
     """Aggregates: exact interpolated quantiles of a column, one per level."""
     return [F.percentile(value, F.lit(q)).alias(level_name(q)) for q in levels]
+
+
+ACCURACY = 10_000  # of the sketches that bracket a quantile: a rank is known to within one part in so many
+FEW = 1 << 20  # values of a group between two brackets that are sorted; more are bracketed again
+
+
+def group_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, levels: Sequence[float], accuracy: int = ACCURACY, few: int = FEW
+) -> DataFrame:
+    """(keys, one column per level): exact interpolated quantiles of groups of any size.
+
+    Unlike ``empirical_quantiles``, no task holds a group's distinct values. Each round one mergeable
+    sketch per group gives values on both sides of every wanted rank; only rows between them go on,
+    a few parts in ``accuracy`` of the group, with the number of those below. When no group has more
+    than ``few`` rows left between two brackets, those are ranked. Counts check every bracket, so the
+    result doesn't rest on the sketch. Nulls don't count; NaN is the largest value; groups without
+    values get nulls; null keys are a group. Runs a job or two per round; a round is rarely followed
+    by another.
+    """
+    from tidecast.operators.columns import col
+
+    levels = sorted_levels(levels)
+    group = [f"g{i}" for i in range(len(keys))]
+    names = [level_name(q) for q in levels]
+    rows = df.select(*(col(k).alias(g) for k, g in zip(keys, group)), col(value).cast("double").alias("v"))
+    if not keys:
+        group, rows = ["g0"], rows.withColumn("g0", F.lit(0))
+    sizes = rows.groupBy(*group).agg(F.count("v").alias("n"))
+    # Wanted per group and level: ranks low and low + 1 among ``n`` values, ``skip`` of them behind us.
+    places = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(q).alias("q")) for i, q in enumerate(levels)])
+    wanted = sizes.where("n > 0").select(*group, "n", F.explode(places).alias("l")).select(*group, "n", "l.level", (F.col("l.q") * (F.col("n") - 1)).alias("place"))
+    wanted = wanted.select(*group, "level", "place", F.floor("place").cast("bigint").alias("low"), F.lit(0).cast("bigint").alias("skip"), "n")
+    left = rows.where("v IS NOT NULL").select(*group, F.lit(-1).alias("of"), "v")  # -1: rows of every level
+    held: list[DataFrame] = []
+    before = None
+
+    try:
+        while True:
+            # Rows of one value need no telling apart, and where a round leaves as many rows as there
+            # were, a few values hold them all: both are counted by value in the end.
+            most = wanted.agg(F.max("n")).first()[0]
+            if most is None or most <= few or most == before:
+                break
+            before = most
+            bracketed = _bracketed(left, wanted, group, accuracy)
+            left, wanted = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in bracketed)
+            held += [left, wanted]
+        ranked = _ranked(left, wanted, group)
+        cells = ranked.groupBy(*group).agg(*[F.max(F.when(F.col("level") == i, F.col("x"))).alias(n) for i, n in enumerate(names)])
+        out = _matched(sizes, cells, group, how="left").select(*(F.col(g).alias(k) for g, k in zip(group, keys)), *map(col, names))
+        return out if not held else _kept(out)
+    finally:
+        for frame in held:
+            frame.unpersist()
+
+
+def _kept(out: DataFrame) -> DataFrame:
+    """One row per group, computed before the intermediate rows go."""
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
+
+
+def _matched(a: DataFrame, b: DataFrame, on: Sequence[str], also: Column | None = None, how: str = "inner") -> DataFrame:
+    """``a`` with the other columns of ``b``, null keys matching each other."""
+    met = F.lit(True) if also is None else also
+    for c in on:
+        met = met & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return a.join(b.withColumnsRenamed({c: f"_{c}" for c in on}), met, how).drop(*[f"_{c}" for c in on])
+
+
+def _of_level() -> Column:
+    """Whether rows left ``of`` a level, or of all (-1), are those of ``level``."""
+    return (F.col("of") == -1) | (F.col("of") == F.col("level"))
+
+
+def _bracketed(left: DataFrame, wanted: DataFrame, group: Sequence[str], accuracy: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, wanted) after one round: rows between brackets of each level, and the ranks among them.
+
+    ``of`` is the level a row is left for, -1 for all of them.
+    """
+    first = F.col("low") - F.col("skip")
+    slack = 2.0 / accuracy
+    last = accuracy // 8
+    steps = [i / last for i in range(last + 1)]
+    sketch = left.groupBy(*group, "of").agg(F.percentile_approx("v", F.lit(steps), F.lit(accuracy)).alias("cuts"))
+    met = _matched(wanted, sketch, group, _of_level())
+    # On both sides of the ranks first and first + 1, by more than a sketch can be wrong.
+    under = F.floor((first / F.col("n") - slack) * last).cast("int") - 1
+    over = F.ceil(((first + 2) / F.col("n") + slack) * last).cast("int") + 1
+    # Beyond the first and last cut there is no bracket; null stands for that.
+    bounds = met.select(
+        *group, "level", "place", "low", "skip", "n",
+        F.when(under >= 0, F.get("cuts", under)).alias("a"), F.when(over <= last, F.get("cuts", over)).alias("b"),
+    )
+    each = bounds.groupBy(*group).agg(F.collect_list(F.struct("level", "a", "b")).alias("bs"))  # one entry per level
+    joined = _matched(left, each, group).select(*group, "of", "v", F.explode("bs").alias("b")).select(*group, "of", "v", "b.*").where(_of_level())
+    below = F.coalesce(F.col("v") < F.col("a"), F.lit(False))
+    inside = ~below & F.coalesce(F.col("v") <= F.col("b"), F.lit(True))
+    counts = joined.groupBy(*group, "level").agg(F.count_if(below).alias("passed"), F.count_if(inside).alias("among"))
+    checked = _matched(bounds, counts, [*group, "level"])
+    good = (first >= F.col("passed")) & (F.least(first + 1, F.col("n") - 1) < F.col("passed") + F.col("among"))
+    wrong = F.raise_error(F.lit("a quantile lies outside of its bracket")).cast("bigint")
+    after = checked.select(
+        *group, "level", "place", "low", F.when(good, F.col("skip") + F.col("passed")).otherwise(wrong).alias("skip"), F.col("among").alias("n")
+    )
+    return joined.where(inside).select(*group, F.col("level").alias("of"), "v"), after
+
+
+def _ranked(left: DataFrame, wanted: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(group, level, x) from the rows that are left: values are counted, then ranked by running sums."""
+    counted = left.groupBy(*group, "of", "v").agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy(*group, "of").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    met = _matched(wanted, counted.withColumn("upto", F.sum("c").over(upto)), group, _of_level())
+    first = F.col("low") - F.col("skip")
+    start = F.col("upto") - F.col("c")
+    holds = lambda r: (start <= r) & (r < F.col("upto"))
+    picked = met.groupBy(*group, "level").agg(
+        *(F.max(c).alias(c) for c in ("place", "low")),
+        *(F.max(F.when(holds(first + i), F.col("v"))).alias(f"x{i}") for i in (0, 1)),
+    )
+    part = F.col("place") - F.col("low")
+    between = F.col("x0") + (F.coalesce("x1", "x0") - F.col("x0")) * part
+    return picked.select(*group, "level", F.when(part == 0, F.col("x0")).otherwise(between).alias("x"))

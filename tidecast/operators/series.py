@@ -172,28 +172,73 @@ def _carried(starts: DataFrame, observed: DataFrame) -> DataFrame:
     return starts.join(latest, [ITEM, "chunk"], "left").withColumn(TARGET, carried).drop("latest")
 
 
+_SLICE_ROWS = f"{ITEM} string, gap_us long, n long, slice int, first_us long, last_us long"
+
+
 def stamp_gaps(series: DataFrame) -> DataFrame:
     """Distance from each timestamp to the item's previous one, with its count.
 
-    Returns (item_id, gap_us, n). Each item's span is cut into buckets that hold ``CHUNK``
-    timestamps on average; a bucket's first row takes its predecessor from the bucket-level
-    summary, which has a ``CHUNK``-th of the item's rows. Exact for any spacing. The spans
-    are joined without a hint: broadcast when measurably small, else a skew-split merge join.
+    Returns (item_id, gap_us, n). Rows are range-partitioned by item and time, so slices hold about
+    as many rows each however the stamps of an item are spread, and a burst or a hot item is several
+    slices. A task walks its sorted slice in batches and sums gaps as it goes; what it can't see, the
+    gap from an item's end in one slice to its beginning in the next, comes from a row per slice and
+    item in a second pass. Exact for any spacing, with one shuffle of the series.
     """
-    points = series.select(ITEM, epoch_micros(F.col(STAMP)).alias("us"))
-    spans = points.groupBy(ITEM).agg(F.min("us").alias("lo"), F.max("us").alias("hi"), F.count("*").alias("n"))
-    width = F.greatest(F.floor((F.col("hi") - F.col("lo")) / F.col("n")) * CHUNK, F.lit(1))
-    spans = spans.select(ITEM, "lo", width.cast("bigint").alias("width"))
-    offset = F.col("us") - F.col("lo")
-    bucket = ((offset - F.pmod(offset, F.col("width"))) / F.col("width")).cast("bigint")
-    points = points.join(spans, ITEM).select(ITEM, "us", bucket.alias("chunk"))
-    within = Window.partitionBy(ITEM, "chunk").orderBy("us")
-    inner = points.select(ITEM, (F.col("us") - F.lag("us").over(within)).alias("gap_us"))
-    edges = points.groupBy(ITEM, "chunk").agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"))
-    between = Window.partitionBy(ITEM).orderBy("chunk")
-    outer = edges.select(ITEM, (F.col("first_us") - F.lag("last_us").over(between)).alias("gap_us"))
-    gaps = inner.unionByName(outer).filter(F.col("gap_us").isNotNull())
-    return gaps.groupBy(ITEM, "gap_us").agg(F.count("*").alias("n"))
+
+    def walk(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        slice_number, before = TaskContext.get().partitionId(), None
+        open_item = first = last = None
+
+        def edge():
+            return pa.RecordBatch.from_pylist(
+                [{ITEM: open_item, "gap_us": None, "n": None, "slice": slice_number, "first_us": first, "last_us": last}], schema
+            )
+
+        schema = pa.schema(
+            [(ITEM, pa.string()), ("gap_us", pa.int64()), ("n", pa.int64()), ("slice", pa.int32()), ("first_us", pa.int64()), ("last_us", pa.int64())]
+        )
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            us = batch.column(1).to_numpy()
+            items = batch.column(0).dictionary_encode()
+            code, names = items.indices.fill_null(-1).to_numpy(zero_copy_only=False), items.dictionary.to_pylist()
+            name = lambda c: None if c < 0 else names[c]
+            same = np.append(before is not None and name(code[0]) == open_item, code[1:] == code[:-1])
+            gap = np.diff(us, prepend=before if before is not None else us[0])
+            found = pa.table({ITEM: batch.column(0), "gap_us": gap}).filter(pa.array(same))
+            counted = found.group_by([ITEM, "gap_us"]).aggregate([([], "count_all")])
+            none = pa.nulls(len(counted))
+            yield from pa.table(
+                [counted[ITEM].cast(pa.string()), counted["gap_us"], counted["count_all"], none.cast(pa.int32()), none.cast(pa.int64()), none.cast(pa.int64())],
+                schema=schema,
+            ).combine_chunks().to_batches()
+            starts = np.flatnonzero(~same)
+            for at, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(us)]):
+                if first is not None:
+                    yield edge()
+                open_item, first, last = name(code[at]), int(us[at]), int(us[stop - 1])
+            last = before = int(us[-1])
+        if first is not None:
+            yield edge()
+
+    points = series.select(F.col(ITEM).cast("string").alias(ITEM), epoch_micros(F.col(STAMP)).alias("us")).where("us IS NOT NULL")
+    walked = points.repartitionByRange(ITEM, "us").sortWithinPartitions(ITEM, "us").mapInArrow(walk, _SLICE_ROWS)
+    ends = F.struct("slice", "first_us", "last_us")
+    # An item has at most one row of ends per slice; partial sums come before every shuffle.
+    summed = walked.groupBy(ITEM, "gap_us").agg(
+        F.sum("n").alias("n"), F.sort_array(F.collect_list(F.when(F.col("slice").isNotNull(), ends))).alias("ends")
+    )
+    number = lambda gap, n: F.struct(gap.alias("gap_us"), n.cast("bigint").alias("n"))
+    nexts = F.slice("ends", F.lit(2), F.greatest(F.size("ends") - 1, F.lit(0)))
+    across = F.transform(nexts, lambda e, i: number(e["first_us"] - F.get("ends", i)["last_us"], F.lit(1)))
+    found = F.when(F.col("gap_us").isNotNull(), F.array(number(F.col("gap_us"), F.col("n")))).otherwise(across)
+    gaps = summed.select(ITEM, F.explode(found).alias("g")).select(ITEM, "g.*")
+    return gaps.groupBy(ITEM, "gap_us").agg(F.sum("n").alias("n"))
 
 
 def item_frequency(series: DataFrame) -> DataFrame:
@@ -238,10 +283,13 @@ def _code(df: DataFrame) -> Column:
 
 
 def infer_freq(series: DataFrame) -> str:
-    """The one frequency all items share. Runs a job; raises when items disagree."""
-    codes = item_frequency(series).filter(F.col("freq").isNotNull()).select("freq").distinct().limit(5).collect()
-    found = sorted(row.freq for row in codes)
-    if len(found) != 1:
+    """The one frequency all items share. Runs a job; raises when items disagree.
+
+    An item whose usual gap is no frequency disagrees too. Items of a single timestamp say nothing.
+    """
+    codes = item_frequency(series).select("freq").distinct().limit(5).collect()
+    found = sorted("irregular" if row.freq is None else row.freq for row in codes)
+    if len(found) != 1 or found == ["irregular"]:
         raise ValueError(f"cannot infer one frequency, items show {found or 'none'}; pass freq=")
     return found[0]
 
