@@ -15,7 +15,16 @@ from tidecast.operators.scoring import recent_context, score_items, score_with
 from tidecast.plans.multimodal import MultiModalEstimator
 from tidecast.plans.tabular import TabularEstimator
 from tidecast.session import scratch_path
-from tidecast.sources.images import attach_image_bytes, content_name, name_images, read_images, relativize_paths, reroot_paths
+from tidecast.sources.images import (
+    attach_image_bytes,
+    attach_named_files,
+    content_name,
+    list_images,
+    name_images,
+    read_images,
+    relativize_paths,
+    reroot_paths,
+)
 from tidecast.streaming.history import read_history, run_history
 from tidecast.streaming.queries import read_stream, run_available
 from tidecast.streaming.scoring import (
@@ -194,6 +203,20 @@ def img_attach_bytes(spark, sf_dir):
     return attached.agg(F.sum(F.octet_length("image").cast("bigint")).alias("total_bytes"))
 
 
+@query(
+    "img_named_files",
+    """SELECT sha1(html || chr(10)) AS sha, count(*) AS n FROM pages
+       WHERE octet_length(encode(html)) + 1 > 1000 GROUP BY 1""",
+)
+def img_named_files(spark, sf_dir):
+    """One file per page; those of more than 1,000 bytes are named by rows, and no other is opened."""
+    path = scratch_path(spark, "page-files")
+    table(spark, sf_dir, "pages").select("html").write.option("maxRecordsPerFile", 1).text(path)
+    rows = list_images(path, "*.txt").where("length > 1000").select(F.col("path").alias("image"))
+    loaded = attach_named_files(rows, "image")
+    return loaded.groupBy(F.sha1("image").alias("sha")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("img_predict_images")
 def img_predict_images(spark, sf_dir):
     """Files scored with a model of page bytes; one row per file."""

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidecast.functions.paths import common_parts, normal_path
 from tidecast.operators.columns import col
+from tidecast.sources.files import store_of
 
 # Column roles that mark an image column, in the order they are looked for.
 IMAGE_ROLES = ("image_path", "image", "image_bytearray")
+HELD = 64 << 20  # bytes of contents in a batch of rows
 
 
 def read_images(path: str, glob: str | None = None, spark: SparkSession | None = None) -> DataFrame:
@@ -26,8 +32,7 @@ def attach_image_bytes(df: DataFrame, image_column: str, images: DataFrame) -> D
     Only files that ``df`` names are read into the join. Spark broadcasts the content when it
     is measurably small; otherwise hot paths are split by the adaptive skew join.
     """
-    if image_column not in df.columns:
-        raise ValueError("Please specify a valid image column name")
+    _check_column(df, image_column)
     files = images.select(F.col("path").alias("_path"), F.col("content").alias("_content"))
     joined = df.withColumn("_path", normal_path(col(image_column))).join(files, "_path", "left")
     missing = F.raise_error(F.concat(F.lit("no image at "), F.col("_path"))).cast("binary")
@@ -35,6 +40,54 @@ def attach_image_bytes(df: DataFrame, image_column: str, images: DataFrame) -> D
     return joined.select(*[bytes_.alias(c) if c == image_column else col(c) for c in df.columns])
 
 
+def _check_column(df: DataFrame, image_column: str) -> None:
+    if image_column not in df.columns:
+        raise ValueError(f"{image_column!r} is no valid image column; the table has {', '.join(df.columns)}")
+
+
+def list_images(path: str, glob: str | None = None, spark: SparkSession | None = None) -> DataFrame:
+    """(path, length) of the files ``read_images`` would read; no content is opened."""
+    return read_images(path, glob, spark).select("path", "length")
+
+
+def attach_named_files(df: DataFrame, image_column: str, bytes_read: Accumulator | None = None) -> DataFrame:
+    """Replace the path in ``image_column`` by the file's content, opening only files that rows name.
+
+    Nothing is listed, joined or shuffled: each task sorts its own rows by path, opens every path
+    once, and hands on batches of at most HELD bytes. A null path stays null; a path without file is
+    an error; repeated rows stay. ``bytes_read`` counts what was read. Paths of a store that only
+    Spark's readers open need ``attach_image_bytes``.
+    """
+    _check_column(df, image_column)
+    place = df.columns.index(image_column)
+    fields = [T.StructField(f.name, T.BinaryType() if f.name == image_column else f.dataType) for f in df.schema.fields]
+
+    def load(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        opened, content = None, None
+        for batch in batches:
+            rest = batch.columns
+            paths, at, held = batch.column(place).to_pylist(), 0, []
+            size = 0
+            for i, path in enumerate(paths):
+                if path is not None and path != opened:
+                    store, name = store_of(path)
+                    with store.open_input_stream(name) as file:
+                        opened, content = path, file.read()
+                    if bytes_read is not None:
+                        bytes_read.add(len(content))
+                held.append(None if path is None else content)
+                size += 0 if path is None else len(content)
+                if size >= HELD or i + 1 == len(paths):
+                    columns = [pa.array(held, pa.binary()) if j == place else c.slice(at, len(held)) for j, c in enumerate(rest)]
+                    yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                    at, held, size = i + 1, [], 0
+
+    named = df.withColumn(image_column, normal_path(col(image_column)))
+    return named.sortWithinPartitions(col(image_column)).mapInArrow(load, T.StructType(fields))
+
+
 def content_name(content: Column) -> Column:
     """File name derived from the bytes; equal bytes share one name."""
     return F.concat(F.lit("tabular_image_"), F.sha1(content.cast("binary")), F.lit(".png"))
