@@ -19,6 +19,7 @@ from tidecast.operators.proba import (
     split_pred_proba,
 )
 from tidecast.operators.splits import fold_of, holdout_rows, sample_n
+from tidecast.plans.search import IntRange, RealRange
 from tidecast.plans.tabular import TabularEstimator, problem_type
 
 QUERIES: dict = {}
@@ -402,6 +403,40 @@ def tab_search(spark, sf_dir):
     return rounded(model.leaderboard(spark).drop("fit_time"))
 
 
+@query(
+    "tab_search_ranges",
+    f"""WITH {_SIDES}, t AS (SELECT unnest(['tree/1', 'tree/2']) AS model, rich, p FROM d JOIN f USING (side) WHERE held)
+        SELECT model, round(avg(ln(CASE WHEN rich = 1 THEN p ELSE 1 - p END)), 4) AS score_val, 'log_loss' AS eval_metric
+        FROM t GROUP BY model""",
+)
+def tab_search_ranges(spark, sf_dir):
+    """Two trials of a depth and a smallest leaf drawn from ranges; any of them gives the same tree."""
+    model = TabularEstimator("rich", eval_metric="log_loss", ignore_columns=["c_custkey"]).fit(
+        _sides(spark, sf_dir),
+        hyperparameters={"tree": {"maxDepth": IntRange(1, 4), "minInfoGain": RealRange(1e-9, 1e-7, log=True)}},
+        hyperparameter_tune_kwargs={"num_trials": 2, "seed": 5},
+        keys=["c_custkey"],
+    )
+    return rounded(model.leaderboard(spark).drop("fit_time"))
+
+
+@query(
+    "tab_search_halving",
+    f"""WITH {_SIDES}
+        SELECT 'tree/1' AS model, round(avg(ln(CASE WHEN rich = 1 THEN p ELSE 1 - p END)), 4) AS score_val, 'log_loss' AS eval_metric
+        FROM d JOIN f USING (side) WHERE held""",
+)
+def tab_search_halving(spark, sf_dir):
+    """Four trials on a quarter of the rows, two on half, one on all; of equal trials the first goes on."""
+    model = TabularEstimator("rich", eval_metric="log_loss", ignore_columns=["c_custkey"]).fit(
+        _sides(spark, sf_dir),
+        hyperparameters={"tree": {"maxDepth": 2, "minInstancesPerNode": [1, 2, 3, 4]}},
+        hyperparameter_tune_kwargs={"scheduler": "halving", "eta": 2},
+        keys=["c_custkey"],
+    )
+    return rounded(model.leaderboard(spark).drop("fit_time"))
+
+
 @query(
     "tab_named_candidate",
     f"""WITH {_SIDES}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 from typing import Any
 
 from pyspark import StorageLevel
@@ -44,6 +45,7 @@ from tidecast.operators.series import (
     season_length,
 )
 from tidecast.operators.smoothing import SMOOTHERS, smoothing_forecast
+from tidecast.plans.deadline import Deadline, OutOfTime
 from tidecast.plans.registry import FORECAST_PRESETS, FORECASTERS, merge_settings, preset
 from tidecast.sources.sinks import write_predictions
 from tidecast.sources.store import read_json, write_json
@@ -149,8 +151,9 @@ class ForecastEstimator:
         """Backtest the candidates on the last steps of each item and keep the best.
 
         ``hyperparameters`` names the candidates (a mapping also sets their options). With a
-        single candidate no backtest runs. ``time_limit`` (seconds) is checked between
-        candidates.
+        single candidate no backtest runs. When ``time_limit`` (seconds) is over, the running
+        backtest is cancelled and the candidates scored so far decide; the first group of
+        candidates is never cut short.
         """
         if self.fitted:
             raise ValueError("this estimator is already fitted; make a new one")
@@ -282,14 +285,17 @@ class ForecastModel:
         known = held.select(ITEM, STAMP, *map(col, self.known_names)) if self._uses_extras() else None
         metric, levels = self.eval_metric, self.levels if self.eval_metric == "WQL" else ()
         frames: list[DataFrame] = []
+        deadline = Deadline(marked.sparkSession, time_limit, started)
         for group in self._groups():
-            if frames and time_limit is not None and time.monotonic() - started > time_limit:
-                break
             began = time.monotonic()
-            fitted = self._regression(self.horizon).fit(history) if group == ["lag_regression"] else None
-            rows = self._raw(group, history, known, fitted)
+            try:
+                with deadline.enforced() if frames else nullcontext():
+                    fitted = self._regression(self.horizon).fit(history) if group == ["lag_regression"] else None
+                    rows = self._raw(group, history, known, fitted)
+                    self._score(rows, history, held, metric, levels, began)
+            except OutOfTime:
+                break
             frames.append(rows)
-            self._score(rows, history, held, metric, levels, began)
         done = [name for name, _, _ in self.scores]
         if "ensemble" in self.candidates and len(done) > 1:
             began = time.monotonic()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import itertools
 import time
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.functions import metrics
+from tidecast.functions.hashing import key_bucket
 from tidecast.operators.columns import align_columns, col, feature_columns, validate_tabular
 from tidecast.operators.features import (
     CATEGORY_BUCKETS,
@@ -43,12 +44,15 @@ from tidecast.operators.features import (
 from tidecast.operators.leaderboard import rank_models
 from tidecast.operators.proba import best_place, class_list, proba_name
 from tidecast.operators.splits import fold_of, holdout_rows
+from tidecast.plans.deadline import Deadline, OutOfTime
 from tidecast.plans.registry import TABULAR_PRESETS, merge_settings, preset
+from tidecast.plans.search import ETA, SHARES, halve, is_space, trials
 from tidecast.sources.sinks import LEADERBOARD, write_predictions
 from tidecast.sources.store import read_json, write_json
 from tidecast.sources.tables import as_frame, read_table
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
+PLACE = "_place"  # of a row in the nested shares of successive halving
 
 _CLASSIFIERS = {
     "linear": LogisticRegression,
@@ -127,14 +131,10 @@ class TabularEstimator:
         out: list[tuple[str, Estimator]] = []
         for name in names:
             settings = merge_settings(name, self.hyperparameters.get(name), layers.get(name))
-            lists = {k: v for k, v in settings.items() if isinstance(v, (list, tuple))}
-            if not lists:
+            if not any(isinstance(v, (list, tuple)) or is_space(v) for v in settings.values()):
                 out.append((name, self._estimator(name, settings, problem, classes)))
                 continue
-            # Lists of values are a search space, walked in a fixed order.
-            trials = itertools.product(*lists.values())
-            for i, values in enumerate(itertools.islice(trials, (search or {}).get("num_trials"))):
-                chosen = {**settings, **dict(zip(lists, values))}
+            for i, chosen in enumerate(trials(settings, search)):
                 out.append((f"{name}/{i + 1}", self._estimator(name, chosen, problem, classes)))
         return out
 
@@ -171,7 +171,14 @@ class TabularEstimator:
         Rows are held out by key hash (``keys``, default: the whole row) unless tuning data
         is given. A single candidate without tuning data is fitted on all rows. With
         ``num_bag_folds`` each candidate is a bag of one model per fold and set, scored on
-        the rows each model did not see. ``time_limit`` (seconds) is checked between fits.
+        the rows each model did not see.
+
+        A setting may be a list or a range (``search``), which makes a candidate several trials:
+        ``hyperparameter_tune_kwargs`` has ``num_trials``, a ``seed`` for ranges and, for successive
+        halving, ``scheduler="halving"`` and ``eta``: trials start on a small share of the rows, and
+        the best part goes on to a larger one that contains it (by key hash). When ``time_limit``
+        (seconds) is over, the running fits are cancelled and what has been fitted is kept; only the
+        first candidate is never cut short, so that there is a model.
         ``parallelism`` is how many candidates, or folds of one, are fitted at a time;
         ``partitions`` deals the rows anew before fitting, for tables of few large files.
         """
@@ -188,7 +195,13 @@ class TabularEstimator:
         train = train.filter(col(self.label).isNotNull())
         classes = class_list(train, self.label) if problem == CLASSIFICATION else []
         columns = [c for c in feature_columns(train, self.label) if c not in self.ignore_columns]
-        candidates = self._candidates(hyperparameters, presets, hyperparameter_tune_kwargs, problem, classes)
+        search = hyperparameter_tune_kwargs or {}
+        candidates = self._candidates(hyperparameters, presets, search, problem, classes)
+        halving = search.get("scheduler") == "halving"
+        if search.get("scheduler") not in (None, "halving"):
+            raise ValueError(f"unknown scheduler {search['scheduler']!r}; known: halving")
+        if halving and num_bag_folds:
+            raise ValueError("successive halving doesn't go with bagging")
         metric = self._metric(problem, classes)
 
         model = TabularModel(self.label, problem, classes, metric, train.select(*map(col, columns)).schema)
@@ -207,9 +220,11 @@ class TabularEstimator:
         fold_keys = list(keys or fit_rows.columns)
         for s in range(num_bag_sets if num_bag_folds else 0):
             extra.append(fold_of(fold_keys, num_bag_folds, s).alias(f"fold{s}"))
+        if halving:
+            extra.append(key_bucket(fold_keys, SHARES, seed=2).alias(PLACE))
         prepared = prepare(featured, model.plan, extra)
         model.features = model.plan.pipeline().fit(prepared)
-        kept = [LABEL, FEATURES, *(f"fold{s}" for s in range(num_bag_sets if num_bag_folds else 0))]
+        kept = [LABEL, FEATURES, *(f"fold{s}" for s in range(num_bag_sets if num_bag_folds else 0)), *([PLACE] if halving else [])]
         data = model.features.transform(prepared).select(*kept).persist(StorageLevel.MEMORY_AND_DISK)
         slicer = occurring_places(data) if model.plan.hashes() else None
         if slicer is not None:
@@ -222,21 +237,36 @@ class TabularEstimator:
             if len(candidates) > 1:
                 check = check.persist(StorageLevel.MEMORY_AND_DISK)
 
+        deadline = Deadline(data.sparkSession, time_limit, started)
+
         def run(job: tuple[str, Estimator]):
             name, estimator = job
-            if model.members and time_limit is not None and time.monotonic() - started > time_limit:
-                return None
             began = time.monotonic()
-            if num_bag_folds:
-                members, scored = self._bag(estimator, data, num_bag_folds, num_bag_sets, model, parallelism)
-            else:
-                members = [Pipeline(stages=[estimator]).fit(data)]
-                scored = model._raw_output(check, members) if check is not None else None
-            score = None if scored is None else model._score(scored, metric)
+            try:
+                with nullcontext() if name == first else deadline.enforced():
+                    if num_bag_folds:
+                        members, scored = self._bag(estimator, data, num_bag_folds, num_bag_sets, model, parallelism)
+                    else:
+                        members = [Pipeline(stages=[estimator]).fit(data)]
+                        scored = model._raw_output(check, members) if check is not None else None
+                    score = None if scored is None else model._score(scored, metric)
+            except OutOfTime:
+                return None
             model.members[name] = members
             return name, score, time.monotonic() - began
 
+        def on_share(estimator: Estimator, share: int) -> float | None:
+            try:
+                with deadline.enforced():
+                    fitted = [Pipeline(stages=[estimator]).fit(data.filter(F.col(PLACE) < share))]
+                    return model._score(model._raw_output(check, fitted), metric)
+            except OutOfTime:
+                return None
+
         try:
+            if halving and check is not None:
+                candidates = self._halved(candidates, on_share, search.get("eta", ETA), model)
+            first = candidates[0][0]
             if parallelism > 1:
                 with ThreadPool(parallelism) as pool:
                     results = pool.map(inheritable_thread_target(data.sparkSession)(run), candidates)
@@ -253,6 +283,19 @@ class TabularEstimator:
         self.fitted = True
         return model
 
+    def _halved(self, candidates, on_share, eta: int, model: "TabularModel") -> list[tuple[str, Estimator]]:
+        """Candidates with each family of trials cut down to its last rung."""
+        estimators = dict(candidates)
+        families: dict[str, list[str]] = {}
+        for name in estimators:
+            families.setdefault(name.rpartition("/")[0] or name, []).append(name)
+        kept = []
+        for names in families.values():
+            left, log = halve(names, lambda name, share: on_share(estimators[name], share), eta)
+            model.trials += log
+            kept += left
+        return [(name, estimators[name]) for name in kept]
+
     def _bag(self, estimator, data, folds, sets, model, parallelism=1):
         """One model per (set, fold), and each row with the mean of those that did not see it."""
 
@@ -328,6 +371,7 @@ class TabularModel:
         self.features: PipelineModel | None = None
         self.members: dict[str, list[PipelineModel]] = {}
         self.scores: list[tuple[str, float | None, float]] = []
+        self.trials: list[tuple[str, int, float | None]] = []  # of successive halving: name, share of 10,000, score
         self.best: str | None = None
 
     # -- internals --------------------------------------------------------------------------
