@@ -26,7 +26,7 @@ from tidecast.sources.images import (
     reroot_paths,
 )
 from tidecast.streaming.history import read_history, run_history
-from tidecast.streaming.queries import read_stream, run_available
+from tidecast.streaming.queries import RateLimits, read_stream, run_available
 from tidecast.streaming.scoring import (
     forecast_stream,
     predict_proba_stream,
@@ -293,6 +293,23 @@ def stream_side_inputs(spark, sf_dir):
     return spark.read.parquet(output)
 
 
+@query(
+    "stream_current_history",
+    """WITH one AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id DESC) = 1)
+       SELECT CAST(user_id AS VARCHAR) AS item_id, date_trunc('hour', ts) AS "timestamp", value AS target FROM one
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) <= 4""",
+)
+def stream_current_history(spark, sf_dir):
+    """Each user's value in its four latest hours, from events in three micro-batches of any order; the highest id wins."""
+    hour = F.to_date("ts").cast("timestamp_ntz") + F.hour("ts") * F.expr("INTERVAL '1' HOUR")
+    events = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias(ITEM), hour.alias(STAMP), F.col("value").alias(TARGET), "event_id")
+    source, output, checkpoint = (scratch_path(spark, label) for label in ("events", "history", "state"))
+    events.repartition(3, F.crc32(F.col("event_id").cast("string").cast("binary"))).write.parquet(source)
+    stream = read_stream(spark, source, events.schema, limits=RateLimits(max_files=1))
+    run_history(stream, 4, "current", output, checkpoint, order="event_id", buckets=8)
+    return read_history(spark, output)
+
+
 @query(
     "stream_rolling_history",
     """SELECT CAST(user_id AS VARCHAR) AS item_id, ts AS "timestamp", value AS target FROM events

@@ -1,4 +1,4 @@
-"""Small JSON documents beside a saved model, on any file system Spark can reach."""
+"""Small JSON documents and folders, on any file system Spark can reach."""
 
 from __future__ import annotations
 
@@ -14,3 +14,21 @@ def write_json(spark: SparkSession, path: str, document: dict) -> None:
 
 def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, Hadoop path) through the session's own settings."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none if there is no such folder."""
+    fs, place = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; nothing happens if it is gone."""
+    fs, place = _folder(spark, path)
+    fs.delete(place, True)

@@ -6,11 +6,13 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidecast.operators.columns import ITEM, STAMP, TARGET
+from tidecast.operators.columns import ITEM, STAMP, TARGET, col
+from tidecast.sources.store import names_in, read_json, remove, write_json
 
 # Fixed value: the state store this operator needs.
 STATE_STORE = (
@@ -18,8 +20,16 @@ STATE_STORE = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 )
 
+_RANK = "row_rank"  # of rows with the same item and timestamp: the highest wins, of equal ones the last to arrive
 _HISTORY = f"{ITEM} string, {STAMP} timestamp_ntz, {TARGET} double"
-_STATE = f"{STAMP} timestamp_ntz, {TARGET} double"
+_RANKED = f"{_HISTORY}, {_RANK} long"
+_STATE = f"{STAMP} timestamp_ntz, {TARGET} double, {_RANK} long"
+BUCKETS = 64  # parts of a stored history; a micro-batch rewrites those it touches
+
+
+def _winners(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+    ordered = rows.sort_values([*by, _RANK], kind="stable")
+    return ordered.drop_duplicates(by, keep="last")
 
 
 class _LastRows(StatefulProcessor):
@@ -32,12 +42,13 @@ class _LastRows(StatefulProcessor):
         self.rows = handle.getListState("rows", _STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame(list(self.rows.get()), columns=[STAMP, TARGET])
+        columns = [STAMP, TARGET, _RANK]
+        kept = pd.DataFrame(list(self.rows.get()), columns=columns)
         # Batches are folded one by one, so memory stays at n rows however many arrive.
         for batch in rows:
-            kept = pd.concat([kept, batch[[STAMP, TARGET]]], ignore_index=True) if len(kept) else batch[[STAMP, TARGET]]
-            kept = kept.drop_duplicates(STAMP, keep="last").sort_values(STAMP).tail(self.n)
-        self.rows.put([(t.to_pydatetime(), float(y)) for t, y in kept.itertuples(index=False)])
+            kept = pd.concat([kept, batch[columns]], ignore_index=True) if len(kept) else batch[columns]
+            kept = _winners(kept, [STAMP]).tail(self.n)
+        self.rows.put([(t.to_pydatetime(), float(y), int(r)) for t, y, r in kept.itertuples(index=False)])
         yield pd.DataFrame({ITEM: key[0], STAMP: kept[STAMP], TARGET: kept[TARGET]})
 
     def close(self) -> None:
@@ -47,44 +58,96 @@ class _LastRows(StatefulProcessor):
 def _trim(n: int):
     def trim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            latest = rows.drop_duplicates([ITEM, STAMP], keep="last").sort_values(STAMP)
-            yield latest.groupby(ITEM, sort=False).tail(n)
+            yield _winners(rows, [ITEM, STAMP]).groupby(ITEM, sort=False).tail(n)
 
     return trim
 
 
-def rolling_history(stream: DataFrame, n: int) -> DataFrame:
-    """Stream of each updated item's ``n`` latest rows (a later row for a timestamp wins).
+def rolling_history(stream: DataFrame, n: int, order: str | None = None) -> DataFrame:
+    """Stream of each updated item's ``n`` latest rows.
 
-    Rows are trimmed to ``n`` per item in every batch of the scan, before they are shuffled
-    to the item's state, so a hot item sends little more than the others. Needs the RocksDB
-    state store (``STATE_STORE``).
+    Of several rows for a timestamp the one with the largest ``order`` (a whole number, null lowest)
+    wins, so results don't depend on how rows were dealt to tasks and micro-batches; without it, or
+    among equals, the last to arrive does. Rows are trimmed to ``n`` per item in every batch of the
+    scan, before they are shuffled to the item's state, so a hot item sends little more than the
+    others. Needs the RocksDB state store (``STATE_STORE``).
     """
-    rows = stream.select(ITEM, STAMP, TARGET).mapInPandas(_trim(n), _HISTORY)
+    rank = F.lit(0) if order is None else F.coalesce(col(order).cast("long"), F.lit(-(2**63)))
+    rows = stream.select(ITEM, STAMP, TARGET, rank.cast("long").alias(_RANK)).mapInPandas(_trim(n), _RANKED)
     return rows.groupBy(ITEM).transformWithStateInPandas(
         statefulProcessor=_LastRows(n), outputStructType=_HISTORY, outputMode="Update", timeMode="None"
     )
 
 
-def run_history(stream: DataFrame, n: int, name: str, output: str, checkpoint: str) -> None:
-    """Bring the stored histories up to date with what is there, one folder per micro-batch."""
+def run_history(
+    stream: DataFrame, n: int, name: str, output: str, checkpoint: str, order: str | None = None, buckets: int = BUCKETS
+) -> None:
+    """Bring the stored histories up to date with what is there.
+
+    The stored table has one row per item and timestamp at any time. It lies in ``buckets`` parts by
+    item hash; a micro-batch writes new versions of the parts it touches, then a list of the current
+    version of every part, and only then removes versions that neither this list nor the one before
+    names. A repeated micro-batch starts from the same list as the first time.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        _merge(batch, batch_id, output, buckets)
 
     session = stream.sparkSession
     before = session.conf.get(STATE_STORE[0], None)
     session.conf.set(*STATE_STORE)
     try:
-        writer = rolling_history(stream, n).writeStream.queryName(name).outputMode("update")
+        writer = rolling_history(stream, n, order).writeStream.queryName(name).outputMode("update")
         writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
         writer.foreachBatch(handle).start().awaitTermination()
     finally:
         session.conf.unset(STATE_STORE[0]) if before is None else session.conf.set(STATE_STORE[0], before)
 
 
+def _versions(spark: SparkSession, output: str, before: int | None = None) -> tuple[int | None, dict[str, int]]:
+    """(micro-batch, {bucket: micro-batch that wrote its current version}) of the newest list."""
+    known = [int(x) for x in names_in(spark, f"{output}/versions") if x.isdigit()]
+    known = [x for x in known if before is None or x < before]
+    return (max(known), read_json(spark, f"{output}/versions/{max(known)}")) if known else (None, {})
+
+
+def _part(output: str, version: int, bucket: "int | str") -> str:
+    return f"{output}/data/{version}/bucket={bucket}"
+
+
+def _merge(batch: DataFrame, batch_id: int, output: str, buckets: int) -> None:
+    spark = batch.sparkSession
+    last, current = _versions(spark, output, batch_id)
+    placed = batch.withColumn("bucket", F.pmod(F.xxhash64(ITEM), F.lit(buckets)).cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = sorted(r.bucket for r in placed.select("bucket").distinct().collect())  # at most ``buckets``
+        rows = placed.select(ITEM, STAMP, TARGET, "bucket")
+        old = [_part(output, current[str(b)], b) for b in touched if str(b) in current]
+        if old:
+            kept = spark.read.schema(_HISTORY).parquet(*old).join(placed.select(ITEM).distinct(), ITEM, "left_anti")
+            rows = rows.union(kept.select(ITEM, STAMP, TARGET, F.pmod(F.xxhash64(ITEM), F.lit(buckets)).cast("int").alias("bucket")))
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{output}/data/{batch_id}")
+    finally:
+        placed.unpersist()
+    now = {**current, **{str(b): batch_id for b in touched}}
+    write_json(spark, f"{output}/versions/{batch_id}", now)
+    needed = {*now.items(), *current.items()}
+    for version in names_in(spark, f"{output}/data"):
+        here = [x for x in names_in(spark, f"{output}/data/{version}") if x.startswith("bucket=")]
+        unused = [x for x in here if (x.partition("=")[2], int(version)) not in needed]
+        if len(unused) == len(here):
+            remove(spark, f"{output}/data/{version}")
+        else:
+            for x in unused:
+                remove(spark, f"{output}/data/{version}/{x}")
+    for version in names_in(spark, f"{output}/versions"):
+        if version.isdigit() and int(version) not in (batch_id, last):
+            remove(spark, f"{output}/versions/{version}")
+
+
 def read_history(spark: SparkSession, output: str) -> DataFrame:
-    """Each item's newest stored history."""
-    stored = spark.read.parquet(output)
-    newest = stored.groupBy(ITEM).agg(F.max("batch").alias("batch"))
-    return stored.join(newest, [ITEM, "batch"], "left_semi").drop("batch")
+    """Each item's current history: one row per item and timestamp, each stored row read once."""
+    _, current = _versions(spark, output)
+    if not current:
+        return spark.createDataFrame([], _HISTORY)
+    return spark.read.schema(_HISTORY).parquet(*[_part(output, v, b) for b, v in current.items()])
