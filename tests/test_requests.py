@@ -221,3 +221,17 @@ def test_files_are_requests(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("files").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("files").select("request_id").distinct().count() == 2
+
+
+def test_what_never_changes_gets_no_weight(spark):
+    """Training in one month only: the month's position must not move forecasts of the next one."""
+    rows = [("a", t, float(10 + t % 7), 1.0) for t in range(28)] + [("b", t, float(30 + t % 7), 1.0) for t in range(28)]
+    series = spark.createDataFrame(rows, "item_id string, t int, target double, flag double").select(
+        "item_id", (F.lit("2024-01-04").cast("timestamp_ntz") + F.col("t") * F.expr("INTERVAL '1' DAY")).alias("timestamp"), "target", "flag"
+    )
+    estimator = ForecastEstimator(prediction_length=7, freq="D", known_covariates_names=["flag"])
+    model = estimator.fit(series, hyperparameters={"lag_regression": {"lags": [7]}})
+    assert model.regression.model.stages[0].getInputCols() == ["lag_7", "season_sin", "season_cos"]
+    known = series.select("item_id", (F.col("timestamp") + F.expr("INTERVAL '28' DAY")).alias("timestamp"), F.lit(0.0).alias("flag"))
+    got = {(r.item_id, r.timestamp.day): r["mean"] for r in model.predict(series, known).collect()}
+    assert all(v == pytest.approx((10 if i == "a" else 30) + (d - 1 + 28) % 7, abs=1e-3) for (i, d), v in got.items())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import functions as F
 
 from tidecast.catalog.common import (
@@ -268,12 +270,72 @@ def fc_fit_predict_global(spark, sf_dir):
     return rounded(
         estimator.fit_predict(
             series, known_covariates=known, static_features=static, hyperparameters={"lag_regression": {}}
-        )
+        ),
+        2,
     )
 
 
 QUERIES["fc_fit_predict_global"] = fc_fit_predict_global
 
+_GLOBAL_LAGS = (7, 8, 9, 14)  # of horizon 7 and season 7
+
+
+def _features_sql(row: str, lagged: Sequence[str]) -> list[str]:
+    """The regression's inputs for a row with ``ts``, ``k`` and ``item_id``."""
+    month, season = f"month({row}.ts) * 2 * pi() / 12", f"({row}.k % 7) * 2 * pi() / 7"
+    return [
+        *lagged, f"sin({month})", f"cos({month})", f"sin({season})", f"cos({season})",
+        f"CAST(isodow({row}.ts) >= 6 AS DOUBLE)", f"CAST(length({row}.item_id) AS DOUBLE)",
+    ]
+
+
+def _least_squares_sql(source: str, n: int) -> str:
+    """CTEs that end in ``fit`` (w0 to w<n-1>, c): y regressed on f0 to f<n-1> of ``source``.
+
+    Normal equations on covariances, solved by elimination, a CTE per step. An input that is constant
+    gets no weight.
+    """
+    inverse = lambda p: f"(CASE WHEN {a(p, p)} > 1e-9 THEN 1 / {a(p, p)} ELSE 0 END)"
+    span = range(n)
+    pairs = [(i, j) for i in span for j in span if i <= j]
+    a = lambda i, j: f"a{min(i, j)}_{max(i, j)}"
+    means = ", ".join(f"avg(f{i}) AS m{i}" for i in span)
+    covariances = ", ".join(f"covar_pop(f{i}, f{j}) AS {a(i, j)}" for i, j in pairs)
+    steps = [f"e0 AS (SELECT avg(y) AS my, {means}, {covariances}, {', '.join(f'covar_pop(f{i}, y) AS d{i}' for i in span)} FROM {source})"]
+    for p in span:
+        rest = [f"{a(i, j)} - {a(p, i)} * {a(p, j)} * {inverse(p)} AS {a(i, j)}" if i > p else a(i, j) for i, j in pairs]
+        right = [f"d{i} - {a(p, i)} * d{p} * {inverse(p)} AS d{i}" if i > p else f"d{i}" for i in span]
+        steps.append(f"e{p + 1} AS (SELECT my, {', '.join(f'm{i}' for i in span)}, {', '.join(rest)}, {', '.join(right)} FROM e{p})")
+    before = f"e{n}"
+    for p in reversed(span):
+        solved = " ".join(f"- {a(p, j)} * w{j}" for j in range(p + 1, n))
+        steps.append(f"s{p} AS (SELECT *, (d{p} {solved}) * {inverse(p)} AS w{p} FROM {before})")
+        before = f"s{p}"
+    constant = " ".join(f"- w{i} * m{i}" for i in span)
+    steps.append(f"fit AS (SELECT {', '.join(f'w{i}' for i in span)}, my {constant} AS c FROM {before})")
+    return ",\n    ".join(steps)
+
+
+def _global_sql() -> str:
+    n = len(_features_sql("a", _GLOBAL_LAGS))
+    value = " + ".join(f"w{i} * f{i}" for i in range(n)) + " + c"
+    joins = " ".join(f"JOIN s l{k} ON l{k}.item_id = a.item_id AND l{k}.k = a.k - {k}" for k in _GLOBAL_LAGS)
+    known = ", ".join(f"{x} AS f{i}" for i, x in enumerate(_features_sql("a", [f"l{k}.y" for k in _GLOBAL_LAGS])))
+    later = ", ".join(f"{x} AS f{i}" for i, x in enumerate(_features_sql("a", [f"coalesce(l{k}.y, y1)" for k in _GLOBAL_LAGS])))
+    return f"""
+    WITH s AS ({DAILY_SQL}),
+    seen AS (SELECT a.item_id, a.y, {known} FROM s a {joins}),
+    {_least_squares_sql("seen", n)},
+    sd AS (SELECT item_id, sqrt(avg((y - ({value})) ** 2)) AS sigma FROM seen, fit GROUP BY item_id),
+    ends AS (SELECT item_id, max(k) AS k1, max(ts) AS last_ts, arg_max(y, k) AS y1 FROM s GROUP BY item_id),
+    ahead AS (SELECT item_id, y1, k1 + h AS k, {AHEAD["D"]} AS ts FROM ends, (SELECT unnest(range(1, 8)) AS h)),
+    fc AS (SELECT item_id, ts, {value} AS mean, sigma FROM (
+           SELECT a.item_id, a.ts, {later} FROM ahead a {joins.replace("JOIN", "LEFT JOIN")}) CROSS JOIN fit LEFT JOIN sd USING (item_id))
+    SELECT item_id, ts AS "timestamp", round(mean, 2) AS mean, {quantiles_sql(2)} FROM fc"""
+
+
+SQL["fc_fit_predict_global"] = _global_sql()
+
 
 def fc_best_quality(spark, sf_dir):
     """All candidates and their weighted ensemble; the result is the leaderboard."""

@@ -117,10 +117,15 @@ class LagRegression:
         numeric += [c for c in self.extra if c not in text]
         stages: list = []
         given = [c for c in self.extra if c not in text]
-        if given:
-            # A missing covariate counts as its mean; means of nothing as zero.
-            means = data.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(given)]).first()
-            self.means = {c: means[i] or 0.0 for i, c in enumerate(given)}
+        wavering = [c for c in numeric if not c.startswith("lag_") or c in given]
+        if wavering:
+            # A missing covariate counts as its mean; means of nothing as zero. What never changes in
+            # training tells nothing, and a solver may give it any weight, which would show as soon as
+            # it does change: a month's position when the forecast leaves the month.
+            found = data.agg(*[f(col(c)).alias(f"{n}{i}") for i, c in enumerate(wavering) for n, f in (("m", F.avg), ("a", F.min), ("z", F.max))]).first()
+            self.means = {c: found[f"m{i}"] or 0.0 for i, c in enumerate(wavering) if c in given}
+            constant = {c for i, c in enumerate(wavering) if found[f"a{i}"] == found[f"z{i}"]}
+            numeric = [c for c in numeric if c not in constant]
         data = self._imputed(data)
         if text:
             stages.append(FeatureHasher(inputCols=text, outputCol="hashed", numFeatures=self.hash_size))
