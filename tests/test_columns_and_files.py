@@ -213,3 +213,22 @@ def test_common_paths(spark, paths, common, relative):
     frame, found = relativize_paths(spark.createDataFrame([(p,) for p in paths], "p string"), "p")
     assert found == common
     assert [r[0] for r in frame.collect()] == relative
+
+
+def test_csv_without_line_ends_is_split(spark, tmp_path):
+    path = str(tmp_path / "big.csv")
+    with open(path, "w") as out:
+        out.write("b,a\n" + "".join(f'"x, {i}",{i}\n' for i in range(3000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        whole, split = read_table(path, "a int, b string"), read_table(path, "a int, b string", line_ends=False)
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 3
+        assert split.columns == ["a", "b"] and split.exceptAll(whole).isEmpty() and split.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    with open(path, "a") as out:
+        out.write('"two\nlines",1\n')
+    assert read_table(path, "a int, b string").count() == 3001
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_table(path, "a int, b string", line_ends=False).collect()

@@ -226,3 +226,19 @@ def test_mixed_inputs(spark, tmp_path):
     with pytest.raises(NotImplementedError):
         only_estimator = MultiModalEstimator("label")
         only_estimator.fit_predict(df, df)
+
+
+def test_sample_of_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr("tidecast.operators.splits._SORTED_ROWS", 10)
+    rows = spark.range(4000).select(F.when(F.col("id") < 3000, F.lit(7)).otherwise(F.col("id")).alias("k"), F.floor(F.col("id") / 1500).alias("v"), "id")
+    hot = rows.select("k", "v", F.create_map("k", "v").alias("m"))
+    for n in (1, 40, 1700, 3333, 4000):
+        for df in (rows, hot):
+            picked = sample_n(df, n, ["k"], seed=5)
+            assert picked.columns == df.columns and picked.count() == n
+            again = sample_n(df.repartition(5), n, ["k"], seed=5)
+            assert picked.drop("m").exceptAll(again.drop("m")).isEmpty()
+            assert picked.drop("m").exceptAll(df.drop("m")).isEmpty()
+            # a key is whole, absent, or the last one taken
+            parts = picked.groupBy("k").count().join(df.groupBy("k").agg(F.count("*").alias("all")), "k").where("count < all")
+            assert parts.count() <= 1

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidecast.operators.baseline import baseline_forecast
+from tidecast.operators.baseline import BASELINES, backtest_rows, baseline_forecast
 from tidecast.operators.chunks import CHUNK, chunk_size, with_halo
-from tidecast.operators.series import future_index, last_steps, regularize, with_step
+from tidecast.operators.leaderboard import score_forecasts, score_rows
+from tidecast.operators.series import future_index, holdout_split, last_steps, regularize, with_step
 from tidecast.operators.smoothing import smoothing_states
 
 
@@ -65,3 +66,34 @@ def test_scan_reads_only_what_is_needed(spark, sf_dir):
     text = all_queries()["tab_align"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert schema.count(":") == 3
+
+
+def test_backtest_reads_the_series_twice_at_most(spark, sf_dir):
+    from tidecast.catalog import all_queries
+
+    text = plan(all_queries()["fc_leaderboard"](spark, sf_dir))
+    assert text.count("Relation [") <= 2
+    assert plan(baseline_forecast(spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_type AS item_id", "ts AS timestamp", "value AS target"), 3, "D", 7)).count("Relation [") == 1
+
+
+def test_backtest_in_one_pass_is_the_backtest_by_joins(spark):
+    n = F.col("id")
+    series = spark.range(3000).select(
+        F.concat(F.lit("i"), F.pmod(n, F.lit(7)).cast("string")).alias("item_id"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.floor(n / 7) * F.expr("INTERVAL '1' DAY")).alias("timestamp"),
+        F.when(F.pmod(n, F.lit(11)) > 0, F.sin(n.cast("double")) * 10 + n / 100).alias("target"),
+    ).where("pmod(id, 13) > 1").union(spark.createDataFrame(
+        [("short", "2024-01-01", 1.0), ("nulls", "2024-01-16", None), ("nulls", "2024-01-20", None), ("nulls", "2024-01-21", 2.0)],
+        "i string, t string, y double").selectExpr("i", "cast(t as timestamp_ntz)", "y"))
+    marked = last_steps(series, 5, "D")
+    history, held = holdout_split(series, 5, "D")
+    joined = score_forecasts(baseline_forecast(history, 5, "D", 7), held, ["MAE", "RMSE", "WQL"], [0.1, 0.9])
+    once = score_rows(backtest_rows(marked, 5, "D", 7), ["MAE", "RMSE", "WQL"], [0.1, 0.9])
+    got, want = ({r.model: [r.mae, r.rmse, r.wql] for r in x.collect()} for x in (once, joined))
+    assert set(got) == set(BASELINES)
+    for model in BASELINES:
+        assert got[model] == pytest.approx(want[model])
+    rows = backtest_rows(marked, 5, "D", 7, ["seasonal_naive"], scale=True)
+    assert rows.where("item_id = 'short'").isEmpty() and rows.where("item_id = 'nulls' AND mean IS NULL").count() == 2
+    assert backtest_rows(marked.limit(0), 5, "D", 7).isEmpty()

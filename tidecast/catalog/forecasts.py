@@ -22,11 +22,11 @@ from tidecast.catalog.common import (
     rounded,
     weekly_supply,
 )
-from tidecast.operators.baseline import BASELINES, as_forecast_table, baseline_forecast, forecast_rows, item_statistics
+from tidecast.operators.baseline import BASELINES, as_forecast_table, backtest_rows, baseline_forecast, forecast_rows, item_statistics
 from tidecast.operators.columns import ITEM, STAMP
 from tidecast.operators.lagreg import LagRegression
-from tidecast.operators.leaderboard import rank_models, score_forecasts, weighted_ensemble
-from tidecast.operators.series import holdout_split
+from tidecast.operators.leaderboard import rank_models, score_forecasts, score_rows, weighted_ensemble
+from tidecast.operators.series import holdout_split, last_steps
 from tidecast.operators.smoothing import HOLT_GRID, SES_GRID
 from tidecast.plans.forecast import ForecastEstimator, forecast
 
@@ -61,10 +61,8 @@ _METRICS = ("MAE", "MSE", "RMSE", "MAPE", "SMAPE", "WAPE", "MASE", "WQL")
 
 
 def fc_backtest_metrics(spark, sf_dir):
-    history, held = holdout_split(weekly_supply(spark, sf_dir), 13, "W-MON")
-    stats = item_statistics(history, "W-MON", 52, BASELINES, scale=True)
-    forecasts = forecast_rows(stats, BASELINES, 13, "W-MON", 52, keep=["scale_abs"])
-    return rounded(score_forecasts(forecasts, held, _METRICS, LEVELS))
+    marked = last_steps(weekly_supply(spark, sf_dir), 13, "W-MON")
+    return rounded(score_rows(backtest_rows(marked, 13, "W-MON", 52, BASELINES, scale=True), _METRICS, LEVELS))
 
 
 _PINBALL = " + ".join(
@@ -90,8 +88,7 @@ QUERIES["fc_backtest_metrics"] = fc_backtest_metrics
 
 
 def fc_leaderboard(spark, sf_dir):
-    history, held = holdout_split(daily_events(spark, sf_dir), 7, "D")
-    errors = score_forecasts(baseline_forecast(history, 7, "D", 7, BASELINES), held, ["MAE"])
+    errors = score_rows(backtest_rows(last_steps(daily_events(spark, sf_dir), 7, "D"), 7, "D", 7), ["MAE"])
     board = errors.select("model", (-F.round("mae", 4)).alias("score_val"), F.lit("MAE").alias("eval_metric"))
     return rank_models(board)
 

@@ -23,12 +23,16 @@ _NEEDS_LAG_1 = {"naive", "seasonal_naive", "drift"}
 
 
 def item_statistics(
-    series: DataFrame, freq, season: int, models: Sequence[str] = BASELINES, scale: bool = False
+    series: DataFrame, freq, season: int, models: Sequence[str] = BASELINES, scale: bool = False, held: str | None = None
 ) -> DataFrame:
     """One row per item with what ``models`` need (and the seasonal scale when asked).
 
     The origin (last_timestamp, last_step) comes from all rows; null targets only stay out of the
-    statistics, so an item of nulls has a row without any.
+    statistics, so an item of nulls has a row without any. The series is read once and its rows are
+    shuffled once.
+
+    Rows whose column ``held`` is true count for nothing but ``actuals``, an array of their (step,
+    timestamp, actual); items without other rows have no row.
     """
     freq = Frequency.parse(freq)
     lags = set()
@@ -36,21 +40,23 @@ def item_statistics(
         lags.add(1)
     if "seasonal_naive" in models or scale:
         lags.add(season)
-    rows = with_step(series, freq).select(ITEM, STAMP, "step", TARGET)
-    source = rows
+    past = F.lit(True) if held is None else ~F.col("held")
+    marked = [] if held is None else [F.col(held).alias("held")]
+    rows = with_step(series, freq).select(ITEM, STAMP, "step", TARGET, *marked)
+    kept = [c for c in rows.columns if c != TARGET]
     if lags:
         rows = with_halo(rows, max(lags))
         change = {lag: (F.col(TARGET) - value_at_lag(F.col(TARGET), lag)).alias(f"d{lag}") for lag in lags}
-        rows = rows.select(
-            ITEM, STAMP, "step", "in_halo", refuse_duplicates(F.col(TARGET)).alias(TARGET), *change.values()
-        ).filter(~F.col("in_halo"))
-    y, x = F.col(TARGET), F.col("step").cast("double")
+        rows = rows.select(*kept, "in_halo", refuse_duplicates(F.col(TARGET)).alias(TARGET), *change.values()).filter(
+            ~F.col("in_halo")
+        )
+    y, x = F.when(past, F.col(TARGET)), F.col("step").cast("double")
     seen = F.when(y.isNotNull(), F.col("step"))
     wanted = [
         F.count(y).alias("n"),
-        F.max(STAMP).alias("last_timestamp"),
+        F.max(F.when(past, F.col(STAMP))).alias("last_timestamp"),
         F.min(seen).alias("first_step"),
-        F.max("step").alias("last_step"),
+        F.max(F.when(past, F.col("step"))).alias("last_step"),
         F.max(seen).alias("last_seen"),
         F.max_by(y, seen).alias("y_last"),
     ]
@@ -67,28 +73,34 @@ def item_statistics(
             F.regr_sxy(y, x).alias("sxy"),
         ]
     if 1 in lags:
-        d1 = F.col("d1")
+        d1 = F.when(past, F.col("d1"))
         wanted += [F.count(d1).alias("n1"), F.sum(d1).alias("sum_d1"), F.sum(d1 * d1).alias("ss_d1")]
     if season in lags:
-        dm = F.col(f"d{season}")
+        dm = F.when(past, F.col(f"d{season}"))
         wanted += [
             F.count(dm).alias("nm"),
             F.sum(dm * dm).alias("ss_dm"),
             F.avg(F.abs(dm)).alias("scale_abs"),
             F.avg(dm * dm).alias("scale_sq"),
         ]
-    stats = rows.groupBy(ITEM).agg(*wanted)
-    if "seasonal_naive" not in models:
-        return stats
-    # Latest value seen in each season position: at most ``season`` small rows per item.
-    latest = (
-        source.filter(y.isNotNull())
-        .groupBy(ITEM, F.pmod("step", F.lit(season)).alias("phase"))
-        .agg(F.max_by(y, "step").alias("value"))
-        .groupBy(ITEM)
-        .agg(F.map_from_entries(F.collect_list(F.struct("phase", "value"))).alias("by_phase"))
-    )
-    return stats.join(latest, ITEM, "left")
+    if held is not None:
+        actual = F.struct("step", F.col(STAMP).alias("timestamp"), F.col(TARGET).alias("actual"))
+        wanted.append(F.collect_list(F.when(~past, actual)).alias("actuals"))
+    if "seasonal_naive" in models:
+        # Grouping sets give an item's statistics and, in at most ``season`` small rows more, the
+        # latest value seen in each season position.
+        phased = rows.withColumn("phase", F.pmod("step", F.lit(season)))
+        both = phased.groupingSets([[ITEM], [ITEM, "phase"]], ITEM, "phase").agg(*wanted, F.grouping("phase").alias("whole"))
+        whole = F.col("whole") == 1
+        names = [c for c in both.columns if c not in (ITEM, "phase", "whole")]
+        entry = F.when(~whole & F.col("y_last").isNotNull(), F.struct("phase", F.col("y_last").alias("value")))
+        stats = both.groupBy(ITEM).agg(
+            *[F.first(F.when(whole, F.col(c)), ignorenulls=True).alias(c) for c in names],
+            F.map_from_entries(F.collect_list(entry)).alias("by_phase"),
+        )
+    else:
+        stats = rows.groupBy(ITEM).agg(*wanted)
+    return stats if held is None else stats.filter(F.col("last_step").isNotNull())
 
 
 def _safe_sqrt(value: Column) -> Column:
@@ -140,7 +152,10 @@ def forecast_rows(
     stats: DataFrame, models: Sequence[str], horizon: int, freq, season: int, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Open per-item statistics into (item_id, timestamp, h, model, mean, sigma)."""
-    ahead = future_rows(stats, horizon, freq)
+    return _mean_sigma_rows(future_rows(stats, horizon, freq), models, season, keep)
+
+
+def _mean_sigma_rows(ahead: DataFrame, models: Sequence[str], season: int, keep: Sequence[str]) -> DataFrame:
     h = F.col("h")
     if len(models) == 1:
         mean, sigma = baseline_mean_sigma(models[0], season, h)
@@ -167,6 +182,25 @@ def baseline_forecast(
     return forecast_rows(stats, models, horizon, freq, season)
 
 
+def backtest_rows(
+    marked: DataFrame, horizon: int, freq, season: int, models: Sequence[str] = BASELINES, scale: bool = False
+) -> DataFrame:
+    """Forecasts of the held-out steps beside what was seen there: the rows that
+    ``score_rows`` takes, with ``scale_abs`` and ``scale_sq`` when asked.
+
+    ``marked`` is a series as ``last_steps`` gives it for this horizon; after a gap before the held-out
+    steps, those beyond the horizon aren't forecast. Statistics and held-out values leave one pass in
+    one row per item, so forecasts meet their actual values without a join.
+    """
+    stats = item_statistics(marked, freq, season, models, scale, held="held_out")
+    opened = stats.withColumn("a", F.explode("actuals")).withColumns(
+        {STAMP: F.col("a.timestamp"), "h": F.col("a.step") - F.col("last_step"), "actual": F.col("a.actual")}
+    )
+    opened = opened.filter(F.col("h") <= horizon)
+    keep = ["actual", *(["scale_abs", "scale_sq"] if scale else [])]
+    return _mean_sigma_rows(opened, models, season, keep)
+
+
 def as_forecast_table(rows: DataFrame, levels: Sequence[float], keep: Sequence[str] = ()) -> DataFrame:
     """(item_id, timestamp, mean, one column per level) from rows with mean and sigma."""
     mean = F.col("mean").cast("double")

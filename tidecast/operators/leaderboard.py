@@ -21,10 +21,20 @@ def score_forecasts(
     levels: Sequence[float] = (),
     by: Sequence[str] = ("model",),
 ) -> DataFrame:
-    """Errors of forecast rows (item_id, timestamp, model, mean, sigma, scales?) per ``by``."""
-    joined = forecasts.join(
-        actuals.select(ITEM, STAMP, F.col(TARGET).alias("actual")).filter(F.col(TARGET).isNotNull()), [ITEM, STAMP]
-    )
+    """Errors of forecast rows (item_id, timestamp, model, mean, sigma, scales?) per ``by``.
+
+    The scales of scaled errors may also come with the actual values.
+    """
+    scales = [c for c in SCALED.values() if c in actuals.columns and c not in forecasts.columns]
+    seen = actuals.select(ITEM, STAMP, F.col(TARGET).alias("actual"), *scales)
+    return score_rows(forecasts.join(seen, [ITEM, STAMP]), metrics, levels, by)
+
+
+def score_rows(
+    joined: DataFrame, metrics: Sequence[str], levels: Sequence[float] = (), by: Sequence[str] = ("model",)
+) -> DataFrame:
+    """Errors of rows (model, mean, sigma, actual, scales?) per ``by``; rows without an actual value don't count."""
+    joined = joined.filter(F.col("actual").isNotNull())
     if levels:
         joined = joined.select("*", *normal_quantiles(F.col("mean"), F.col("sigma"), levels))
     aggregates = []

@@ -33,6 +33,7 @@ from tidecast.operators.leaderboard import (
     greedy_weights,
     rank_models,
     score_forecasts,
+    score_rows,
     weighted_ensemble,
 )
 from tidecast.operators.series import (
@@ -284,15 +285,35 @@ class ForecastModel:
         held = marked.filter("held_out")
         known = held.select(ITEM, STAMP, *map(col, self.known_names)) if self._uses_extras() else None
         metric, levels = self.eval_metric, self.levels if self.eval_metric == "WQL" else ()
+        scaled = metric in SCALED
+        if scaled and any(not self._one_pass(g) for g in self._groups()):
+            # Worked out once for all candidates: a few values beside each held-out row.
+            scale = baseline.item_statistics(history, self.freq, self.season, (), scale=True)
+            held = held.join(scale.select(ITEM, *SCALED.values()), ITEM, "left").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._select_among(marked, history, held, known, metric, levels, time_limit, started)
+        finally:
+            held.unpersist()
+
+    def _one_pass(self, group: Sequence[str]) -> bool:
+        """Whether statistics and held-out values of all of ``group`` leave the series together."""
+        return "ensemble" not in self.candidates and all(n in baseline.BASELINES for n in group)
+
+    def _select_among(self, marked, history, held, known, metric, levels, time_limit, started) -> None:
         frames: list[DataFrame] = []
         deadline = Deadline(marked.sparkSession, time_limit, started)
         for group in self._groups():
             began = time.monotonic()
             try:
                 with deadline.enforced() if frames else nullcontext():
+                    if self._one_pass(group):
+                        rows = baseline.backtest_rows(marked, self.horizon, self.freq, self.season, group, metric in SCALED)
+                        self._keep(score_rows(rows, [metric], levels), metric, began)
+                        frames.append(rows)
+                        continue
                     fitted = self._regression(self.horizon).fit(history) if group == ["lag_regression"] else None
                     rows = self._raw(group, history, known, fitted)
-                    self._score(rows, history, held, metric, levels, began)
+                    self._keep(score_forecasts(rows, held, [metric], levels), metric, began)
             except OutOfTime:
                 break
             frames.append(rows)
@@ -303,17 +324,15 @@ class ForecastModel:
             for frame in frames[1:]:
                 rows = rows.unionByName(frame)
             self.weights = greedy_weights(error_products(rows, held, done), done)
-            self._score(weighted_ensemble(rows, self.weights), history, held, metric, levels, began)
+            together = weighted_ensemble(rows, self.weights)
+            self._keep(score_forecasts(together, held, [metric], levels), metric, began)
         ranked = [s for s in self.scores if s[1] is not None]
         if not ranked:
             raise ValueError("no item has more steps than the horizon, so nothing can be backtested")
         self.best = min(ranked, key=lambda s: (-s[1], s[0]))[0]
 
-    def _score(self, rows, history, held, metric, levels, began) -> None:
-        if metric in SCALED:
-            scale = baseline.item_statistics(history, self.freq, self.season, (), scale=True)
-            rows = rows.join(scale.select(ITEM, *SCALED.values()), ITEM)
-        errors = score_forecasts(rows, held, [metric], levels).collect()
+    def _keep(self, errors: DataFrame, metric: str, began: float) -> None:
+        errors = errors.collect()
         spent = time.monotonic() - began
         for row in errors:
             value = row[metric.lower()]

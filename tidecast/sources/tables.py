@@ -41,14 +41,22 @@ def _struct(schema: "T.StructType | str") -> T.StructType:
 
 
 def read_csv(
-    path: str, schema: "T.StructType | str | None" = None, separator: str = ",", spark: SparkSession | None = None
+    path: str,
+    schema: "T.StructType | str | None" = None,
+    separator: str = ",",
+    spark: SparkSession | None = None,
+    line_ends: bool = True,
 ) -> DataFrame:
     """CSV with a header in every file, columns matched by name.
 
     Types are inferred unless a schema is given; then its columns are returned in its order and
     others are left out. Files whose headers differ are refused, and so are malformed rows.
+
+    Quoted values may hold line ends, so one task reads a whole file. ``line_ends=False`` says that
+    none does: then uncompressed files are split among tasks like any other, and a value with a line end
+    in it is a malformed row.
     """
-    reader = _session(spark).read.options(**CSV_READ, sep=separator)
+    reader = _session(spark).read.options(**(CSV_READ | {"multiLine": line_ends}), sep=separator)
     if schema is None:
         return reader.csv(path, header=True, inferSchema=True)
     wanted = _struct(schema)
@@ -64,9 +72,15 @@ def read_csv(
 
 
 def read_table(
-    source: "DataFrame | str | Path", schema: "T.StructType | str | None" = None, spark: SparkSession | None = None
+    source: "DataFrame | str | Path",
+    schema: "T.StructType | str | None" = None,
+    spark: SparkSession | None = None,
+    line_ends: bool = True,
 ) -> DataFrame:
-    """A DataFrame as is; a path by its ending. CSV types are inferred unless a schema is given."""
+    """A DataFrame as is; a path by its ending. CSV types are inferred unless a schema is given.
+
+    ``line_ends=False`` lets large CSV files be split, see ``read_csv``.
+    """
     if isinstance(source, DataFrame):
         return source
     if not isinstance(source, (str, os.PathLike)):
@@ -75,7 +89,7 @@ def read_table(
     if table_format(path) == "parquet":
         reader = _session(spark).read
         return (reader.schema(schema) if schema is not None else reader).parquet(path)
-    return read_csv(path, schema, "\t" if path.rstrip("/").endswith(".tsv") else ",", spark)
+    return read_csv(path, schema, "\t" if path.rstrip("/").endswith(".tsv") else ",", spark, line_ends)
 
 
 def as_frame(source: "DataFrame | str | Path | None") -> DataFrame | None:
