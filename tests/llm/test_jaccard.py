@@ -1,8 +1,10 @@
 import random
 from itertools import combinations
 
-from tidecast.llm.graph import components
+from tidecast.llm.common import Stored
+from tidecast.llm.graph import Growing, components
 from tidecast.llm.jaccard import drop_near_duplicates, similar_components
+from tidecast.sources.store import names_in
 
 
 def sets_of(text):
@@ -90,3 +92,30 @@ def test_components_of_long_chains(spark):
     assert all(got[i] == 0 for i in range(61))
     assert got[200] == got[-5] == -5
     assert len(components(df.limit(0)).collect()) == 0
+
+
+def test_components_of_links_in_parts(spark):
+    rng = random.Random(11)
+    parts = [[(rng.randrange(300), rng.randrange(300)) for _ in range(60)] for _ in range(3)] + [[]]
+    grown, so_far = Growing(), []
+    for part in parts:
+        so_far += part
+        frame = lambda links: spark.createDataFrame(links, "a long, b long")
+        got = {r.node: r.root for r in grown.add(frame(part)).collect()}
+        want = {r.node: r.root for r in components(frame(so_far)).collect()}
+        # a link of a node with itself makes no component, alone or in parts
+        assert {n: r for n, r in got.items() if n != r} == {n: r for n, r in want.items() if n != r}
+
+
+def test_superseded_tables_are_dropped(spark, monkeypatch):
+    made = []
+    own = Stored.__init__
+
+    def noted(self, *args, **watch):
+        own(self, *args, **watch)
+        made.append(self.path)
+
+    monkeypatch.setattr(Stored, "__init__", noted)
+    links = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
+    assert components(links).count() == 21
+    assert len(made) > 2 and [p for p in made if names_in(spark, p)] == made[-1:]

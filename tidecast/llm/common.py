@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.session import scratch_path
+from tidecast.sources.store import remove
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
@@ -21,9 +22,25 @@ def named(name: str) -> Column:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Stored(df, label).rows
+
+
+class Stored:
+    """A table in the shared folder that can be dropped once nothing reads it any more.
+
+    ``seen`` holds what the aggregates ``watch`` are over its rows, taken by the job that writes them.
+    """
+
+    def __init__(self, df: DataFrame, label: str, **watch: Column):
+        self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, label)
+        told = Observation()
+        watched = df.observe(told, *[c.alias(name) for name, c in watch.items()]) if watch else df
+        watched.write.parquet(self.path)
+        self.seen = told.get if watch else {}
+        self.rows = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        remove(self.spark, self.path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

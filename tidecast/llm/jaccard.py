@@ -26,8 +26,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import named, pieces, stored
-from tidecast.llm.graph import components
+from tidecast.llm.common import Stored, named, pieces, stored
+from tidecast.llm.graph import Growing
 
 WORDS = 5
 PERCENT = 75  # of the union, that the intersection must have
@@ -293,25 +293,27 @@ def classes(
     entries = rows.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), "node")
     of, by_node = Window.partitionBy("shingle"), Window.partitionBy("node")
     listed = entries.repartition("shingle").dropDuplicates(["shingle", "node"]).withColumn("c", F.count(F.lit(1)).over(of))
-    met = stored(listed.where("c > 1"), "shared-prefixes")
+    met = Stored(listed.where("c > 1"), "shared-prefixes")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("key").alias("key"), F.first("n").alias("n"), F.max(F.size("prefix")).alias("long")
     )
     # A partner has at least three quarters of the size, which bounds its need from below.
     cut = F.floor(F.floor(F.col("n") * percent / 100) / 16)
     kept = (
-        met.join(nodes.drop("key"), "node")
+        met.rows.join(nodes.drop("key"), "node")
         .withColumns({"met": F.count(F.lit(1)).over(by_node), "nth": F.row_number().over(by_node.orderBy("c", "shingle")), "cut": cut})
         .where("nth <= met - cut")
         .withColumns({"slack": F.col("n") - F.col("long"), "most": F.col("n") - F.col("long") + F.col("met")})
         .drop("c", "long")
     )
-    left = stored(_many(_fitting(kept, percent), "node"), "entries")
+    table = Stored(_many(_fitting(kept, percent), "node"), "entries", n=F.count(F.lit(1)))
+    met.drop()
+    left = table.rows
     able = stored(left.select("node").distinct().join(nodes, "node").select("node", "key"), "candidate-nodes")
     sets = whole_sets(docs, able, key, text)
-    links, labels = None, None
+    found = Growing()
     for turn in range(rounds):
-        if left.isEmpty():
+        if not table.seen["n"]:
             break
         # first the one with least of its own, which is nearest to the others, then any
         own = [F.col("n") - F.col("most")] if not turn else []
@@ -320,14 +322,13 @@ def classes(
             *[F.first(c).over(of).alias(f"{short}b") for c, short in SIDES.items()],
             *[F.col(c).alias(f"{short}a") for c, short in SIDES.items()],
         )
-        new = verified(_pairs(pivoted.where("a <> b"), percent), sets, percent)
-        links = stored(new if links is None else links.union(new).distinct(), "similar")
-        labels = components(links)
-        left = stored(_many(_labelled(left.drop("label"), labels), "label"), "entries")
-    if links is not None and not left.isEmpty():
-        links = links.union(verified(_pairs(_across(_fitting(left, percent)), percent), sets, percent))
-        labels = components(links)
-    return _classes(rows, nodes, labels)
+        labels = found.add(verified(_pairs(pivoted.where("a <> b"), percent), sets, percent))
+        after = Stored(_many(_labelled(left.drop("label"), labels), "label"), "entries", n=F.count(F.lit(1)))
+        table.drop()
+        table, left = after, after.rows
+    if found.labels is not None and table.seen["n"]:
+        found.add(verified(_pairs(_across(_fitting(left, percent)), percent), sets, percent))
+    return _classes(rows, nodes, found.labels)
 
 
 def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
