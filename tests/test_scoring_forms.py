@@ -1,6 +1,8 @@
 """Scoring forms that must agree: compiled and matrix Bayes, whole and cut-down features."""
 
 import numpy as np
+from pyspark.ml.classification import LogisticRegression, OneVsRest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidecast.operators import bayes
@@ -46,3 +48,16 @@ def test_empty_buckets_are_left_out(spark, tmp_path):
     again = TabularModel.load(spark, f"{tmp_path}/m")
     assert sorted(map(tuple, again.score(rows, keys=["id"]).collect())) == sorted(map(tuple, scored.collect()))
     assert FEATURES in again.features.stages[-1].getOutputCol()
+
+
+def test_scoring_after_an_observation(spark):
+    """Fits with a training summary score in a session in which something has been observed."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = spark.range(300).select("id", (F.col("id") % 6).alias("x"), F.when(F.col("id") % 6 < 3, "low").otherwise("high").alias("y"))
+    estimator = TabularEstimator("y", eval_metric="roc_auc", ignore_columns=["id"]).register("rest", OneVsRest(classifier=LogisticRegression()))
+    model = estimator.fit(rows, hyperparameters={"linear": {}, "forest": {"numTrees": 2}, "rest": {}}, keys=["id"])
+    for name in ("linear", "forest", "rest"):
+        scored = model.predict(rows, keys=["id"], model=name)
+        assert scored.join(rows.withColumnRenamed("y", "truth"), "id").where("y <> truth").count() == 0

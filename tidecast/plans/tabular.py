@@ -47,8 +47,9 @@ from tidecast.operators.splits import fold_of, holdout_rows
 from tidecast.plans.deadline import Deadline, OutOfTime
 from tidecast.plans.registry import TABULAR_PRESETS, merge_settings, preset
 from tidecast.plans.search import ETA, SHARES, halve, is_space, trials
+from tidecast.session import scratch_path
 from tidecast.sources.sinks import LEADERBOARD, write_predictions
-from tidecast.sources.store import read_json, write_json
+from tidecast.sources.store import read_json, remove, write_json
 from tidecast.sources.tables import as_frame, read_table
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
@@ -247,7 +248,7 @@ class TabularEstimator:
                     if num_bag_folds:
                         members, scored = self._bag(estimator, data, num_bag_folds, num_bag_sets, model, parallelism)
                     else:
-                        members = [Pipeline(stages=[estimator]).fit(data)]
+                        members = [_fitted(estimator, data)]
                         scored = model._raw_output(check, members) if check is not None else None
                     score = None if scored is None else model._score(scored, metric)
             except OutOfTime:
@@ -258,7 +259,7 @@ class TabularEstimator:
         def on_share(estimator: Estimator, share: int) -> float | None:
             try:
                 with deadline.enforced():
-                    fitted = [Pipeline(stages=[estimator]).fit(data.filter(F.col(PLACE) < share))]
+                    fitted = [_fitted(estimator, data.filter(F.col(PLACE) < share))]
                     return model._score(model._raw_output(check, fitted), metric)
             except OutOfTime:
                 return None
@@ -301,7 +302,7 @@ class TabularEstimator:
 
         def fit(job):
             s, k = job
-            return Pipeline(stages=[estimator]).fit(data.filter(F.col(f"fold{s}") != k))
+            return _fitted(estimator, data.filter(F.col(f"fold{s}") != k))
 
         jobs = [(s, k) for s in range(sets) for k in range(folds)]
         if parallelism > 1:
@@ -357,6 +358,24 @@ class TabularEstimator:
         return self.fit(train, **fit_args)
 
 
+def _fitted(estimator: Estimator, data: DataFrame) -> PipelineModel:
+    """The fitted candidate without its training summary.
+
+    The summary of a two-class fit holds the session, which tasks can't be sent once anything in it
+    has been observed (``DataFrame.observe``). A model that was saved and loaded has no summary.
+    """
+    model = Pipeline(stages=[estimator]).fit(data)
+    stage = model.stages[-1]
+    if not any(getattr(m, "hasSummary", False) for m in (stage, *getattr(stage, "models", ()))):
+        return model
+    path = scratch_path(data.sparkSession, "fitted")
+    try:
+        model.write().save(path)
+        return PipelineModel.load(path)
+    finally:
+        remove(data.sparkSession, path)
+
+
 def _written(df: DataFrame, path: str | None) -> DataFrame:
     if path is not None:
         write_predictions(df, path)
