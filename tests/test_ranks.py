@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidecast.functions.quantiles import group_quantiles
+from tidecast.functions.quantiles import _bracketed, group_quantiles
 from tidecast.operators.series import infer_freq, item_frequency, stamp_gaps
 
 
@@ -80,3 +80,15 @@ def test_quantiles_of_a_whole_or_empty_table(spark):
     frame = spark.range(101).select(F.col("id").cast("double").alias("x"))
     assert [tuple(r) for r in group_quantiles(frame, [], "x", [0.1, 0.5], 100, 5).collect()] == [(10.0, 50.0)]
     assert group_quantiles(frame.withColumn("k", F.lit(1)).limit(0), ["k"], "x", [0.5]).count() == 0
+
+
+def test_brackets_are_made_once(spark, capsys):
+    """A sketch may differ from run to run, so neither the rows left nor the ranks among them run it again."""
+    left = spark.range(1000).select(F.lit("a").alias("g0"), F.lit(-1).alias("of"), F.col("id").cast("double").alias("v"))
+    wanted = spark.createDataFrame([("a", 0, 499.5, 499, 0, 1000)], "g0 string, level int, place double, low long, skip long, n long")
+    rows, after = _bracketed(left, wanted, ["g0"], 1000)
+    rows.explain("extended")
+    after.explain("extended")
+    assert "percentile_approx" not in capsys.readouterr().out.lower()
+    kept, rank = sorted(r.v for r in rows.collect()), after.first()
+    assert len(kept) == rank.n and kept[rank.low - rank.skip : rank.low - rank.skip + 2] == [499.0, 500.0]

@@ -9,6 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.session import scratch_path
+
 # The levels a forecast reports unless told otherwise.
 DEFAULT_LEVELS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
@@ -175,6 +177,11 @@ def _bracketed(left: DataFrame, wanted: DataFrame, group: Sequence[str], accurac
         *group, "level", "place", "low", "skip", "n",
         F.when(under >= 0, F.get("cuts", under)).alias("a"), F.when(over <= last, F.get("cuts", over)).alias("b"),
     )
+    # A sketch depends on the order in which its parts arrive, so another run of it has other cuts: the
+    # brackets are written, one row per group and level, and all that follows reads the same ones.
+    path = scratch_path(left.sparkSession, "brackets")
+    bounds.write.parquet(path)
+    bounds = left.sparkSession.read.schema(bounds.schema).parquet(path)
     each = bounds.groupBy(*group).agg(F.collect_list(F.struct("level", "a", "b")).alias("bs"))  # one entry per level
     joined = _matched(left, each, group).select(*group, "of", "v", F.explode("bs").alias("b")).select(*group, "of", "v", "b.*").where(_of_level())
     below = F.coalesce(F.col("v") < F.col("a"), F.lit(False))
