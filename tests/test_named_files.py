@@ -3,7 +3,7 @@
 import pytest
 
 from tidecast.sources import images
-from tidecast.sources.images import attach_named_files, list_images
+from tidecast.sources.images import attach_named_files, list_images, write_files
 
 
 def test_only_named_files_are_read(spark, tmp_path, monkeypatch):
@@ -26,3 +26,16 @@ def test_missing_files_and_columns(spark, tmp_path):
         attach_named_files(table, "image").collect()
     with pytest.raises(ValueError, match="valid image column"):
         attach_named_files(table, "picture")
+
+
+def test_written_files_are_named(spark, tmp_path, monkeypatch):
+    """One file per row, repeated and empty ones too, in folders of bounded size."""
+    monkeypatch.setattr(images, "FOLDER_FILES", 4)
+    values = [None, b"", *(bytes([i]) * i for i in range(30)), b"same", b"same"]
+    rows = spark.createDataFrame([(v,) for v in values], "content binary").coalesce(2)
+    files = write_files(rows, "content", f"file://{tmp_path}/out")
+    assert sorted(r.length for r in files.collect()) == sorted(len(v or b"") for v in values)
+    assert files.distinct().count() == len(values) == len(list(tmp_path.rglob("*.bin")))
+    assert max(len(list(d.iterdir())) for d in (tmp_path / "out" / "files").iterdir()) <= 4
+    got = attach_named_files(files.select("path"), "path").collect()
+    assert sorted(bytes(r.path) for r in got) == sorted(v or b"" for v in values)

@@ -19,11 +19,11 @@ from tidecast.sources.images import (
     attach_image_bytes,
     attach_named_files,
     content_name,
-    list_images,
     name_images,
     read_images,
     relativize_paths,
     reroot_paths,
+    write_files,
 )
 from tidecast.streaming.history import read_history, run_history
 from tidecast.streaming.queries import RateLimits, read_stream, run_available
@@ -210,9 +210,9 @@ def img_attach_bytes(spark, sf_dir):
 )
 def img_named_files(spark, sf_dir):
     """One file per page; those of more than 1,000 bytes are named by rows, and no other is opened."""
-    path = scratch_path(spark, "page-files")
-    table(spark, sf_dir, "pages").select("html").write.option("maxRecordsPerFile", 1).text(path)
-    rows = list_images(path, "*.txt").where("length > 1000").select(F.col("path").alias("image"))
+    lines = table(spark, sf_dir, "pages").select(F.concat(F.coalesce("html", F.lit("")), F.lit("\n")).alias("content"))
+    files = write_files(lines, "content", scratch_path(spark, "page-files"))
+    rows = files.where("length > 1000").select(F.col("path").alias("image"))
     loaded = attach_named_files(rows, "image")
     return loaded.groupBy(F.sha1("image").alias("sha")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -16,6 +16,8 @@ from tidecast.sources.files import store_of
 # Column roles that mark an image column, in the order they are looked for.
 IMAGE_ROLES = ("image_path", "image", "image_bytearray")
 HELD = 64 << 20  # bytes of contents in a batch of rows
+FOLDER_FILES = 1000  # files that a task writes into one folder
+WRITTEN = "path string, length long"
 
 
 def read_images(path: str, glob: str | None = None, spark: SparkSession | None = None) -> DataFrame:
@@ -88,6 +90,42 @@ def attach_named_files(df: DataFrame, image_column: str, bytes_read: Accumulator
     return named.sortWithinPartitions(col(image_column)).mapInArrow(load, T.StructType(fields))
 
 
+def write_files(df: DataFrame, content: str, folder: str) -> DataFrame:
+    """(path, length) of new files below ``folder``, one for the content of every row (null: empty).
+
+    Tasks write them in place; Spark's writers open, rename and list single files at a much higher
+    price. A repeated task writes files of its own, and those of a failed one are named by no row.
+    Runs the job and keeps the rows beside the files.
+    """
+    spark = df.sparkSession
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        store, root = store_of(folder)
+        prefix = folder.rstrip("/")
+        task, n = TaskContext.get().taskAttemptId(), 0
+        for batch in batches:
+            paths, lengths = [], []
+            for value in batch.column(0):
+                data = value.as_py() or b""
+                if n % FOLDER_FILES == 0:
+                    store.create_dir(f"{root}/files/{task}-{n // FOLDER_FILES}", recursive=True)
+                name = f"files/{task}-{n // FOLDER_FILES}/{n}.bin"
+                with store.open_output_stream(f"{root}/{name}") as file:
+                    file.write(data)
+                paths.append(f"{prefix}/{name}")
+                lengths.append(len(data))
+                n += 1
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], ["path", "length"])
+
+    named = df.select(col(content).cast("binary").alias("content")).mapInArrow(write, WRITTEN)
+    named.write.parquet(f"{folder}/named")
+    rows = spark.read.schema(WRITTEN).parquet(f"{folder}/named")
+    return rows.select(normal_path(F.col("path")).alias("path"), "length")
+
+
 def content_name(content: Column) -> Column:
     """File name derived from the bytes; equal bytes share one name."""
     return F.concat(F.lit("tabular_image_"), F.sha1(content.cast("binary")), F.lit(".png"))
