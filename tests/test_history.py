@@ -51,3 +51,23 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
         assert current(spark, out) == [("a", 1, 1.0), ("a", 2, 3.0), ("b", 1, 2.0), ("c", 5, 4.0)]
     _merge(batch([]), 2, out, 2)
     assert len(current(spark, out)) == 4
+
+
+def test_merging_takes_no_step_per_item(spark, tmp_path, monkeypatch):
+    """Ranks hold across micro-batches, and no Python worker is asked: thousands of items are merged natively."""
+    from tidecast.streaming import history
+
+    def refuse(*_):
+        raise AssertionError("rows went through Python")
+
+    monkeypatch.setattr(history, "rolling_history", refuse)
+    first = [(f"i{k}", t, float(t), 9) for k in range(3000) for t in range(3)]
+    then = [(f"i{k}", t, -1.0, 5 if t < 3 else 1) for k in range(3000) for t in range(1, 4)] + [(None, 1, 1.0, 1)]
+    frame(spark, first).coalesce(1).write.parquet(f"{tmp_path}/in")
+    for rows in (None, then):
+        if rows:
+            frame(spark, rows).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = read_stream(spark, f"{tmp_path}/in", frame(spark, first[:1]).schema, limits=RateLimits(max_files=1))
+        run_history(stream, 3, "h", f"{tmp_path}/out", f"{tmp_path}/state", order="seq", buckets=2)
+    want = sorted((f"i{k}", t, y) for k in range(3000) for t, y in ((1, 1.0), (2, 2.0), (3, -1.0)))
+    assert current(spark, f"{tmp_path}/out") == want

@@ -316,7 +316,7 @@ def stream_current_history(spark, sf_dir):
        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) <= 5""",
 )
 def stream_rolling_history(spark, sf_dir):
-    """The five latest events of every user, kept in state."""
+    """The five latest events of every user, kept in a stored table."""
     source = f"{sf_dir}/events.parquet"
     stream = read_stream(spark, source, spark.read.parquet(source).schema)
     rows = canonicalize(stream.select("user_id", "ts", "value"), "user_id", "ts", "value")
