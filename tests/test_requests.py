@@ -235,3 +235,11 @@ def test_what_never_changes_gets_no_weight(spark):
     known = series.select("item_id", (F.col("timestamp") + F.expr("INTERVAL '28' DAY")).alias("timestamp"), F.lit(0.0).alias("flag"))
     got = {(r.item_id, r.timestamp.day): r["mean"] for r in model.predict(series, known).collect()}
     assert all(v == pytest.approx((10 if i == "a" else 30) + (d - 1 + 28) % 7, abs=1e-3) for (i, d), v in got.items())
+
+
+def test_long_requests_are_bounded(spark):
+    """The size of a request, which lies within one file, doesn't grow with the number of suppliers."""
+    from tidecast.catalog import requests
+
+    sizes = spark.range(5000).select(requests._request_of(F.col("id").cast("string")).alias("r")).groupBy("r").count().collect()
+    assert len(sizes) >= 3 * 5000 // requests.REQUEST_ITEMS and max(r["count"] for r in sizes) <= requests.REQUEST_ITEMS

@@ -188,14 +188,22 @@ SQL["req_refused"] = f"""
 # -- long tables -------------------------------------------------------------------------------------
 
 
+REQUEST_ITEMS = 300  # suppliers that share three requests
+
+
+def _request_of(supplier):
+    """A request's id: more suppliers make more requests, not larger ones."""
+    group = F.floor(supplier.cast("bigint") / REQUEST_ITEMS).cast("string")
+    return F.concat_ws("-", F.lit("r"), (F.crc32(supplier.cast("binary")) % 3).cast("string"), group)
+
+
 def req_long_tables(spark, sf_dir):
     """Long-table requests in files with their own column names, answered by a fitted forecaster."""
     series = weekly_supply(spark, sf_dir)
     model = ForecastEstimator(prediction_length=13, freq="W-MON", quantile_levels=LEVELS).fit(series, hyperparameters=["drift"])
     source, output, state = (scratch_path(spark, label) for label in ("requests", "forecasts", "state"))
-    request = F.concat(F.lit("r"), (F.crc32(F.col(ITEM).cast("binary")) % 3).cast("string"))
-    rows = series.select(request.alias("request_id"), F.col(ITEM).alias("supplier"), F.col(STAMP).alias("week"), TARGET)
-    rows.repartition(3, "request_id").write.parquet(source)
+    rows = series.select(_request_of(F.col(ITEM)).alias("request_id"), F.col(ITEM).alias("supplier"), F.col(STAMP).alias("week"), TARGET)
+    rows.repartition("request_id").write.parquet(source)
     stream = read_stream(spark, source, rows.schema)
     table_stream(
         stream, "long-requests", output, state, model, available_now=True, id_column="supplier", timestamp_column="week"
