@@ -71,3 +71,24 @@ def test_merging_takes_no_step_per_item(spark, tmp_path, monkeypatch):
         run_history(stream, 3, "h", f"{tmp_path}/out", f"{tmp_path}/state", order="seq", buckets=2)
     want = sorted((f"i{k}", t, y) for k in range(3000) for t, y in ((1, 1.0), (2, 2.0), (3, -1.0)))
     assert current(spark, f"{tmp_path}/out") == want
+
+
+def test_history_in_state(spark, tmp_path):
+    """``rolling_history`` by itself: each updated item's latest rows, the highest rank first."""
+    from tidecast.streaming.history import STATE_STORE, rolling_history
+
+    seen = {}
+    frame(spark, [("a", 1, 1.0, 2), ("a", 1, 9.0, 1), ("a", 2, 2.0, 1), ("a", 3, 3.0, 1), ("b", 1, 4.0, 1)]).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = read_stream(spark, f"{tmp_path}/in", SCHEMA.replace("t long", "timestamp timestamp_ntz"))
+
+    def handle(batch, _):
+        for r in batch.collect():
+            seen.setdefault(r.item_id, []).append(r.target)
+
+    spark.conf.set(*STATE_STORE)
+    try:
+        writer = rolling_history(stream, 3, "seq").writeStream.outputMode("update").trigger(availableNow=True)
+        writer.option("checkpointLocation", f"{tmp_path}/state").foreachBatch(handle).start().awaitTermination()
+    finally:
+        spark.conf.unset(STATE_STORE[0])
+    assert {k: sorted(v) for k, v in seen.items()} == {"a": [1.0, 2.0, 3.0], "b": [4.0]}
