@@ -1,7 +1,10 @@
 import random
 from itertools import combinations
 
-from tidecast.llm.common import Stored
+from pyspark.sql import functions as F
+
+from tidecast.llm import jaccard
+from tidecast.llm.common import Stored, near
 from tidecast.llm.graph import Growing, components
 from tidecast.llm.jaccard import drop_near_duplicates, similar_components
 from tidecast.sources.store import names_in
@@ -119,3 +122,41 @@ def test_superseded_tables_are_dropped(spark, monkeypatch):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)], "a long, b long")
     assert components(links).count() == 21
     assert len(made) > 2 and [p for p in made if names_in(spark, p)] == made[-1:]
+
+
+def test_texts_of_candidates_are_not_shuffled(spark, monkeypatch):
+    """Sets of the wanted nodes only, hashed where the texts are read, however large the list of nodes is."""
+    docs = spark.createDataFrame([(k if k else None, f"a b c d e{k} f") for k in range(3000)], "doc_id long, text string")
+    rows = jaccard.profiles(docs, jaccard.costly_shingles(docs))
+    nodes = rows.where("key IS NULL OR key % 50 = 0").select("node", "key")
+    plans = []
+    kept = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, label: plans.append(df._jdf.queryExecution().toString()) or kept(df, label))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = jaccard.whole_sets(docs, nodes, nodes.count(), "doc_id", "text")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r.node for r in sets.collect()) == sorted(r.node for r in nodes.collect())
+    physical = plans[0][plans[0].index("== Physical Plan ==") :]
+    assert "BroadcastHashJoin" in physical[physical.index("MapInArrow") :]
+    assert "SortMergeJoin" not in physical[physical.index("MapInArrow") :].split("Exchange hashpartitioning(node")[0]
+
+
+def test_marked_rows(spark):
+    rows, wanted = spark.range(-100_000, 100_000), spark.range(0, 100_000, 100)
+    at = lambda df: F.xxhash64(df["id"])
+    met = {r.id for r in near(rows, at(rows), wanted, at(wanted), 1000).collect()}
+    assert met >= set(range(0, 100_000, 100))
+    assert len(met) < 200_000 / 32
+    assert near(rows, at(rows), wanted.limit(0), at(wanted), 0).count() == 0
+
+
+def test_counts_of_shingles_over_runs(spark, monkeypatch):
+    """Runs that a set doesn't fit into, and what is met twice in one of them."""
+    docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(30))) for k in range(40)], "doc_id long, text string").coalesce(1)
+    for run in (10, 260, 4_000_000):
+        monkeypatch.setattr(jaccard, "RUN", run)
+        shingles, n = jaccard.costly_shingles(docs)
+        # 26 shingles of 40 texts; a run of 260 holds each ten times
+        assert len(shingles) == (0 if run == 10 else 26) and set(n) <= {40}

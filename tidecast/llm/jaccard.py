@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import Stored, named, pieces, stored
+from tidecast.llm.common import Stored, named, near, pieces, stored
 from tidecast.llm.graph import Growing
 
 WORDS = 5
@@ -104,22 +104,27 @@ def costly_shingles(docs: DataFrame, text: str = "text"):
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        shingler, held, size = Shingler(), [], 0
+        shingler, run, used = Shingler(), np.empty(RUN, np.int64), 0
 
         def counted():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts > 1
-            yield pa.RecordBatch.from_arrays([pa.array(values[often]), pa.array(counts[often])], ["shingle", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([size], pa.int64())], ["shingle", "n"])
+            # sorted in place: a run takes its own bytes and little more
+            held = run[:used]
+            held.sort()
+            values, again = np.unique(held[1:][held[1:] == held[:-1]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(again + 1)], ["shingle", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([used], pa.int64())], ["shingle", "n"])
 
         for _, values in pieces(batches, 0):
-            sets = shingler.sets(values)
-            held += sets
-            size += sum(map(len, sets))
-            if size >= RUN:
-                yield from counted()
-                held, size = [], 0
-        if held:
+            for s in shingler.sets(values):
+                while len(s):
+                    part = s[: RUN - used]
+                    run[used : used + len(part)] = part
+                    used += len(part)
+                    s = s[len(part) :]
+                    if used == RUN:
+                        yield from counted()
+                        used = 0
+        if used:
             yield from counted()
 
     counts = docs.select(named(text).alias("text")).mapInArrow(count, "shingle long, n long")
@@ -184,10 +189,11 @@ def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", p
     return stored(slim.mapInArrow(profile, PROFILE), "shingle-prefixes")
 
 
-def whole_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
-    """(node, shingles, bits) of ``nodes`` (node, key): the texts of one key per node are read again.
+def whole_sets(docs: DataFrame, nodes: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    """(node, shingles, bits) of the ``n`` ``nodes`` (node, key): the texts of one key per node are read again.
 
-    ``bits`` has a bit for every shingle by its hash.
+    ``bits`` has a bit for every shingle by its hash. Texts are chosen where they are read and never shuffled; a few
+    others are hashed too, whose sets are then left out by their nodes.
     """
 
     def shingles(batches: Iterator) -> Iterator:
@@ -210,8 +216,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFr
             yield pa.RecordBatch.from_arrays(arrays, ["node", "shingles", "bits"])
 
     slim = docs.select(named(key).cast("long").alias("key"), named(text).alias("text"))
-    wanted = nodes.select(F.col("key").alias("of"))
-    texts = slim.join(wanted, F.col("key").eqNullSafe(F.col("of")), "left_semi").select("text")
+    texts = near(slim, F.xxhash64("key"), nodes, F.xxhash64(nodes["key"]), n).select("text")
     return stored(
         texts.mapInArrow(shingles, "node long, shingles array<long>, bits array<long>")
         .join(nodes.select("node"), "node", "left_semi")
@@ -309,8 +314,8 @@ def classes(
     table = Stored(_many(_fitting(kept, percent), "node"), "entries", n=F.count(F.lit(1)))
     met.drop()
     left = table.rows
-    able = stored(left.select("node").distinct().join(nodes, "node").select("node", "key"), "candidate-nodes")
-    sets = whole_sets(docs, able, key, text)
+    able = Stored(left.select("node").distinct().join(nodes, "node").select("node", "key"), "candidate-nodes", n=F.count(F.lit(1)))
+    sets = whole_sets(docs, able.rows, able.seen["n"], key, text)
     found = Growing()
     for turn in range(rounds):
         if not table.seen["n"]:
