@@ -14,7 +14,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import crc_mod, named
+from tidecast.llm.common import ROWS_AT_ONCE, crc_mod, named
+from tidecast.session import bounded_batches
 
 LEVEL = 3
 
@@ -74,7 +75,9 @@ class QualityModel:
             import pyarrow as pa
 
             for batch in batches:
-                yield pa.array(model.score_texts([x or b"" for x in batch.cast(pa.binary()).to_pylist()]), pa.float64())
+                parts = (batch.slice(at, ROWS_AT_ONCE).cast(pa.binary()) for at in range(0, len(batch), ROWS_AT_ONCE))
+                scores = [x for part in parts for x in model.score_texts([x or b"" for x in part.to_pylist()])]
+                yield pa.array(scores, pa.float64())
 
         return F.arrow_udf(scored, "double", F.ArrowUDFType.SCALAR_ITER)(text)
 
@@ -161,9 +164,11 @@ def fit_quality(
 
 def score_quality(docs: DataFrame, model: QualityModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and score of every row, repeated rows too; an empty table gives no rows."""
+    bounded_batches(docs.sparkSession)
     return docs.select(named(key).alias(key), model.score(named(text)).alias("score"))
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text", least: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score at least ``least``, with their columns."""
+    bounded_batches(docs.sparkSession)
     return docs.where(model.score(named(text)) >= least)

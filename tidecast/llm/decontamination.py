@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import named, pieces
+from tidecast.session import bounded_batches
 
 WORDS = 5
 PERCENT = 75
@@ -267,6 +268,7 @@ def benchmark_matches(
     found. Of items with the same key the most similar counts; repeated rows give repeated results,
     also rows without a key. Empty tables give no rows. Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     slim = docs.select(named(key).cast("long").alias("key"), named(text).alias("text"))
     out = docs.sparkSession.createDataFrame([], FOUND)
     for number, block in enumerate(item_blocks(items, item_key, item_text)):
@@ -293,6 +295,7 @@ def benchmark_matches(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that hold none of ``items``, with their columns; no shuffle."""
+    bounded_batches(docs.sparkSession)
     for block in item_blocks(items):
 
         def clean(batches, block=block):

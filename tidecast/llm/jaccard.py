@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tidecast.llm.common import Stored, named, near, pieces, stored
 from tidecast.llm.graph import Growing
+from tidecast.session import bounded_batches
 
 WORDS = 5
 PERCENT = 75  # of the union, that the intersection must have
@@ -294,6 +295,7 @@ def classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, rounds: int = ROUNDS
 ) -> DataFrame:
     """Per row of ``docs``: key, h, node, n, root (the same within a component) and the component's smallest key."""
+    bounded_batches(docs.sparkSession)
     rows = profiles(docs, costly_shingles(docs, text), key, text, percent)
     entries = rows.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), "node")
     of, by_node = Window.partitionBy("shingle"), Window.partitionBy("node")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import named, pieces, stored
-from tidecast.session import scratch_path
+from tidecast.session import bounded_batches, scratch_path
 
 END_ID = 1
 KNOWN_WORDS = 600_000  # words a worker remembers; beyond, only those of the current texts
@@ -166,6 +166,7 @@ def write_tokens(
             columns = [pa.array(c) for c in zip(*rows)]
             yield pa.RecordBatch.from_arrays([*columns[:3], columns[3].cast(pa.int32())], ["file", "n_docs", "n_ids", "width"])
 
+    bounded_batches(docs.sparkSession)
     ordered = (
         docs.select(named(key).cast("long").alias("key"), named(text).alias("text"))
         .withColumn("tie", F.xxhash64("text"))
