@@ -1,8 +1,12 @@
+import numpy as np
+import pandas as pd
 import pytest
 
 from tidecast.llm.compression import QualityModel, keep_good
 from tidecast.llm.jaccard import similar_components
 from tidecast.llm.token_output import token_rows
+from tidecast.plans import multimodal
+from tidecast.plans.multimodal import MultiModalModel, byte_profile
 from tidecast.session import bounded_batches
 
 NAME = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -30,6 +34,7 @@ def operators(spark, docs):
     yield lambda: keep_good(docs, QualityModel(b"", b"", (), (), (), 1.0))
     yield lambda: similar_components(docs)
     yield lambda: token_rows(spark, docs)
+    yield lambda: MultiModalModel(None, "text", byte_profile)._with_vectors(docs, None)
 
 
 def test_batches_of_texts_are_bounded(unset):
@@ -45,3 +50,10 @@ def test_a_limit_of_the_session_holds(unset):
     unset.conf.set(NAME, "1m")
     bounded_batches(unset)
     assert unset.conf.get(NAME) == "1m"
+
+
+def test_profile_of_long_bytes(monkeypatch):
+    monkeypatch.setattr(multimodal, "PART", 7)
+    data = bytes(range(256)) * 3
+    got = byte_profile.func(pd.Series([data, b"", None]))
+    assert np.allclose(got[0], [np.log1p(768), *[1 / 16] * 16]) and not any(got[1]) and not any(got[2])

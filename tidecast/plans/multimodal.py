@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 from tidecast.functions.paths import normal_path
 from tidecast.operators.columns import col
 from tidecast.plans.tabular import TabularEstimator, TabularModel
+from tidecast.session import bounded_batches
 from tidecast.sources.images import find_image_column, read_images
 from tidecast.sources.tables import as_frame
 
 BINS = 16
+PART = 1 << 20
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -29,7 +31,10 @@ def byte_profile(content: pd.Series) -> pd.Series:
     out = []
     for value in content:
         data = np.frombuffer(value or b"", dtype=np.uint8)
-        shares = np.bincount(data >> 4, minlength=BINS) / max(len(data), 1)
+        counts = np.zeros(BINS)
+        for at in range(0, len(data), PART):  # counting takes eight bytes for one
+            counts += np.bincount(data[at : at + PART] >> 4, minlength=BINS)
+        shares = counts / max(len(data), 1)
         out.append(np.concatenate([[np.log1p(len(data))], shares]))
     return pd.Series(out)
 
@@ -73,6 +78,7 @@ class MultiModalEstimator:
         **fit_args,
     ) -> "MultiModalModel":
         train, tuning = as_frame(train_data), as_frame(tuning_data)
+        bounded_batches(train.sparkSession)
         column = self.image_column or find_image_column(train)
         options = dict(self.options)
         vectors = list(options.pop("vector_columns", []))
@@ -104,6 +110,7 @@ class MultiModalModel:
         df = as_frame(data)
         if self.image_column is None:
             return df
+        bounded_batches(df.sparkSession)
         files = _files(images)
         if files is not None:
             return attach_image_features(df, self.image_column, files, self.featurizer)
