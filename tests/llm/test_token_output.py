@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidecast.llm import bitpack
+from tidecast.llm import bitpack, token_output
 from tidecast.llm.token_output import WordIds, token_rows, tokenizer_path
 
 TEXTS = [
@@ -95,3 +95,16 @@ def test_marks_and_case():
     coder = WordIds(tokenizer_path())
     got = coder.encode([t.encode() for t in texts])
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_that_come_again_are_taken_back(monkeypatch):
+    """When a worker knows too many words, those that come again aren't encoded again."""
+    monkeypatch.setattr(token_output, "KNOWN_WORDS", 60)
+    coder, encoded = WordIds(tokenizer_path()), []
+    plain = coder._encode_new
+    coder._encode_new = lambda words: (encoded.extend(words), plain(words))
+    texts = [("common words. stay " + " ".join(f"x{chr(97 + i)}{chr(97 + j)}" for j in range(20))).encode() for i in range(20)]
+    got = [coder.encode([t])[0] for t in texts]
+    assert len(coder.known) + len(coder.older) <= 140
+    assert len(encoded) == len(set(encoded))
+    assert got == [WordIds(tokenizer_path()).encode([t])[0] for t in texts]

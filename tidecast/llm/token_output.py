@@ -5,7 +5,7 @@ names. One row per file goes into a manifest table, whose running sum gives each
 position. Reading is one task per file, by blocks.
 
 The tokenizer works on pieces that never span white space, so the ids of a text are those of its
-words one after another. Words are encoded once per worker and looked up after that.
+words one after another. Words are encoded by a worker when they are new and looked up after that.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from tidecast.llm.common import named, pieces, stored
 from tidecast.session import bounded_batches, scratch_path
 
 END_ID = 1
-KNOWN_WORDS = 600_000  # words a worker remembers; beyond, only those of the current texts
+KNOWN_WORDS = 500_000  # words a worker remembers, and as many of before that it takes back when they come again
+TOGETHER = 512  # new words that are encoded in one call
 FILE_IDS = 1 << 26  # ids after which a task begins its next file
 MANIFEST = "file string, n_docs long, n_ids long, width int"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -48,6 +49,7 @@ class WordIds:
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         # Words of these characters are encoded many at a time: their pieces can be counted surely.
         self.plain = regex.compile(r"[\x21-\x7eÀ-įı-ſ]+")
         # Letters, then marks that no piece joins to them; a dotted capital I becomes a letter and a mark.
@@ -55,19 +57,29 @@ class WordIds:
         # The pieces the tokenizer's own file describes.
         self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
+    def _ids(self, text: str):
+        """The tokenizer's ids of ``text``, without working out where each one is in it."""
+        return self.np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def _alone(self, word: str) -> bytes:
-        return self.np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._ids(word).tobytes()
+
+    def _recall(self, words: set[bytes]) -> set[bytes]:
+        """Take back those of ``words`` that were known before; gives the others."""
+        back = words & self.older.keys()
+        self.known.update((w, self.older[w]) for w in back)
+        return words - back
 
-    def _learn(self, words) -> None:
+    def _learn(self, words: set[bytes]) -> None:
         """Remember the ids of new words; those of letters and then marks come from their two parts."""
         known, ended, whole, parted = self.known, self.ended, set(), []
-        for raw in words:
+        for raw in self._recall(words):
             m = ended(raw)
             if m:
                 parted.append((raw, *m.groups()))
             else:
                 whole.add(raw)
-        whole.update(x for _, *parts in parted for x in parts if x not in known)
+        whole |= self._recall({x for _, *parts in parted for x in parts if x not in known})
         self._encode_new(whole)
         for raw, letters, marks in parted:
             known[raw] = known[letters] + known[marks]
@@ -83,10 +95,9 @@ class WordIds:
                 together.append((raw, 1 if word.isalpha() else len(self.piece.findall(word.lower()))))
             else:
                 self.known[raw] = self._alone(word)
-        for at in range(0, len(together), 4096):
-            run = together[at : at + 4096]
-            joined = b" ".join([raw for raw, _ in run]).decode()
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+        for at in range(0, len(together), TOGETHER):
+            run = together[at : at + TOGETHER]
+            ids = self._ids(b" ".join([raw for raw, _ in run]).decode())
             ends = np.flatnonzero(self.ends[ids]) + 1
             counts = np.cumsum([n for _, n in run])
             if len(ends) != counts[-1]:
@@ -105,10 +116,10 @@ class WordIds:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian uint32."""
         words = [(x.lower() if self._may_lower(x) else x).split() for x in texts]
-        new = set().union(*words) - self.known.keys()
-        if len(self.known) + len(new) > KNOWN_WORDS:  # only words of these texts stay
-            here = set().union(*words)
-            self.known = {w: ids for w in here if (ids := self.known.get(w)) is not None}
+        here = set().union(*words)
+        new = here - self.known.keys()
+        if len(self.known) + len(new) > KNOWN_WORDS:  # words that come often are taken back
+            self.older, self.known, new = self.known, {}, here
         self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
