@@ -17,13 +17,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import named, pieces
+from tidecast.llm.common import held, named, pieces
 from tidecast.session import bounded_batches
 
 WORDS = 5
@@ -238,7 +237,6 @@ class Index:
         return best
 
 
-@lru_cache(maxsize=1)
 def index_of(items: tuple[tuple[int, bytes], ...]) -> Index:
     return Index(items)
 
@@ -276,7 +274,7 @@ def benchmark_matches(
         def find(batches: Iterator, block=block) -> Iterator:
             import pyarrow as pa
 
-            index = index_of(block)
+            index = held(index_of, block)
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             for keys, values in pieces(batches, size=2 << 20):
                 rows = [
@@ -287,6 +285,7 @@ def benchmark_matches(
                 if rows:
                     names = ["doc_id", "item_id", "similarity", "first_word", "n_words"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+            index.hashes.clear()
 
         found = slim.mapInArrow(find, FOUND)
         out = found if not number else out.union(found)
@@ -301,7 +300,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", per
         def clean(batches, block=block):
             import pyarrow as pa
 
-            index = index_of(block)
+            index = held(index_of, block)
             for batch in batches:
                 values, out, at = [x or b"" for x in batch.cast(pa.binary()).to_pylist()], [], 0
                 while at < len(values):
@@ -312,6 +311,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", per
                     out += [not found for found in index.scan(values[at:end], percent)]
                     at = end
                 yield pa.array(out, pa.bool_())
+            index.hashes.clear()
 
         docs = docs.where(F.arrow_udf(clean, "boolean", F.ArrowUDFType.SCALAR_ITER)(named(text)))
     return docs

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import Stored, named, near, pieces, stored
+from tidecast.llm.common import Stored, named, near, pieces, release, stored
 from tidecast.llm.graph import Growing
 from tidecast.session import bounded_batches
 
@@ -105,6 +105,7 @@ def costly_shingles(docs: DataFrame, text: str = "text"):
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        release()
         shingler, run, used = Shingler(), np.empty(RUN, np.int64), 0
 
         def counted():
@@ -149,6 +150,7 @@ def profiles(docs: DataFrame, costly, key: str = "doc_id", text: str = "text", p
         import pyarrow as pa
         import xxhash
 
+        release()
         shingler, known, counts = Shingler(), *shared.value
         shift = np.uint64(64 - 24)
         marks = np.zeros(1 << 24, bool)  # by leading bits: most shingles are told apart from the costly ones here
@@ -202,6 +204,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int, key: str, text: str) -
         import pyarrow as pa
         import xxhash
 
+        release()
         shingler = Shingler()
 
         def bitmap(shingles):

@@ -16,12 +16,11 @@ import heapq
 import json
 import re
 import unicodedata
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import named
+from tidecast.llm.common import held, named
 from tidecast.llm.token_output import tokenizer_path
 
 LIMIT = 2048
@@ -167,7 +166,6 @@ class TokenCounter:
         return total + self._total(text[at:].split())
 
 
-@lru_cache(maxsize=1)
 def _counter(path: str) -> TokenCounter:
     return TokenCounter(path)
 
@@ -187,7 +185,7 @@ def token_counts(
     def tokens(column):
         import pyarrow as pa
 
-        counter = _counter(file)
+        counter = held(_counter, file)
         return pa.array([counter.count(x) for x in column.to_pylist()], pa.int64())
 
     body = F.coalesce(named(text).cast("string"), F.lit("")).cast("binary")

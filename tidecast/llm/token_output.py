@@ -13,12 +13,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import named, pieces, stored
+from tidecast.llm.common import held, named, pieces, stored
 from tidecast.session import bounded_batches, scratch_path
 
 END_ID = 1
@@ -125,7 +124,6 @@ class WordIds:
         return [b"".join(map(get, w)) for w in words]
 
 
-@lru_cache(maxsize=1)
 def _encoder(path: str) -> WordIds:
     import os
 
@@ -151,7 +149,7 @@ def write_tokens(
         from tidecast.llm.bitpack import Writer, width_of
         from tidecast.llm.shared import CommittedFile
 
-        encoder, part, rows = _encoder(path), TaskContext.get().partitionId(), []
+        encoder, part, rows = held(_encoder, path), TaskContext.get().partitionId(), []
         width, end = width_of(max(encoder.size, end_id + 1)), end_id.to_bytes(4, "little")
         file = writer = None
 
