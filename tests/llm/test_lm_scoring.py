@@ -130,3 +130,21 @@ def test_nothing_to_learn_from(spark):
     got = score_texts(spark.createDataFrame([(key, "a b")], "doc_id long, text string")).collect()
     assert got[0].n_known == got[0].train_tokens == 0
     assert abs(got[0].score - 4 * math.log10(1 / 256)) < 1e-4
+
+
+def test_every_context_has_a_node_whatever_the_corpus(spark, monkeypatch):
+    """A context that comes twice is learnt beside much more text, also in several blocks and parts of the tree."""
+    import tidecast.llm.lm_scoring as module
+
+    monkeypatch.setattr(module, "HELD_GRAMS", 50)
+    monkeypatch.setattr(module, "BLOCK_GRAMS", 100)
+    monkeypatch.setattr(module, "RUN", 300)
+    rng = random.Random(3)
+    data = [(i, " ".join(rng.choice(["aa", "ab", "ba", "bb"]) for _ in range(200))) for i in range(40)]
+    data += [(100, "qxzj"), (100, "qxzj"), (next(k for k in range(200, 300) if held(k)), "aqxzj never é")]
+    train = [t.encode() for k, t in data if not held(k)]
+    assert sum(len(t) + 1 for t in train) > 2 * ct.NODES  # a share of one in NODES would leave out what comes twice
+    got = {r.doc_id: r.score for r in score_texts(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()}
+    tree, plain = fit_tree(corpus_counts(spark.createDataFrame([(t.decode(),) for t in train], "text string"))), plain_tree(train, 10**9)
+    assert np.allclose([got[k] for k, _ in data], tree.log10([t.encode() for _, t in data]), rtol=1e-4)
+    assert np.isclose(got[100], plain(b"qxzj"), rtol=1e-5)
